@@ -119,12 +119,14 @@ def nearest_neighbours(
         .withColumn("chunk", F.pmod(F.xxhash64("id"), chunks_of.cast("long")).cast("int"))
         .select("slice", "part", "chunk", "id", "x")
     )
+    # Other names than on the query side: both come from the same points.
     targets = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks_of - 1))).select(
-        "slice", "part", "chunk", "id", "x"
+        "slice", "part", "chunk", F.col("id").alias("other_id"), F.col("x").alias("other_x")
     )
 
     def other_block(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         asked = asked.reset_index(drop=True)
+        block = block.rename(columns={"other_id": "id", "other_x": "x"})
         found = _nearest(asked, block, k) if len(asked) else []
         return pd.DataFrame({"id": asked["id"], "found": [_as_found(f) for f in found]})
 

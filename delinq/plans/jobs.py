@@ -5,8 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from delinq import schemas
@@ -99,18 +98,16 @@ def run_outreach(
     filter_high_risk: bool = True,
     min_risk_score: float = 50.0,
 ) -> OutreachResult:
-    """Write the outreach list, its summary and headline figures; counts in the result."""
-    listed = outreach_table(scored, payments, as_of)
-    if filter_high_risk:
-        listed = O.high_risk(listed, min_risk_score)
-    listed = listed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        files = write_output_set(
-            listed, O.summary_report(listed, as_of), O.short_summary(listed), root, as_of
-        )
-        return OutreachResult("success", scored.count(), listed.count(), files)
-    finally:
-        listed.unpersist()
+    """Write the outreach list, its summary and headline figures; counts in the result.
+
+    The list is computed once and written to the shared folder; all outputs and figures read
+    that copy. The processed records are counted on the way, without a pass of their own.
+    """
+    processed = Observation("processed")
+    table = outreach_table(scored, payments, as_of).observe(processed, F.count(F.lit(1)).alias("rows"))
+    listed = materialise(O.high_risk(table, min_risk_score) if filter_high_risk else table, "outreach")
+    files = write_output_set(listed, O.summary_report(listed, as_of), O.short_summary(listed), root, as_of)
+    return OutreachResult("success", processed.get["rows"], listed.count(), files)
 
 
 def rule_predictions(master: DataFrame) -> DataFrame:

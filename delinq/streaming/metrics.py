@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
 def _event_time(events: DataFrame) -> DataFrame:
-    """Watermarks need a timestamp with time zone; the supplied files have none."""
+    """Watermarks need a timestamp with time zone; the supplied files have none.
+
+    A column of the right type is left alone: a new one would lose its watermark.
+    """
+    if isinstance(events.schema["ts"].dataType, T.TimestampType):
+        return events
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
