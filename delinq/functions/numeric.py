@@ -26,15 +26,25 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
+def scaled_sum(x: Column, digits: int) -> Column:
+    """Sum of a double column in whole units of 10^-digits.
+
+    Integers add up exactly, so partitioning and task order cannot change the result, and the
+    sum stays in compiled primitive arithmetic (a decimal sum would not). A sum beyond 64 bits
+    is an error, not a wrong number.
+    """
+    scale = F.lit(float(10**digits))
+    return F.sum(F.rint(x * scale).cast("bigint")).cast("double") / scale
+
+
 def money_sum(x: Column) -> Column:
-    """Sum of cents, exact and independent of the partitioning."""
-    return F.sum(x.cast("decimal(18,2)")).cast("double")
+    """Exact sum of amounts in cents."""
+    return scaled_sum(x, 2)
 
 
 def exact_avg(x: Column, digits: int = 6) -> Column:
-    """Mean of a double column through a decimal sum, so that task order cannot change it."""
-    total = F.sum(x.cast(f"decimal(20,{digits})")).cast("double")
-    return F.try_divide(total, F.count(x).cast("double"))
+    """Mean through an exact sum of values with up to ``digits`` decimals."""
+    return F.try_divide(scaled_sum(x, digits), F.count(x).cast("double"))
 
 
 def flag(condition: Column) -> Column:

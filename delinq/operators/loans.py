@@ -14,7 +14,7 @@ def loan_summary(loans: DataFrame) -> DataFrame:
     return loans.groupBy("borrower_id").agg(
         money_sum(c("loan_amount")).alias("total_loan_amount"),
         F.count("loan_amount").alias("loan_count"),
-        np_round(exact_avg(c("loan_amount")), 2).alias("avg_loan_amount"),
+        np_round(exact_avg(c("loan_amount"), 2), 2).alias("avg_loan_amount"),
         np_round(exact_avg(c("interest_rate")), 2).alias("avg_interest_rate"),
         money_sum(c("current_balance")).alias("total_current_balance"),
         money_sum(c("monthly_payment")).alias("total_monthly_payment"),

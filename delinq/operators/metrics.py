@@ -5,25 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delinq.functions.numeric import np_round
+from delinq.functions.numeric import exact_avg, np_round
 from delinq.operators.ranking import cumulative_counts
 
 
 def _score_table(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """Per distinct score: positives, negatives and both counts below it."""
-    rows = scored.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label")).dropna()
-    return cumulative_counts(
-        rows,
-        "score",
-        {"pos": F.count_if(F.col("label") == 1), "neg": F.count_if(F.col("label") == 0)},
-    )
+    """Per distinct score: positives and negatives, and both counts at higher scores.
+
+    Counting runs over the negated score, so ``*_below`` there is "above" here; both metrics
+    then need no total beforehand.
+    """
+    rows = scored.select((-F.col(score).cast("double")).alias("down"), F.col(label).alias("label")).dropna()
+    counts = {"pos": F.count_if(F.col("label") == 1), "neg": F.count_if(F.col("label") == 0)}
+    table = cumulative_counts(rows, "down", counts)
+    return table.withColumnsRenamed({"pos_below": "pos_above", "neg_below": "neg_above"})
 
 
 def _auc() -> Column:
-    """Tied pairs count one half; NULL when one class is absent."""
+    """Share of pairs in the right order, ties one half; NULL when one class is absent."""
     c = F.col
     wide = lambda x: x.cast("decimal(19,0)")  # products of row counts outgrow 64 bits
-    twice = F.sum(wide(c("pos")) * wide(c("neg_below") * 2 + c("neg")))
+    twice = F.sum(wide(c("neg")) * wide(c("pos_above") * 2 + c("pos")))
     pairs = wide(F.sum("pos")) * wide(F.sum("neg"))
     return F.try_divide(twice.cast("double"), pairs.cast("double") * 2)
 
@@ -31,29 +33,24 @@ def _auc() -> Column:
 def _average_precision() -> Column:
     """Sum of recall steps times the precision at each distinct threshold; NULL without positives."""
     c = F.col
-    hits = c("pos_total") - c("pos_below")
-    reached = hits + c("neg_total") - c("neg_below")
-    return F.try_divide(F.sum(c("pos") * F.try_divide(hits, reached)), F.max("pos_total"))
+    hits = c("pos_above") + c("pos")
+    reached = hits + c("neg_above") + c("neg")
+    return F.try_divide(F.sum(c("pos") * F.try_divide(hits, reached)), F.sum("pos"))
 
 
 def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
     return _score_table(scored, score, label).agg(_auc().alias("roc_auc"))
 
 
-def _with_totals(table: DataFrame) -> DataFrame:
-    totals = table.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
-    return table.withColumns({"pos_total": totals["p"], "neg_total": totals["n"]})
-
-
 def average_precision(scored: DataFrame, score: str, label: str) -> DataFrame:
-    table = _with_totals(_score_table(scored, score, label))
-    return table.agg(_average_precision().alias("average_precision"))
+    return _score_table(scored, score, label).agg(_average_precision().alias("average_precision"))
 
 
 def ranking_metrics(scored: DataFrame, score: str, label: str) -> DataFrame:
     """AUC and average precision from one score table."""
-    table = _with_totals(_score_table(scored, score, label))
-    return table.agg(_auc().alias("test_auc"), _average_precision().alias("test_avg_precision"))
+    return _score_table(scored, score, label).agg(
+        _auc().alias("test_auc"), _average_precision().alias("test_avg_precision")
+    )
 
 
 def class_metrics(scored: DataFrame, prediction: str, label: str) -> DataFrame:
@@ -102,7 +99,7 @@ def prediction_stats(predictions: DataFrame) -> DataFrame:
     """Per risk category: predictions, mean score, mean latency if it was recorded."""
     aggs = [
         F.count(F.lit(1)).alias("predictions"),
-        np_round(F.avg(F.col("risk_score").cast("decimal(20,6)")).cast("double"), 4).alias("mean_risk_score"),
+        np_round(exact_avg(F.col("risk_score")), 4).alias("mean_risk_score"),
     ]
     if "response_time_ms" in predictions.columns:
         aggs.append(F.avg("response_time_ms").alias("mean_response_time_ms"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from delinq import schemas
 from delinq.functions.action import priority_level, recommended_action, total_owed
-from delinq.functions.numeric import np_round
+from delinq.functions.numeric import exact_avg, money_sum, np_round
 from delinq.operators.payments import latest_activity
 
 
@@ -91,22 +91,14 @@ def completeness(df: DataFrame) -> DataFrame:
     return df.agg(_completeness(df).alias("completeness"), _missing_cells(df).alias("missing_values"))
 
 
-def _exact_sum(name: str) -> Column:
-    return F.sum(F.col(name).cast("decimal(18,2)")).cast("double")
-
-
-def _exact_mean(name: str) -> Column:
-    return F.try_divide(_exact_sum(name), F.count(name).cast("double"))
-
-
 def summary_figures(outreach: DataFrame) -> DataFrame:
     """One row with the flat part of the summary, in one pass."""
     return outreach.agg(
         F.count(F.lit(1)).alias("total_borrowers"),
-        _exact_mean("risk_score").alias("average_risk_score"),
+        exact_avg(F.col("risk_score"), 2).alias("average_risk_score"),
         F.count_if(F.col("days_delinquent") > 0).alias("delinquent_borrowers"),
-        _exact_sum("total_owed").alias("total_outstanding_balance"),
-        _exact_mean("total_owed").alias("average_outstanding_balance"),
+        money_sum(F.col("total_owed")).alias("total_outstanding_balance"),
+        exact_avg(F.col("total_owed"), 2).alias("average_outstanding_balance"),
         _completeness(outreach).alias("completeness"),
         _missing_cells(outreach).alias("missing_values"),
     )
@@ -146,8 +138,8 @@ def short_summary(outreach: DataFrame) -> DataFrame:
     figures = outreach.agg(
         F.count(F.lit(1)).cast("string").alias("n"),
         F.count_if(F.col("risk_category").isin("High", "Critical")).cast("string").alias("high"),
-        F.format_string("%.2f", np_round(_exact_mean("risk_score"), 2)).alias("mean"),
-        F.concat(F.lit("$"), F.format_number(_exact_sum("total_owed"), 2)).alias("owed"),
+        F.format_string("%.2f", np_round(exact_avg(F.col("risk_score"), 2), 2)).alias("mean"),
+        F.concat(F.lit("$"), F.format_number(money_sum(F.col("total_owed")), 2)).alias("owed"),
     )
     # Metric names.
     labels = {
@@ -165,5 +157,5 @@ def batch_summary(scored: DataFrame) -> DataFrame:
     return scored.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col("risk_category").isin("High", "Critical")).alias("high_risk_count"),
-        np_round(F.avg(F.col("risk_score").cast("decimal(20,6)")).cast("double"), 4).alias("average_risk_score"),
+        np_round(exact_avg(F.col("risk_score")), 4).alias("average_risk_score"),
     )

@@ -795,7 +795,8 @@ def _(spark, d):
 
 @register("d10_summary_report")
 def _(spark, d):
-    return out_ops.summary_report(out_ops.high_risk(_outreach(spark, d)), AS_OF_TIME)
+    listed = materialise(out_ops.high_risk(_outreach(spark, d)), "outreach")
+    return out_ops.summary_report(listed, AS_OF_TIME)
 
 
 @register(
@@ -904,10 +905,9 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    fitted = preprocess.fit_features(_master(spark, d), AS_OF)
-    stats = preprocess.scaling_stats(
-        fitted.impute(fitted.engineer(_master(spark, d))), schemas.SCALED_FEATURES
-    )
+    master = materialise(_master(spark, d), "master")
+    fitted = preprocess.fit_features(master, AS_OF)
+    stats = preprocess.scaling_stats(fitted.impute(fitted.engineer(master)), schemas.SCALED_FEATURES)
     return stats.select("column", np_round(F.col("mean"), 4).alias("mean"), np_round(F.col("std"), 4).alias("std"))
 
 
@@ -1089,7 +1089,7 @@ _ENCODED = {
     ),
 )
 def _(spark, d):
-    master = _master(spark, d)
+    master = materialise(_master(spark, d), "master")
     wide = preprocess.fit_features(master, AS_OF).transform(master)
     return wide.select(
         "borrower_id",

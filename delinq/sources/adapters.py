@@ -1,7 +1,8 @@
 """Domain tables derived from the supplied TPC-H-like tables by fixed arithmetic.
 
 The SQL text is valid in Spark and in DuckDB, so both sides of a check read the same rows.
-Placeholders name the input tables.
+Placeholders name the input tables. Identifiers are padded with ``lpad``, which is compiled into the
+scan stage; ``printf`` would format every row through an interpreter.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 BORROWERS_SQL = """
-select printf('BOR_%06d', c_custkey) as borrower_id,
+select concat('BOR_', case when c_custkey < 1000000 then lpad(cast(c_custkey as string), 6, '0') else cast(c_custkey as string) end) as borrower_id,
   case when c_acctbal < 2000 then 'high' when c_acctbal < 6000 then 'medium' else 'low' end as _risk_segment,
   cast(18 + c_custkey % 48 as int) as age,
   cast(300 + (c_custkey * 7919) % 551 as int) as credit_score_at_origination,
@@ -28,7 +29,7 @@ from {customer}
 """
 
 EDUCATION_SQL = """
-select printf('BOR_%06d', c_custkey) as borrower_id,
+select concat('BOR_', case when c_custkey < 1000000 then lpad(cast(c_custkey as string), 6, '0') else cast(c_custkey as string) end) as borrower_id,
   case c_custkey % 8 when 0 then 'State University' when 1 then 'Community College' when 2 then 'Private University'
     when 3 then 'Technical Institute' when 4 then 'Online University' when 5 then 'Liberal Arts College'
     when 6 then 'Research University' else 'Regional University' end as school_name,
@@ -51,7 +52,7 @@ select loan_id, borrower_id, loan_amount, origination_date, loan_term_months, in
   floor(loan_amount * b + 0.5) / 100 as current_balance,
   floor(100 * loan_amount * (interest_rate / 1200) / (1 - pow(1 + interest_rate / 1200, -loan_term_months)) + 0.5) / 100
     as monthly_payment
-from (select printf('LOAN_%08d', o_orderkey) as loan_id, printf('BOR_%06d', o_custkey) as borrower_id,
+from (select concat('LOAN_', case when o_orderkey < 100000000 then lpad(cast(o_orderkey as string), 8, '0') else cast(o_orderkey as string) end) as loan_id, concat('BOR_', case when o_custkey < 1000000 then lpad(cast(o_custkey as string), 6, '0') else cast(o_custkey as string) end) as borrower_id,
     floor(o_totalprice * 10 + 0.5) / 100 as loan_amount, o_orderdate as origination_date,
     cast(case o_orderkey % 3 when 0 then 120 when 1 then 240 else 360 end as int) as loan_term_months,
     cast(200 + (o_orderkey * 37) % 1001 as double) / 100 as interest_rate,
@@ -67,8 +68,9 @@ select payment_id, loan_id, borrower_id, payment_date, scheduled_amount,
     else 'Missed Payment' end as payment_status, days_late
 from (select payment_id, loan_id, borrower_id, payment_date, scheduled_amount,
     cast(case when h < 920 then 0 when h < 968 then 1 + k % 30 when h < 984 then 31 + k % 30 else 61 + k % 59 end as int) as days_late
-  from (select printf('PAY_%08d_%d_%d_%d', l_orderkey, l_linenumber, l_partkey, l_suppkey) as payment_id,
-      printf('LOAN_%08d', l_orderkey) as loan_id, printf('BOR_%06d', o_custkey) as borrower_id,
+  from (select concat('PAY_', case when l_orderkey < 100000000 then lpad(cast(l_orderkey as string), 8, '0')
+        else cast(l_orderkey as string) end, '_', cast(l_linenumber as string), '_', cast(l_partkey as string), '_', cast(l_suppkey as string)) as payment_id,
+      concat('LOAN_', case when l_orderkey < 100000000 then lpad(cast(l_orderkey as string), 8, '0') else cast(l_orderkey as string) end) as loan_id, concat('BOR_', case when o_custkey < 1000000 then lpad(cast(o_custkey as string), 6, '0') else cast(o_custkey as string) end) as borrower_id,
       l_shipdate as payment_date, l_extendedprice as scheduled_amount,
       (l_orderkey * 31 + l_linenumber * 17 + l_partkey * 7 + l_suppkey * 3) % 1000 as h,
       l_orderkey * 13 + l_partkey * 5 as k

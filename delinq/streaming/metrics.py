@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from delinq.functions.numeric import exact_avg
+
 
 def _event_time(events: DataFrame) -> DataFrame:
     """Watermarks need a timestamp with time zone; the supplied files have none.
@@ -24,7 +26,7 @@ def _figures() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("requests"),
         F.count_if(F.col("event_type") == "error").alias("errors"),
-        (F.sum(F.col("value").cast("decimal(18,4)")).cast("double") / F.count("value")).alias("mean_value"),
+        exact_avg(F.col("value"), 4).alias("mean_value"),
     ]
 
 
