@@ -76,6 +76,12 @@ def value_counts(df: DataFrame, fields: list[str] = SUMMARY_FIELDS) -> DataFrame
     return tall.groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
+def sorted_counts(df: DataFrame, field: str) -> DataFrame:
+    """Rows per value of one column in key order; nulls are left out."""
+    known = df.filter(F.col(field).isNotNull())
+    return known.groupBy(field).agg(F.count(F.lit(1)).alias("count")).orderBy(field)
+
+
 def _missing_cells(df: DataFrame) -> Column:
     per_row = sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
     return F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))

@@ -158,3 +158,18 @@ def violation_counts(df: DataFrame) -> DataFrame:
     sums = df.agg(*[F.count_if(bad).alias(rule) for rule, bad in rules.items()])
     cells = [F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("violations")) for rule in rules]
     return sums.select(F.inline(F.array(*cells)))
+
+
+def parse_requests(bodies: DataFrame, column: str = "body") -> DataFrame:
+    """Request rows from JSON text: one record, a list of records, or {"data": [records]}.
+
+    Fields a record leaves out are NULL here. Unreadable text gives one row of NULLs, which
+    validation rejects.
+    """
+    record = schemas.REQUEST.simpleString()
+    body = F.trim(F.col(column))
+    one = F.array(F.from_json(body, record))
+    many = F.from_json(body, f"array<{record}>")
+    wrapped = F.from_json(body, f"struct<data:array<{record}>>")["data"]
+    records = F.when(body.startswith("["), many).otherwise(F.coalesce(wrapped, one))
+    return bodies.select(F.inline_outer(records))

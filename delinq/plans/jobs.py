@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delinq import schemas
@@ -100,14 +100,13 @@ def run_outreach(
 ) -> OutreachResult:
     """Write the outreach list, its summary and headline figures; counts in the result.
 
-    The list is computed once and written to the shared folder; all outputs and figures read
-    that copy. The processed records are counted on the way, without a pass of their own.
+    The table is computed once and written to the shared folder; counts, outputs and figures
+    read that copy, with the filter pushed down to it.
     """
-    processed = Observation("processed")
-    table = outreach_table(scored, payments, as_of).observe(processed, F.count(F.lit(1)).alias("rows"))
-    listed = materialise(O.high_risk(table, min_risk_score) if filter_high_risk else table, "outreach")
+    table = materialise(outreach_table(scored, payments, as_of), "outreach")
+    listed = O.high_risk(table, min_risk_score) if filter_high_risk else table
     files = write_output_set(listed, O.summary_report(listed, as_of), O.short_summary(listed), root, as_of)
-    return OutreachResult("success", processed.get["rows"], listed.count(), files)
+    return OutreachResult("success", table.count(), listed.count(), files)
 
 
 def rule_predictions(master: DataFrame) -> DataFrame:

@@ -641,6 +641,29 @@ def _(spark, d):
     return _core_requests(spark, d).select("borrower_id", R.request_json(fields).alias("request"))
 
 
+@register(
+    "b37_parse_requests",
+    with_ctes(
+        """select borrower_id || suffix as borrower_id, age, loan_count, total_loan_amount from (
+          select *, unnest(case when age % 3 = 2 then ['', 'X'] else [''] end) as suffix
+          from borrowers join loan_summary using (borrower_id))""",
+        "borrowers",
+        "loan_summary",
+    ),
+)
+def _(spark, d):
+    record = R.request_json(["borrower_id", *schemas.CORE_FIELDS])
+    twin = F.regexp_replace(record, '("borrower_id":"[^"]*)"', '$1X"')
+    shape = F.col("age") % 3
+    body = (
+        F.when(shape == 0, record)
+        .when(shape == 1, F.concat(F.lit("["), record, F.lit("]")))
+        .otherwise(F.concat(F.lit('{"data":['), record, F.lit(","), twin, F.lit("]}")))
+    )
+    parsed = requests.parse_requests(_core_requests(spark, d).select(body.alias("body")))
+    return parsed.select("borrower_id", "age", "loan_count", "total_loan_amount")
+
+
 # --- C: joins --------------------------------------------------------------------------------
 
 
@@ -981,6 +1004,14 @@ def _(spark, d):
     return pay_ops.seasonal_lateness(adapters.payments(spark, d))
 
 
+@register(
+    "f2_priority_counts",
+    with_ctes("select priority_level, count(*) as count from high_risk group by 1 order by 1", "high_risk"),
+)
+def _(spark, d):
+    return out_ops.sorted_counts(out_ops.high_risk(_outreach(spark, d)), "priority_level")
+
+
 # --- E, F: ranking and top-k ------------------------------------------------------------------
 
 
@@ -1259,6 +1290,42 @@ def _(spark, d):
     return out_ops.high_risk(jobs.outreach_table(scored, adapters.payments(spark, d), AS_OF_TIME))
 
 
+def _run_outreach(spark: SparkSession, d: str, root: str, as_of: dt.datetime, **options) -> jobs.OutreachResult:
+    scored = jobs.with_rule_scores(materialise(_master(spark, d), "master"))
+    return jobs.run_outreach(scored, adapters.payments(spark, d), root, as_of, **options)
+
+
+@register("a11_summary_sink", CHECKS["d10_summary"])
+def _(spark, d):
+    result = _run_outreach(spark, d, scratch_path(spark, "outreach-run"), AS_OF_TIME)
+    written = spark.read.json(result.output_files["summary"])
+    return written.select(
+        "total_borrowers",
+        "average_risk_score",
+        "delinquent_borrowers",
+        "total_outstanding_balance",
+        "average_outstanding_balance",
+        "data_quality.completeness",
+        "data_quality.missing_values",
+    )
+
+
+@register(
+    "a12_output_runs",
+    with_ctes(
+        """select '20250101_000000' as run_ts, count(*) as borrowers from high_risk
+        union all select '20250201_000000', count(*) from outreach""",
+        "high_risk",
+    ),
+)
+def _(spark, d):
+    root = scratch_path(spark, "outreach-run")
+    _run_outreach(spark, d, root, AS_OF_TIME)
+    _run_outreach(spark, d, root, dt.datetime(2025, 2, 1), filter_high_risk=False)
+    runs = spark.read.schema("borrower_id string, run_ts string").json(f"{root}/json")
+    return runs.groupBy("run_ts").agg(F.count(F.lit(1)).alias("borrowers"))
+
+
 # --- I: data quality ---------------------------------------------------------------------------
 
 

@@ -17,6 +17,10 @@ from delinq.sources.files import read_csv
 
 DATE_TEXT = "yyyy-MM-dd HH:mm:ss"
 
+# One row per borrower: only these can be clustered by borrower. Loans and payments cannot: a
+# bucket is one task, and one borrower may hold any share of their rows.
+ONE_ROW_PER_BORROWER = [n for n in schemas.TABLES if n not in ("student_loan_loans", "student_loan_payments")]
+
 
 @dataclass(frozen=True)
 class ColumnReport:
@@ -73,9 +77,10 @@ def load_table(
 ) -> ColumnReport:
     """Write one table in a single distributed job.
 
-    ``buckets`` clusters the table by borrower: later joins and aggregations on the borrower
-    then need no shuffle. ``cap`` is the demo row cap.
+    ``buckets`` clusters the tables with one row per borrower: joins between them then need no
+    shuffle. ``cap`` is the demo row cap.
     """
+    clustered = buckets is not None and name in ONE_ROW_PER_BORROWER
     schema = schemas.TABLES[name]
     report = column_report(df, schema)
     if report.missing or report.extra:
@@ -83,10 +88,10 @@ def load_table(
     out = conform(df, schema)
     if cap is not None:
         out = row_cap(out, schema.names[0], cap)
-    if buckets:
+    if clustered:
         out = out.repartition(buckets, "borrower_id")
     writer = out.write.mode("overwrite").format("parquet")
-    if buckets:
+    if clustered:
         writer = writer.bucketBy(buckets, "borrower_id").sortBy("borrower_id")
     writer.saveAsTable(f"`{database}`.`{name}`")
     return report

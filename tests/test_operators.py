@@ -392,3 +392,9 @@ def test_prediction_stats_with_latency(spark):
     df = spark.createDataFrame([("Low", 10.0, 5.0), ("Low", 20.0, 7.0)], "risk_category string, risk_score double, response_time_ms double")
     row = metrics.prediction_stats(df).first()
     assert row["mean_risk_score"] == 15.0 and row["mean_response_time_ms"] == 6.0
+
+
+def test_request_bodies_of_all_shapes(spark):
+    bodies = ['{"borrower_id":"A","age":30}', '[{"borrower_id":"B"},{"borrower_id":"C"}]', '{"data":[{"borrower_id":"D"}]}', "no json"]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    assert [r["borrower_id"] for r in requests.parse_requests(df).collect()] == ["A", "B", "C", "D", None]

@@ -77,11 +77,15 @@ def test_load_all_and_verify(spark, domain, tmp_path):
     assert spark.table("loans_db.student_loan_payments").schema.names == schemas.PAYMENTS.names
 
 
-def test_bucketed_tables_need_no_shuffle(spark, domain, tmp_path):
-    frames = {"student_loan_payments": domain["payments"]}
-    catalog.load_all(spark, "bucketed_db", frames, str(tmp_path / "db2"), buckets=4)
-    counted = spark.table("bucketed_db.student_loan_payments").groupBy("borrower_id").count()
-    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+def test_clustered_tables_join_without_shuffle(spark, domain, tmp_path):
+    frames = {f"student_loan_{n}": domain[n] for n in ("borrowers", "education", "payments")}
+    catalog.load_all(spark, "clustered_db", frames, str(tmp_path / "db2"), buckets=4)
+    own, school = (spark.table(f"clustered_db.student_loan_{n}") for n in ("borrowers", "education"))
+    plan = own.hint("merge").join(school, "borrower_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    # Payments are never clustered: one borrower may hold most rows.
+    described = spark.sql("DESCRIBE EXTENDED clustered_db.student_loan_payments").collect()
+    assert not [r for r in described if r["col_name"] == "Num Buckets"]
 
 
 def test_csv_load_skips_missing_and_caps_rows(spark, domain, tmp_path):
