@@ -31,10 +31,11 @@ def scaled_sum(x: Column, digits: int) -> Column:
 
     Integers add up exactly, so partitioning and task order cannot change the result, and the
     sum stays in compiled primitive arithmetic (a decimal sum would not). A sum beyond 64 bits
-    is an error, not a wrong number.
+    is an error, not a wrong number. NaN counts as missing.
     """
     scale = F.lit(float(10**digits))
-    return F.sum(F.rint(x * scale).cast("bigint")).cast("double") / scale
+    units = F.when(~F.isnan(x), F.rint(x * scale).cast("bigint"))
+    return F.sum(units).cast("double") / scale
 
 
 def money_sum(x: Column) -> Column:

@@ -31,7 +31,6 @@ from delinq.plans import jobs
 from delinq.plans.check_sql import (
     ENGINEERED,
     FACTOR_SCORE,
-    MISSED,
     SIGMOID,
     fallback,
     mean,
@@ -816,10 +815,26 @@ def _(spark, d):
     return out_ops.summary_figures(out_ops.high_risk(_outreach(spark, d)))
 
 
-@register("d10_summary_report")
+def _map_sql(column: str) -> str:
+    return f"""(select '{{' || string_agg('"' || k || '":' || n, ',' order by k) || '}}' from (
+      select cast({column} as varchar) as k, count(*) as n from high_risk where {column} is not null group by 1))"""
+
+
+@register(
+    "d10_summary_report",
+    with_ctes(
+        f"""select '2025-01-01T00:00:00' as processing_date, count(*) as total_borrowers,
+          {_map_sql("risk_category")} as risk_distribution, {_map_sql("priority_level")} as action_priorities,
+          {_map_sql("recommended_action")} as recommended_actions, {_map_sql("state")} as state_distribution
+        from high_risk""",
+        "high_risk",
+    ),
+)
 def _(spark, d):
     listed = materialise(out_ops.high_risk(_outreach(spark, d)), "outreach")
-    return out_ops.summary_report(listed, AS_OF_TIME)
+    report = out_ops.summary_report(listed, AS_OF_TIME)
+    maps = ["risk_distribution", "action_priorities", "recommended_actions", "state_distribution"]
+    return report.select("processing_date", "total_borrowers", *[F.to_json(m).alias(m) for m in maps])
 
 
 @register(
@@ -1163,9 +1178,10 @@ def _models(spark: SparkSession, d: str) -> tuple[ModelSet, preprocess.FeatureMo
 @register(
     "h2_oversample",
     with_ctes(
-        """select l as is_delinquent, (select max(n) from c) as samples from (select 0 as l union all select 1)""",
+        """select l as is_delinquent, (select max(n) from (select count(*) as n from split where split = 'train'
+            group by is_delinquent)) as samples from (select 0 as l union all select 1)""",
         "split",
-    ).replace(") select l as", "), c as (select count(*) as n from split where split = 'train' group by is_delinquent) select l as", 1),
+    ),
 )
 def _(spark, d):
     train, _test, _features = _training_data(spark, d)

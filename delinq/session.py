@@ -29,11 +29,13 @@ def build_session(app_name: str = "delinq", **conf: str) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for written intermediates, stream state and round trips.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only where that is unset
-    (single-machine tests) a temporary folder is made.
+    It lies in the shared folder named by ``spark.checkpoint.dir``. Only in local mode, where
+    one machine holds everything, a temporary folder stands in for an unset one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="delinq-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
