@@ -1,1512 +1,8 @@
-"""The registered queries: one Spark callable each, with check SQL where SQL can express it.
-
-All queries read whole tables. The clock of every query is fixed by ``AS_OF``.
-"""
+"""All registered queries; importing the topic modules registers them in this order."""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from delinq import schemas
-from delinq.functions import borrower as B
-from delinq.functions import loan as L
-from delinq.functions import response as R
-from delinq.functions import risk as K
-from delinq.functions.action import priority_level, recommended_action
-from delinq.functions.numeric import np_round
-from delinq.models import scoring
-from delinq.models.oversample import oversample_minority
-from delinq.models.store import load_models, save_models
-from delinq.models.training import ModelSet, evaluate, top_features, train_all, train_model
-from delinq.operators import loans as loan_ops
-from delinq.operators import master as master_ops
-from delinq.operators import metrics, portfolio, preprocess, requests, sampling
-from delinq.operators import outreach as out_ops
-from delinq.operators import payments as pay_ops
-from delinq.plans import jobs
-from delinq.plans.check_sql import (
-    ENGINEERED,
-    FACTOR_SCORE,
-    SIGMOID,
-    fallback,
-    mean,
-    money,
-    rounded,
-    score_scale,
-    service_scale,
-    unit,
-    with_ctes,
-)
-from delinq.session import materialise, scratch_path
-from delinq.sources import adapters, catalog, files
-from delinq.streaming import metrics as stream_metrics
-from delinq.streaming.scoring import read_stream, score_stream
-
-AS_OF = dt.date(2025, 1, 1)
-AS_OF_TIME = dt.datetime(2025, 1, 1)
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-CHECKS: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def add(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            CHECKS[name] = sql
-        return fn
-
-    return add
-
-
-def _master(spark: SparkSession, d: str) -> DataFrame:
-    return master_ops.build_master(
-        adapters.borrowers(spark, d), adapters.education(spark, d), adapters.loans(spark, d), adapters.payments(spark, d)
-    )
-
-
-def _joined(spark: SparkSession, d: str) -> DataFrame:
-    return master_ops.join_master(
-        adapters.borrowers(spark, d),
-        adapters.education(spark, d),
-        pay_ops.delinquency_features(adapters.payments(spark, d)),
-        adapters.loans(spark, d),
-    )
-
-
-def _rule_scored(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.with_rule_scores(_master(spark, d))
-
-
-def _outreach(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.outreach_table(_rule_scored(spark, d), adapters.payments(spark, d), AS_OF_TIME)
-
-
-def _core_requests(spark: SparkSession, d: str) -> DataFrame:
-    """Requests with the seven core fields, from borrowers and their loan totals."""
-    summary = loan_ops.loan_summary(adapters.loans(spark, d))
-    return adapters.borrowers(spark, d).join(summary, "borrower_id").select("borrower_id", *schemas.CORE_FIELDS)
-
-
-def _scored_docs(spark: SparkSession, d: str) -> DataFrame:
-    docs = adapters.table(spark, d, "documents").select("doc_id", "n_chars")
-    return adapters.table(spark, d, "labels").join(docs, "doc_id")
-
-
-def _ntz_text(column: str):
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-
-
-# --- A: scans, sinks, catalog -------------------------------------------------------------
-
-
-_LOANS_AS_TEXT = """select loan_id, borrower_id, loan_amount,
-  strftime(origination_date, '%Y-%m-%d %H:%M:%S') as origination_date, loan_term_months, interest_rate, loan_type,
-  loan_status, current_balance, monthly_payment from loans"""
-
-
-@register("a1_csv_round_trip", with_ctes(_LOANS_AS_TEXT, "loans"))
-def _(spark, d):
-    path = files.write_csv(catalog.conform(adapters.loans(spark, d), schemas.LOANS), scratch_path(spark, "loans"))
-    return files.read_csv(spark, path, schemas.LOANS)
-
-
-@register("a2_json_round_trip", with_ctes("select * from education", "education"))
-def _(spark, d):
-    path = files.write_json(adapters.education(spark, d), scratch_path(spark, "education"))
-    return files.read_json(spark, path, schemas.EDUCATION, array=False)
-
-
-@register(
-    "a4_conform",
-    with_ctes(
-        """select payment_id, loan_id, borrower_id, strftime(payment_date, '%Y-%m-%d %H:%M:%S') as payment_date,
-          case when days_late <> 7 then scheduled_amount end as scheduled_amount, actual_amount, payment_status, days_late
-        from payments""",
-        "payments",
-    ),
-)
-def _(spark, d):
-    messy = adapters.payments(spark, d).select(
-        "days_late",
-        F.lit("x").alias("not_in_contract"),
-        "actual_amount",
-        F.when(F.col("days_late") == 7, F.lit(float("nan"))).otherwise(F.col("scheduled_amount")).alias("scheduled_amount"),
-        "payment_status",
-        "payment_date",
-        "payment_id",
-        "borrower_id",
-        "loan_id",
-    )
-    return catalog.conform(messy, schemas.PAYMENTS)
-
-
-@register("a6_row_cap", with_ctes("select * from borrowers order by borrower_id limit 100", "borrowers"))
-def _(spark, d):
-    return catalog.row_cap(adapters.borrowers(spark, d), "borrower_id", 100)
-
-
-_TABLE_COUNTS = """select table_name, row_count from (
-  select 'student_loan_borrowers' as table_name, count(*) as row_count from borrowers
-  union all select 'student_loan_education', count(*) from education
-  union all select 'student_loan_loans', count(*) from loans
-  union all select 'student_loan_payments', count(*) from payments
-  union all select 'student_loan_delinquency_features', count(*) from features
-  union all select 'student_loan_master_dataset', count(*) from master
-  union all select 'realistic_student_loan_dataset', count(*) from master)"""
-_WITH_TOTAL = f"""select * from ({_TABLE_COUNTS}) union all
-  select 'TOTAL', cast(sum(row_count) as bigint) from ({_TABLE_COUNTS})"""
-
-
-def _frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    pay, loan = adapters.payments(spark, d), adapters.loans(spark, d)
-    own, school = adapters.borrowers(spark, d), adapters.education(spark, d)
-    features = pay_ops.delinquency_features(pay)
-    master = master_ops.with_factor_targets(master_ops.join_master(own, school, features, loan))
-    return {
-        "student_loan_borrowers": own,
-        "student_loan_education": school,
-        "student_loan_loans": loan,
-        "student_loan_payments": pay,
-        "student_loan_delinquency_features": features,
-        "student_loan_master_dataset": master,
-        "realistic_student_loan_dataset": master,
-    }
-
-
-@register("a7_warehouse_load", with_ctes(_WITH_TOTAL, "borrowers", "education", "loans", "payments", "master"))
-def _(spark, d):
-    return catalog.load_all(spark, "delinq_warehouse", _frames(spark, d), location=scratch_path(spark, "warehouse"))
-
-
-@register("a8_table_summary", with_ctes(_WITH_TOTAL, "borrowers", "education", "loans", "payments", "master"))
-def _(spark, d):
-    return portfolio.table_counts(**_frames(spark, d))
-
-
-@register("a10_json_sink", with_ctes("select * from outreach", "outreach"))
-def _(spark, d):
-    listed = _outreach(spark, d)
-    path = files.write_json(listed, scratch_path(spark, "outreach"))
-    return files.read_json(spark, path, listed.schema, array=False)
-
-
-# --- B: projections ------------------------------------------------------------------------
-
-
-@register("b1_age_group", with_ctes(f"select borrower_id, age_group from (select *, {ENGINEERED} from master)", "master"))
-def _(spark, d):
-    return _master(spark, d).select("borrower_id", B.age_group(F.col("age")).alias("age_group"))
-
-
-@register(
-    "b2_income_category",
-    with_ctes(f"select borrower_id, income_category from (select *, {ENGINEERED} from master)", "master"),
-)
-def _(spark, d):
-    return _master(spark, d).select("borrower_id", B.income_category(F.col("annual_income")).alias("income_category"))
-
-
-@register(
-    "b3_credit_category",
-    with_ctes(f"select borrower_id, credit_category from (select *, {ENGINEERED} from master)", "master"),
-)
-def _(spark, d):
-    return _master(spark, d).select(
-        "borrower_id", B.credit_category(F.col("credit_score_at_origination")).alias("credit_category")
-    )
-
-
-_FLAGS = [f for f in schemas.FLAG_FEATURES if f not in ("years_since_graduation", "recent_graduate")]
-
-
-@register(
-    "b4_flags",
-    with_ctes(f"select borrower_id, {', '.join(_FLAGS)} from (select *, {ENGINEERED} from master)", "master"),
-)
-def _(spark, d):
-    return _master(spark, d).select("borrower_id", *[c.alias(n) for n, c in B.flag_columns().items()])
-
-
-@register(
-    "b8_years_since",
-    with_ctes(
-        f"select borrower_id, years_since_graduation, recent_graduate from (select *, {ENGINEERED} from master)", "master"
-    ),
-)
-def _(spark, d):
-    year = F.col("graduation_year")
-    return _master(spark, d).select(
-        "borrower_id",
-        B.years_since_graduation(year, AS_OF).alias("years_since_graduation"),
-        B.recent_graduate(year, AS_OF).alias("recent_graduate"),
-    )
-
-
-@register(
-    "b9_clip",
-    with_ctes(
-        """select borrower_id, case when annual_income is not null then greatest(0, least(500000, annual_income)) end as annual_income,
-          case when debt_to_income_ratio is not null then greatest(0, least(5, debt_to_income_ratio)) end as debt_to_income_ratio,
-          greatest(0, least(100, risk_score)) as risk_score
-        from (select borrower_id, annual_income * 5 as annual_income, debt_to_income_ratio * 4 as debt_to_income_ratio,
-          risk_score * 2 - 40 as risk_score from master)""",
-        "master",
-    ),
-)
-def _(spark, d):
-    spread = _master(spark, d).select(
-        "borrower_id",
-        (F.col("annual_income") * 5).alias("annual_income"),
-        (F.col("debt_to_income_ratio") * 4).alias("debt_to_income_ratio"),
-        (F.col("risk_score") * 2 - 40).alias("risk_score"),
-    )
-    return spread.withColumns(B.clipped_columns())
-
-
-@register(
-    "b10_amortise",
-    with_ctes(
-        f"""select loan_id, {rounded('''loan_amount * (interest_rate / 1200.0::double)
-          / (1 - pow(1 + interest_rate / 1200.0::double, -loan_term_months))''', 2)} as level_payment from loans""",
-        "loans",
-    ),
-)
-def _(spark, d):
-    c = F.col
-    payment = L.monthly_payment(c("loan_amount"), c("interest_rate"), c("loan_term_months"))
-    return adapters.loans(spark, d).select("loan_id", payment.alias("level_payment"))
-
-
-@register(
-    "b11_schedule",
-    with_ctes(
-        """select loan_id, borrower_id, m as month_offset,
-          strftime(origination_date + to_months(m), '%Y-%m-%d %H:%M:%S') as due_date, monthly_payment as scheduled_amount
-        from loans cross join (select cast(range as int) as m from range(24))""",
-        "loans",
-    ),
-)
-def _(spark, d):
-    return loan_ops.payment_schedule(adapters.loans(spark, d)).withColumn("due_date", _ntz_text("due_date"))
-
-
-@register(
-    "b12_payment_status",
-    with_ctes(
-        "select payment_id, payment_status as status, actual_amount as amount from payments",
-        "payments",
-    ),
-)
-def _(spark, d):
-    days = F.col("days_late")
-    return adapters.payments(spark, d).select(
-        "payment_id",
-        L.payment_status(days).alias("status"),
-        L.paid_amount(days, F.col("scheduled_amount")).alias("amount"),
-    )
-
-
-@register(
-    "b13_ids",
-    """select 'BOR_' || lpad(cast(o_custkey as varchar), 6, '0') as borrower_id,
-      'LOAN_' || lpad(cast(o_orderkey as varchar), 8, '0') as loan_id,
-      'PAY_' || lpad(cast(o_orderkey as varchar), 8, '0') as payment_id,
-      'ML_' || lpad(cast(o_custkey as varchar), 8, '0') as account_id from orders""",
-)
-def _(spark, d):
-    c = F.col
-    return adapters.table(spark, d, "orders").select(
-        L.format_id("borrower", c("o_custkey")).alias("borrower_id"),
-        L.format_id("loan", c("o_orderkey")).alias("loan_id"),
-        L.format_id("payment", c("o_orderkey")).alias("payment_id"),
-        L.format_id("account", c("o_custkey")).alias("account_id"),
-    )
-
-
-@register("b14_dti", with_ctes("select borrower_id, debt_to_income_ratio from joined", "joined"))
-def _(spark, d):
-    return _joined(spark, d).select("borrower_id", "debt_to_income_ratio")
-
-
-@register("b15_behaviour_score", with_ctes("select borrower_id, risk_score from features", "features"))
-def _(spark, d):
-    return pay_ops.delinquency_features(adapters.payments(spark, d)).select("borrower_id", "risk_score")
-
-
-@register("b16_behaviour_target", with_ctes("select borrower_id, is_delinquent from features", "features"))
-def _(spark, d):
-    return pay_ops.delinquency_features(adapters.payments(spark, d)).select("borrower_id", "is_delinquent")
-
-
-@register("b17_factor_score", with_ctes(f"select borrower_id, {FACTOR_SCORE} as risk_score from joined", "joined"))
-def _(spark, d):
-    return _master(spark, d).select("borrower_id", "risk_score")
-
-
-@register(
-    "b18_sigmoid",
-    with_ctes(
-        f"""select borrower_id, {rounded(SIGMOID, 9)} as delinquency_probability,
-          ({unit("borrower_id")} < {SIGMOID})::int as is_delinquent from master""",
-        "master",
-    ),
-)
-def _(spark, d):
-    master = master_ops.with_probability(_master(spark, d))
-    return master.select(
-        "borrower_id", np_round(F.col("delinquency_probability"), 9).alias("delinquency_probability"), "is_delinquent"
-    )
-
-
-@register(
-    "b19_b21_scales",
-    with_ctes(
-        f"""select borrower_id, case when p <= 0 then null when p <= 0.3 then 'Low' when p <= 0.6 then 'Medium'
-            when p <= 0.8 then 'High' when p <= 1 then 'Critical' end as model_category,
-          {service_scale("p")} as service_category, {score_scale("risk_score")} as score_category
-        from (select borrower_id, risk_score, risk_score / 100 as p from master)""",
-        "master",
-    ),
-)
-def _(spark, d):
-    score = F.col("risk_score")
-    return _master(spark, d).select(
-        "borrower_id",
-        K.model_category(score / 100).alias("model_category"),
-        K.service_category(score / 100).alias("service_category"),
-        K.score_category(score).alias("score_category"),
-    )
-
-
-_QUICK = """least(100.0, greatest(0.0, (800.0 - credit_score_at_origination) / 10
-  + greatest(0.0, (50000.0 - annual_income) / 5000) + (total_loan_amount - 30000) / 5000))"""
-_FILLED = f"""select borrower_id, age, credit_score_at_origination, annual_income, 1 as dependents, 3.0::double as gpa,
-  2020 as graduation_year, total_loan_amount, loan_count, total_loan_amount / nullif(loan_count, 0) as avg_loan_amount,
-  6.0::double as avg_interest_rate, total_loan_amount * 0.9::double as total_current_balance, total_monthly_payment,
-  total_monthly_payment * 12 / nullif(annual_income, 0) as debt_to_income_ratio, 5.0::double as avg_days_late,
-  30 as max_days_late, 10.0::double as std_days_late, total_monthly_payment * 12 as total_payments_made,
-  12 as total_payment_count, total_monthly_payment * 12 * 1.05::double as total_scheduled, 1 as missed_payment_count,
-  0.95::double as payment_ratio, 0.05::double as missed_payment_rate, 5.0::double as recent_avg_days_late,
-  1 as recent_missed_payments, case when annual_income is not null then {_QUICK} end as risk_score, 'Other' as gender, 'CA' as state,
-  'Employed' as employment_status, 'Rent' as housing_status, 'State University' as school_name,
-  'Bachelors' as degree_type, 'Business' as major, 'Public' as school_type, 'Completed' as completion_status
-from borrowers join loan_summary using (borrower_id)"""
-
-
-@register("b22_default_fill", with_ctes(_FILLED, "borrowers", "loan_summary"))
-def _(spark, d):
-    filled = requests.fill_request_defaults(_core_requests(spark, d))
-    known = F.when(F.col("annual_income").isNotNull(), F.col("risk_score"))
-    return filled.withColumn("risk_score", known)
-
-
-@register(
-    "b23_quick_score",
-    with_ctes(
-        f"select borrower_id, {rounded(_QUICK, 9)} as quick_score from borrowers join loan_summary using (borrower_id)"
-        " where annual_income is not null",
-        "borrowers",
-        "loan_summary",
-    ),
-)
-def _(spark, d):
-    c = F.col
-    score = K.quick_score(c("credit_score_at_origination"), c("annual_income"), c("total_loan_amount"))
-    good, _rejected = requests.quarantine(_core_requests(spark, d))
-    return good.select("borrower_id", np_round(score, 9).alias("quick_score"))
-
-
-_FALLBACK = fallback("credit_score_at_origination", "debt_to_income_ratio")
-
-
-@register(
-    "b25_fallback_score",
-    with_ctes(
-        f"""select borrower_id, {rounded(_FALLBACK, 9)} as risk_probability, {rounded(f"{_FALLBACK} * 100", 7)} as risk_score,
-          {service_scale(_FALLBACK)} as risk_category from master""",
-        "master",
-    ),
-)
-def _(spark, d):
-    p = K.fallback_probability(F.col("credit_score_at_origination"), F.col("debt_to_income_ratio"))
-    return _master(spark, d).select(
-        "borrower_id",
-        np_round(p, 9).alias("risk_probability"),
-        np_round(p * 100, 7).alias("risk_score"),
-        K.service_category(p).alias("risk_category"),
-    )
-
-
-@register(
-    "b26_interval",
-    with_ctes(
-        f"""select borrower_id, {rounded("greatest(0, p - 0.005)", 4)} as lower_bound,
-          {rounded("least(1, p + 0.005)", 4)} as upper_bound
-        from (select borrower_id, {rounded(_FALLBACK, 5)} as p from master)""",
-        "master",
-    ),
-)
-def _(spark, d):
-    p = K.fallback_probability(F.col("credit_score_at_origination"), F.col("debt_to_income_ratio"))
-    interval = K.confidence_interval(np_round(p, 5))
-    return _master(spark, d).select(
-        "borrower_id", interval["lower_bound"].alias("lower_bound"), interval["upper_bound"].alias("upper_bound")
-    )
-
-
-@register(
-    "b27_loan_details",
-    with_ctes(
-        f"""select borrower_id, loan_id, current_balance, days_delinquent, last_payment_date, next_due_date,
-          {rounded("total_owed", 4)} as total_owed from details""",
-        "details",
-    ),
-)
-def _(spark, d):
-    detailed = out_ops.with_loan_details(_rule_scored(spark, d), adapters.payments(spark, d))
-    return detailed.select(
-        "borrower_id",
-        "loan_id",
-        "current_balance",
-        "days_delinquent",
-        "last_payment_date",
-        "next_due_date",
-        np_round(F.col("total_owed"), 4).alias("total_owed"),
-    )
-
-
-@register(
-    "b30_actions",
-    with_ctes("select borrower_id, recommended_action, priority_level from outreach", "outreach"),
-)
-def _(spark, d):
-    listed = out_ops.with_loan_details(_rule_scored(spark, d), adapters.payments(spark, d))
-    action = recommended_action(F.col("days_delinquent"), F.col("risk_category"))
-    return listed.select(
-        "borrower_id", action.alias("recommended_action"), priority_level(action).alias("priority_level")
-    )
-
-
-@register("b32_outreach", with_ctes("select * from outreach", "outreach"))
-def _(spark, d):
-    return _outreach(spark, d)
-
-
-@register("b33_high_risk", with_ctes("select * from high_risk", "high_risk"))
-def _(spark, d):
-    return out_ops.high_risk(_outreach(spark, d))
-
-
-_RULE_P = f"{_FALLBACK} as p1, risk_score / 100 as p2, {SIGMOID} as p3"
-_COUNT = "((c1 = '{0}')::int + (c2 = '{0}')::int + (c3 = '{0}')::int)"
-_CONSENSUS = (
-    "'Consensus: ' || " + _COUNT.format("High") + " || ' High, ' || " + _COUNT.format("Medium")
-    + " || ' Medium, ' || " + _COUNT.format("Low") + " || ' Low risk predictions'"
-)
-
-
-@register(
-    "b35_consensus",
-    with_ctes(
-        f"""select borrower_id, {_COUNT.format("High")} as high, {_COUNT.format("Medium")} as medium,
-          {_COUNT.format("Low")} as low, {_CONSENSUS} as consensus
-        from (select borrower_id, {service_scale("p1")} as c1, {service_scale("p2")} as c2, {service_scale("p3")} as c3
-          from (select borrower_id, {_RULE_P} from master))""",
-        "master",
-    ),
-)
-def _(spark, d):
-    p = F.col("predictions")
-    return jobs.rule_predictions(_master(spark, d)).select(
-        "borrower_id",
-        R.category_count(p, "High").alias("high"),
-        R.category_count(p, "Medium").alias("medium"),
-        R.category_count(p, "Low").alias("low"),
-        R.consensus_text(p).alias("consensus"),
-    )
-
-
-def _line(label: str, text: str) -> str:
-    return f"'- {label}: ' || {text}"
-
-
-def _one(x: str) -> str:
-    return f"format('{{:.1f}}', {rounded(x, 1)})"
-
-
-_REPORT = " || chr(10) || ".join(
-    [
-        "'Borrower Profile:'",
-        _line("ID", "borrower_id"),
-        _line("Age", "age"),
-        _line("Credit Score", "credit_score_at_origination"),
-        _line("Annual Income", "'$' || format('{:,.0f}', coalesce(annual_income, 0.0::double))"),
-        _line("Employment", "coalesce(employment_status, 'Unknown')"),
-        _line("Total Loan Amount", "'$' || format('{:,.0f}', total_loan_amount)"),
-        _line("Debt-to-Income Ratio", _one("coalesce(debt_to_income_ratio, 0) * 100") + " || '%'"),
-        _line("Education", "coalesce(degree_type, 'Unknown') || ' degree, graduated ' || graduation_year"),
-        _line("GPA", "coalesce(cast(gpa as varchar), 'Unknown')"),
-        _line("Location", "coalesce(state, 'Unknown')"),
-        _line("Housing", "coalesce(housing_status, 'Unknown') || chr(10)"),
-        "'ML Model Results:'",
-        _line("Primary Model", "'fallback'"),
-        _line("Risk Category", "c1"),
-        _line("Risk Score", _one("p1 * 100") + " || '/100'"),
-        _line("Risk Probability", _one("p1 * 100") + " || '%' || chr(10)"),
-        "'Model Consensus Analysis:'",
-        _line("factor", "c2 || ' (' || " + _one(rounded("p2 * 100", 2)) + " || '/100)'"),
-        _line("fallback", "c1 || ' (' || " + _one(rounded("p1 * 100", 2)) + " || '/100)'"),
-        _line("sigmoid", "c3 || ' (' || " + _one(rounded("p3 * 100", 2)) + " || '/100)'"),
-        f"'- ' || {_CONSENSUS}",
-    ]
-)
-
-
-@register(
-    "b36_report_text",
-    with_ctes(
-        f"""select borrower_id, {_REPORT} as report
-        from (select *, {service_scale("p1")} as c1, {service_scale("p2")} as c2, {service_scale("p3")} as c3
-          from (select *, {_RULE_P} from master))""",
-        "master",
-    ),
-)
-def _(spark, d):
-    return jobs.borrower_reports(_master(spark, d))
-
-
-# Response bodies of all known shapes, made from borrowers by text both engines share.
-_BODIES = """
-select borrower_id, age % 7 as shape, case age % 7
-  when 0 then concat('{{"response":{{"prediction":{{"borrower_id":"', borrower_id, '","model_used":"random_forest","risk_assessment":', a, '}}}}}}')
-  when 1 then concat('{{"response":{{"prediction":{{"all_model_predictions":{{"gradient_boosting":', a, ',"random_forest":', b, '}}}}}}}}')
-  when 2 then concat('{{"risk_assessment":', a, '}}')
-  when 3 then concat('{{"response":{{"risk_assessment":', b, '}}}}')
-  when 4 then concat('{{"response":', a, '}}')
-  when 5 then concat('{{"overall_risk_probability":0.', cast(credit_score_at_origination as string), '}}')
-  else a end as body
-from (select borrower_id, age, credit_score_at_origination,
-    concat('{{"risk_probability":0.', cast(credit_score_at_origination as string), ',"risk_score":', cast(age as string),
-      '.5,"risk_category":"Medium"}}') as a,
-    concat('{{"risk_probability":0.', cast(credit_score_at_origination as string), ',"risk_score":0}}') as b
-  from {borrowers}) x
-"""
-
-
-def _json(path: str, kind: str = "varchar") -> str:
-    return f"cast(json_extract_string(part, '{path}') as {kind})"
-
-
-_UNWRAPPED = f"""select borrower_id, risk_probability, case when coalesce(risk_score, 0) = 0
-    then {rounded("risk_probability * 100", 6)} else risk_score end as risk_score,
-  coalesce(risk_category, {service_scale("risk_probability")}) as risk_category, model_used
-from (select borrower_id, model_used, {_json("$.risk_score", "double")} as risk_score, {_json("$.risk_category")} as risk_category,
-    coalesce({_json("$.risk_probability", "double")}, {_json("$.overall_risk_probability", "double")}, 0) as risk_probability
-  from (select borrower_id,
-      case shape when 0 then json_extract(body, '$.response.prediction.risk_assessment')
-        when 1 then json_extract(body, '$.response.prediction.all_model_predictions.gradient_boosting')
-        when 2 then json_extract(body, '$.risk_assessment') when 3 then json_extract(body, '$.response.risk_assessment')
-        when 4 then json_extract(body, '$.response') else body::json end as part,
-      case shape when 0 then json_extract_string(body, '$.response.prediction.model_used')
-        when 1 then 'gradient_boosting' end as model_used
-    from ({_BODIES.format(borrowers="borrowers")})))"""
-
-
-@register("b37_unwrap", with_ctes(_UNWRAPPED, "borrowers"))
-def _(spark, d):
-    bodies = spark.sql(_BODIES, borrowers=adapters.borrowers(spark, d))
-    found = bodies.select("borrower_id", R.unwrap_response(F.col("body")).alias("r")).select("borrower_id", "r.*")
-    return found.withColumn("risk_score", np_round(F.col("risk_score"), 6))
-
-
-@register(
-    "b37_request_json",
-    with_ctes(
-        """select borrower_id, '{"borrower_id":"' || borrower_id || '","age":' || age || ',"credit_score_at_origination":'
-          || credit_score_at_origination || ',"loan_count":' || loan_count || '}' as request
-        from borrowers join loan_summary using (borrower_id)""",
-        "borrowers",
-        "loan_summary",
-    ),
-)
-def _(spark, d):
-    fields = ["borrower_id", "age", "credit_score_at_origination", "loan_count"]
-    return _core_requests(spark, d).select("borrower_id", R.request_json(fields).alias("request"))
-
-
-@register(
-    "b37_parse_requests",
-    with_ctes(
-        """select borrower_id || suffix as borrower_id, age, loan_count, total_loan_amount from (
-          select *, unnest(case when age % 3 = 2 then ['', 'X'] else [''] end) as suffix
-          from borrowers join loan_summary using (borrower_id))""",
-        "borrowers",
-        "loan_summary",
-    ),
-)
-def _(spark, d):
-    record = R.request_json(["borrower_id", *schemas.CORE_FIELDS])
-    twin = F.regexp_replace(record, '("borrower_id":"[^"]*)"', '$1X"')
-    shape = F.col("age") % 3
-    body = (
-        F.when(shape == 0, record)
-        .when(shape == 1, F.concat(F.lit("["), record, F.lit("]")))
-        .otherwise(F.concat(F.lit('{"data":['), record, F.lit(","), twin, F.lit("]}")))
-    )
-    parsed = requests.parse_requests(_core_requests(spark, d).select(body.alias("body")))
-    return parsed.select("borrower_id", "age", "loan_count", "total_loan_amount")
-
-
-# --- C: joins --------------------------------------------------------------------------------
-
-
-@register("c1_master", with_ctes("select * from master", "master"))
-def _(spark, d):
-    return _master(spark, d)
-
-
-@register(
-    "c3_enrich",
-    with_ctes(
-        "select m.*, b._risk_segment from master m left join borrowers b using (borrower_id)", "master", "borrowers"
-    ),
-)
-def _(spark, d):
-    return master_ops.enrich_with_segment(_master(spark, d), adapters.borrowers(spark, d))
-
-
-@register(
-    "c4_lookup",
-    with_ctes(
-        """select 'BOR_' || lpad(cast(s_suppkey * 97 as varchar), 6, '0') as borrower_id, m.risk_score, m.loan_count,
-          m.borrower_id is not null as found,
-          case when m.borrower_id is null then 'Borrower BOR_' || lpad(cast(s_suppkey * 97 as varchar), 6, '0') || ' not found' end as error
-        from supplier left join master m on m.borrower_id = 'BOR_' || lpad(cast(s_suppkey * 97 as varchar), 6, '0')""",
-        "master",
-    ),
-)
-def _(spark, d):
-    wanted = adapters.table(spark, d, "supplier").select(
-        L.format_id("borrower", F.col("s_suppkey") * 97).alias("borrower_id")
-    )
-    hits = master_ops.lookup(_master(spark, d), wanted)
-    return hits.select("borrower_id", "risk_score", "loan_count", "found", "error")
-
-
-# --- D: aggregates -----------------------------------------------------------------------------
-
-
-@register("d1_payment_stats", with_ctes("select * from stats", "stats"))
-def _(spark, d):
-    return pay_ops.payment_stats(adapters.payments(spark, d))
-
-
-@register("d2_recent_stats", with_ctes("select * from recent", "recent"))
-def _(spark, d):
-    return pay_ops.recent_stats(adapters.payments(spark, d))
-
-
-@register("d3_features", with_ctes("select * from features", "features"))
-def _(spark, d):
-    return pay_ops.delinquency_features(adapters.payments(spark, d))
-
-
-@register("d4_loan_summary", with_ctes("select * from loan_summary", "loan_summary"))
-def _(spark, d):
-    return loan_ops.loan_summary(adapters.loans(spark, d))
-
-
-@register(
-    "d5_portfolio",
-    with_ctes(
-        f"""select count(*) as borrowers, cast(sum(is_delinquent) as bigint) as delinquent,
-          avg(is_delinquent) as delinquency_rate, {rounded(mean("risk_score"), 4)} as mean_risk_score from master""",
-        "master",
-    ),
-)
-def _(spark, d):
-    return portfolio.portfolio_rates(_master(spark, d))
-
-
-@register(
-    "d6_cohorts",
-    with_ctes(
-        """select count(*) filter (where credit_score_at_origination < 600) as low_credit_borrowers,
-          avg(is_delinquent) filter (where credit_score_at_origination < 600) as low_credit_rate,
-          count(*) filter (where debt_to_income_ratio > 0.25) as high_dti_borrowers,
-          avg(is_delinquent) filter (where debt_to_income_ratio > 0.25) as high_dti_rate,
-          count(*) filter (where employment_status = 'Unemployed') as unemployed_borrowers,
-          avg(is_delinquent) filter (where employment_status = 'Unemployed') as unemployed_rate
-        from master""",
-        "master",
-    ),
-)
-def _(spark, d):
-    return portfolio.cohort_rates(_master(spark, d))
-
-
-@register(
-    "d7_segments",
-    with_ctes(
-        """select _risk_segment, count(*) as borrowers, count(*) / (select count(*) from borrowers) as share
-        from borrowers group by 1""",
-        "borrowers",
-    ),
-)
-def _(spark, d):
-    return portfolio.segment_shares(adapters.borrowers(spark, d))
-
-
-@register(
-    "d8_value_counts",
-    with_ctes(
-        """select field, value, count(*) as count from (
-          select 'risk_category' as field, risk_category as value from high_risk
-          union all select 'priority_level', cast(priority_level as varchar) from high_risk
-          union all select 'recommended_action', recommended_action from high_risk
-          union all select 'state', state from high_risk) where value is not null group by 1, 2""",
-        "high_risk",
-    ),
-)
-def _(spark, d):
-    return out_ops.value_counts(out_ops.high_risk(_outreach(spark, d)))
-
-
-_OUT_COLUMNS = (
-    "borrower_id state loan_id current_balance days_delinquent risk_score risk_category delinquency_probability"
-    " recommended_action priority_level last_payment_date next_due_date total_owed processing_date"
-).split()
-_GAPS = " + ".join(f"({c} is null)::int" for c in schemas.MASTER.names)
-
-
-@register(
-    "d9_completeness",
-    with_ctes(
-        f"""select (count(*) * 36 - sum({_GAPS})) / (count(*) * 36) as completeness,
-          cast(sum({_GAPS}) as bigint) as missing_values from master""",
-        "master",
-    ),
-)
-def _(spark, d):
-    return out_ops.completeness(_master(spark, d))
-
-
-_OUT_GAPS = " + ".join(f"({c} is null)::int" for c in _OUT_COLUMNS)
-
-
-@register(
-    "d10_summary",
-    with_ctes(
-        f"""select count(*) as total_borrowers, {money("risk_score")} / count(risk_score) as average_risk_score,
-          count(*) filter (where days_delinquent > 0) as delinquent_borrowers,
-          {money("total_owed")} as total_outstanding_balance, {money("total_owed")} / count(total_owed) as average_outstanding_balance,
-          (count(*) * 14 - sum({_OUT_GAPS})) / (count(*) * 14) as completeness,
-          cast(sum({_OUT_GAPS}) as bigint) as missing_values from high_risk""",
-        "high_risk",
-    ),
-)
-def _(spark, d):
-    return out_ops.summary_figures(out_ops.high_risk(_outreach(spark, d)))
-
-
-def _map_sql(column: str) -> str:
-    return f"""(select '{{' || string_agg('"' || k || '":' || n, ',' order by k) || '}}' from (
-      select cast({column} as varchar) as k, count(*) as n from high_risk where {column} is not null group by 1))"""
-
-
-@register(
-    "d10_summary_report",
-    with_ctes(
-        f"""select '2025-01-01T00:00:00' as processing_date, count(*) as total_borrowers,
-          {_map_sql("risk_category")} as risk_distribution, {_map_sql("priority_level")} as action_priorities,
-          {_map_sql("recommended_action")} as recommended_actions, {_map_sql("state")} as state_distribution
-        from high_risk""",
-        "high_risk",
-    ),
-)
-def _(spark, d):
-    listed = materialise(out_ops.high_risk(_outreach(spark, d)), "outreach")
-    report = out_ops.summary_report(listed, AS_OF_TIME)
-    maps = ["risk_distribution", "action_priorities", "recommended_actions", "state_distribution"]
-    return report.select("processing_date", "total_borrowers", *[F.to_json(m).alias(m) for m in maps])
-
-
-@register(
-    "d11_short_summary",
-    with_ctes(
-        f"""select 'Total Borrowers' as metric, cast(count(*) as varchar) as value from high_risk
-        union all select 'High Risk Count', cast(count(*) as varchar) from high_risk where risk_category in ('High', 'Critical')
-        union all select 'Average Risk Score', format('{{:.2f}}', {rounded(f"{money('risk_score')} / count(risk_score)", 2)}) from high_risk
-        union all select 'Total Outstanding', '$' || format('{{:,.2f}}', {money("total_owed")}) from high_risk""",
-        "high_risk",
-    ),
-)
-def _(spark, d):
-    return out_ops.short_summary(out_ops.high_risk(_outreach(spark, d)))
-
-
-@register(
-    "d12_batch_summary",
-    with_ctes(
-        f"""select count(*) as total_records, count(*) filter (where risk_category in ('High', 'Critical')) as high_risk_count,
-          {rounded(mean("risk_score"), 4)} as average_risk_score from rule_scored""",
-        "rule_scored",
-    ),
-)
-def _(spark, d):
-    return out_ops.batch_summary(_rule_scored(spark, d))
-
-
-@register(
-    "d13_sql_risk",
-    with_ctes(
-        f"""select is_delinquent, count(*) as borrower_count, {rounded("avg(risk_score)", 6)} as avg_risk_score,
-          {rounded("avg(total_loan_amount)", 4)} as avg_loan_amount from master group by 1""",
-        "master",
-    ),
-)
-def _(spark, d):
-    return portfolio.risk_by_target(_master(spark, d)).withColumns(
-        {
-            "avg_risk_score": np_round(F.col("avg_risk_score"), 6),
-            "avg_loan_amount": np_round(F.col("avg_loan_amount"), 4),
-        }
-    )
-
-
-@register(
-    "d14_sql_payments",
-    with_ctes(
-        "select payment_status, count(*) as payment_count, avg(days_late) as avg_days_late from payments group by 1",
-        "payments",
-    ),
-)
-def _(spark, d):
-    return pay_ops.payments_by_status(adapters.payments(spark, d))
-
-
-def _fit_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
-@register(
-    "d15_impute",
-    with_ctes(
-        " union all ".join(
-            [f"select '{c}' as column, median({c})::double as median, null::varchar as mode from master" for c in schemas.NUMERIC_FEATURES]
-            + [
-                f"""select '{c}', null, (select {c} from master where {c} is not null group by {c}
-                  order by count(*) desc, {c} limit 1)"""
-                for c in schemas.CATEGORICAL_FEATURES
-            ]
-        ),
-        "master",
-    ),
-)
-def _(spark, d):
-    fitted = preprocess.fit_features(_master(spark, d), AS_OF)
-    rows = [(c, m, None) for c, m in fitted.medians.items()] + [(c, None, m) for c, m in fitted.modes.items()]
-    return _fit_rows(spark, rows, "column string, median double, mode string")
-
-
-@register(
-    "d16_categories",
-    with_ctes(
-        " union all ".join(
-            f"""select '{c}' as column, category,
-              cast(row_number() over (order by category nulls last) - 1 as int) as position
-            from (select distinct {c} as category from engineered)"""
-            for c in preprocess.ENCODED_FEATURES
-        ),
-        "engineered",
-    ),
-)
-def _(spark, d):
-    base = preprocess.add_engineered(_master(spark, d), AS_OF)
-    return preprocess.category_positions(preprocess.category_counts(base, preprocess.ENCODED_FEATURES))
-
-
-@register(
-    "d17_scale",
-    with_ctes(
-        " union all ".join(
-            f"""select '{c}' as column, {rounded(f"avg({c})", 4)} as mean, {rounded(f"stddev_pop({c})", 4)} as std from imputed"""
-            for c in schemas.SCALED_FEATURES
-        ),
-        "imputed",
-    ),
-)
-def _(spark, d):
-    master = materialise(_master(spark, d), "master")
-    fitted = preprocess.fit_features(master, AS_OF)
-    stats = preprocess.scaling_stats(fitted.impute(fitted.engineer(master)), schemas.SCALED_FEATURES)
-    return stats.select("column", np_round(F.col("mean"), 4).alias("mean"), np_round(F.col("std"), 4).alias("std"))
-
-
-@register(
-    "d18_balance",
-    with_ctes("select split, count(*) as samples, avg(is_delinquent) as positive_rate from split group by 1", "split"),
-)
-def _(spark, d):
-    return sampling.class_balance(sampling.stratified_split(materialise(_master(spark, d), "master")))
-
-
-@register(
-    "d19_class_metrics",
-    with_ctes(
-        """select tp, fp, fn, tn, coalesce(tp / nullif(tp + fp, 0), 0) as test_precision,
-          coalesce(tp / nullif(tp + fn, 0), 0) as test_recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) as test_f1,
-          (tp + tn) / (tp + fp + fn + tn) as test_accuracy
-        from (select count(*) filter (where n_chars > 1000 and quality = 1) as tp,
-            count(*) filter (where n_chars > 1000 and quality <> 1) as fp,
-            count(*) filter (where n_chars <= 1000 and quality = 1) as fn,
-            count(*) filter (where n_chars <= 1000 and quality <> 1) as tn from scored_docs)""",
-        "scored_docs",
-    ),
-)
-def _(spark, d):
-    called = _scored_docs(spark, d).withColumn("prediction", (F.col("n_chars") > 1000).cast("int"))
-    return metrics.class_metrics(called, "prediction", "quality")
-
-
-@register(
-    "d20_prediction_stats",
-    with_ctes(
-        f"""select risk_category, count(*) as predictions, {rounded(mean("risk_score"), 4)} as mean_risk_score
-        from rule_scored group by 1""",
-        "rule_scored",
-    ),
-)
-def _(spark, d):
-    return metrics.prediction_stats(_rule_scored(spark, d))
-
-
-@register(
-    "d21_documented",
-    with_ctes(
-        f"""select borrower_id, {rounded("stddev_samp(days_late)", 2)} as payment_volatility, any_value(burden) as payment_burden_score,
-          any_value(concentration) as loan_concentration
-        from payments join (select borrower_id, {rounded("total_monthly_payment / nullif(annual_income / 12, 0)", 6)} as burden from master)
-            using (borrower_id)
-          join (select borrower_id, {rounded(f"max(loan_amount) / {money('loan_amount')}", 6)} as concentration from loans group by 1)
-            using (borrower_id)
-        group by 1""",
-        "master",
-    ),
-)
-def _(spark, d):
-    volatility = pay_ops.payment_volatility(adapters.payments(spark, d))
-    burden = portfolio.payment_burden(_master(spark, d))
-    concentration = loan_ops.loan_concentration(adapters.loans(spark, d))
-    return volatility.join(burden, "borrower_id").join(concentration, "borrower_id")
-
-
-@register(
-    "d21_seasonal",
-    with_ctes(
-        f"""select cast(month(payment_date) as int) as month, {rounded("avg(days_late)", 4)} as avg_days_late,
-          count(*) as payment_count from payments group by 1""",
-        "payments",
-    ),
-)
-def _(spark, d):
-    return pay_ops.seasonal_lateness(adapters.payments(spark, d))
-
-
-@register(
-    "f2_priority_counts",
-    with_ctes("select priority_level, count(*) as count from high_risk group by 1 order by 1", "high_risk"),
-)
-def _(spark, d):
-    return out_ops.sorted_counts(out_ops.high_risk(_outreach(spark, d)), "priority_level")
-
-
-# --- E, F: ranking and top-k ------------------------------------------------------------------
-
-
-_RANKED = """select score, pos, neg, sum(neg) over (order by score) - neg as neg_below,
-    sum(pos) over (order by score) - pos as pos_below, sum(pos) over () as p, sum(neg) over () as n
-  from (select n_chars as score, count(*) filter (where quality = 1) as pos, count(*) filter (where quality = 0) as neg
-    from scored_docs group by 1)"""
-
-
-@register(
-    "e1_auc",
-    with_ctes(
-        f"select cast(sum(pos * (2 * neg_below + neg)) as double) / (cast(max(p) * max(n) as double) * 2) as roc_auc from ({_RANKED})",
-        "scored_docs",
-    ),
-)
-def _(spark, d):
-    return metrics.roc_auc(_scored_docs(spark, d), "n_chars", "quality")
-
-
-@register(
-    "e2_avg_precision",
-    with_ctes(
-        f"""select {rounded("sum(pos * ((p - pos_below) / (p - pos_below + n - neg_below))) / max(p)", 10)} as average_precision
-        from ({_RANKED})""",
-        "scored_docs",
-    ),
-)
-def _(spark, d):
-    out = metrics.average_precision(_scored_docs(spark, d), "n_chars", "quality")
-    return out.select(np_round(F.col("average_precision"), 10).alias("average_precision"))
-
-
-@register("e3_split", with_ctes("select borrower_id, is_delinquent, split from split", "split"))
-def _(spark, d):
-    master = materialise(_master(spark, d), "master")
-    return sampling.stratified_split(master).select("borrower_id", "is_delinquent", "split")
-
-
-@register(
-    "e4_recent_trend",
-    with_ctes(
-        f"""select borrower_id, {rounded("avg(days_late)", 2)} as recent_trend, count(*) as payments_used
-        from (select borrower_id, days_late,
-            row_number() over (partition by borrower_id order by payment_date desc, payment_id desc) as r from payments)
-        where r <= 6 group by 1""",
-        "payments",
-    ),
-)
-def _(spark, d):
-    return pay_ops.last_payments_trend(adapters.payments(spark, d))
-
-
-@register(
-    "f3_first_of_segment",
-    with_ctes("select _risk_segment, min(borrower_id) as first_borrower_id from borrowers group by 1", "borrowers"),
-)
-def _(spark, d):
-    return master_ops.first_of_segment(adapters.borrowers(spark, d))
-
-
-@register(
-    "f3_first_ids",
-    with_ctes("select borrower_id from master order by 1 limit 10", "master"),
-)
-def _(spark, d):
-    return master_ops.first_ids(_master(spark, d))
-
-
-@register(
-    "f4_work_list",
-    with_ctes(
-        "select * from high_risk order by priority_level, risk_score desc, borrower_id limit 50", "high_risk"
-    ),
-)
-def _(spark, d):
-    return out_ops.work_list(out_ops.high_risk(_outreach(spark, d)), 50)
-
-
-# --- H: models ---------------------------------------------------------------------------------
-
-
-_SHOWN = ["age", "annual_income", "debt_to_income_ratio", "risk_score", "years_since_graduation", "high_debt_burden"]
-_ENCODED = {
-    "state_FL": "state = 'FL'",
-    "gender_M": "gender = 'M'",
-    "housing_status_Rent": "housing_status = 'Rent'",
-    "age_group_Middle": "age_group = 'Middle'",
-    "income_category_nan": "income_category is null",
-    "credit_category_Poor": "credit_category = 'Poor'",
-}
-
-
-@register(
-    "h1_features",
-    with_ctes(
-        "select borrower_id, graduate_degree::double as graduate_degree, "
-        + ", ".join(
-            f"""{rounded(f"({c} - (select avg({c}) from imputed)) / (select stddev_pop({c}) from imputed)", 6)} as {c}"""
-            for c in _SHOWN
-        )
-        + ", "
-        + ", ".join(f"coalesce({test}, false)::int::double as {name}" for name, test in _ENCODED.items())
-        + " from imputed",
-        "imputed",
-    ),
-)
-def _(spark, d):
-    master = materialise(_master(spark, d), "master")
-    wide = preprocess.fit_features(master, AS_OF).transform(master)
-    return wide.select(
-        "borrower_id",
-        "graduate_degree",
-        *[np_round(F.col(c), 6).alias(c) for c in _SHOWN],
-        *[F.col(c) for c in _ENCODED],
-    )
-
-
-# Moderate settings: enough to rank borrowers, one short fit each.
-_LIGHT = {
-    "logistic_regression": {"maxIter": 50},
-    "random_forest": {"numTrees": 20, "maxDepth": 5},
-    "gradient_boosting": {"maxIter": 10},
-    "xgboost": {"maxIter": 10},
-}
-_prepared: dict[tuple[str, str], tuple] = {}
-_trained: dict[tuple[str, str], ModelSet] = {}
-
-
-def _training_data(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, preprocess.FeatureModel]:
-    """Train and test rows and the fitted preprocessing, shared by the model queries of a session."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _prepared:
-        split = materialise(sampling.stratified_split(materialise(_master(spark, d), "master")), "split")
-        features = preprocess.fit_features(split, AS_OF)
-        train, test = (materialise(part, "features") for part in scoring.training_frame(split, features))
-        _prepared[key] = (train, test, features)
-    return _prepared[key]
-
-
-def _models(spark: SparkSession, d: str) -> tuple[ModelSet, preprocess.FeatureModel]:
-    key = (spark.sparkContext.applicationId, d)
-    train, test, features = _training_data(spark, d)
-    if key not in _trained:
-        _trained[key] = train_all(train, test, features.feature_names, params=_LIGHT, balance="weights")
-    return _trained[key], features
-
-
-@register(
-    "h2_oversample",
-    with_ctes(
-        """select l as is_delinquent, (select max(n) from (select count(*) as n from split where split = 'train'
-            group by is_delinquent)) as samples from (select 0 as l union all select 1)""",
-        "split",
-    ),
-)
-def _(spark, d):
-    train, _test, _features = _training_data(spark, d)
-    return oversample_minority(train).groupBy("is_delinquent").agg(F.count(F.lit(1)).alias("samples"))
-
-
-def _fit_and_measure(spark: SparkSession, d: str, name: str, **options) -> DataFrame:
-    train, test, features = _training_data(spark, d)
-    fitted = train_model(train, name, **{"balance": "weights", **options}, **_LIGHT[name])
-    fitted.metrics = evaluate(fitted.model, test)
-    table = ModelSet({name: fitted}, features.feature_names).metric_table(spark)
-    return table.withColumn("cv_auc", F.lit(fitted.cv_score).cast("double"))
-
-
-@register("h3_logistic_regression")
-def _(spark, d):
-    return _fit_and_measure(spark, d, "logistic_regression")
-
-
-@register("h4_random_forest")
-def _(spark, d):
-    return _fit_and_measure(spark, d, "random_forest")
-
-
-@register("h5_gradient_boosting")
-def _(spark, d):
-    return _fit_and_measure(spark, d, "gradient_boosting")
-
-
-@register("h6_boosting_subsample")
-def _(spark, d):
-    return _fit_and_measure(spark, d, "xgboost")
-
-
-@register("h7_grid_search")
-def _(spark, d):
-    return _fit_and_measure(spark, d, "logistic_regression", grid={"C": [0.1, 1.0]}, folds=3)
-
-
-@register(
-    "h8_select_best",
-    with_ctes(
-        """select model, position, test_f1, test_accuracy, adjusted_score from (
-          select *, case when test_accuracy >= 1 then test_f1 * 0.9 else test_f1 end as adjusted_score from (
-            select t as model, cast(t / 500 as int) as position, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) as test_f1,
-              (tp + tn) / (tp + fp + fn + tn) as test_accuracy
-            from (select t, count(*) filter (where n_chars > t and quality = 1) as tp,
-                count(*) filter (where n_chars > t and quality <> 1) as fp,
-                count(*) filter (where n_chars <= t and quality = 1) as fn,
-                count(*) filter (where n_chars <= t and quality <> 1) as tn
-              from scored_docs cross join (select unnest([500, 1000, 2000]) as t) group by t)))
-        where adjusted_score > 0 order by adjusted_score desc, position limit 1""",
-        "scored_docs",
-    ),
-)
-def _(spark, d):
-    docs = _scored_docs(spark, d)
-    table = None
-    for threshold in (500, 1000, 2000):
-        called = docs.withColumn("prediction", (F.col("n_chars") > threshold).cast("int"))
-        row = metrics.class_metrics(called, "prediction", "quality").select(
-            F.lit(threshold).alias("model"), F.lit(threshold // 500).alias("position"), "test_f1", "test_accuracy"
-        )
-        table = row if table is None else table.unionByName(row)
-    return metrics.select_best(table)
-
-
-@register("h9_predict_all")
-def _(spark, d):
-    models, features = _models(spark, d)
-    answers = scoring.predict_all(_core_requests(spark, d), models, features, AS_OF_TIME)
-    return answers.select(
-        "borrower_id", "risk_assessment.*", "model_used", F.size("all_model_predictions").alias("models"), "error", "error_type"
-    )
-
-
-@register("h10_predict")
-def _(spark, d):
-    models, features = _models(spark, d)
-    scored = scoring.predict(_master(spark, d), models, features)
-    return scored.select("borrower_id", "risk_probability", "risk_prediction", "risk_category", "risk_score")
-
-
-@register("h11_batch_score")
-def _(spark, d):
-    models, features = _models(spark, d)
-    source = f"{scratch_path(spark, 'requests')}.csv"
-    files.write_csv(catalog.conform(_master(spark, d), schemas.REQUEST), source)
-    return jobs.batch_score(spark, source, f"{scratch_path(spark, 'scores')}.json", models, features, AS_OF_TIME)
-
-
-@register("h12_importance")
-def _(spark, d):
-    models, features = _models(spark, d)
-    return top_features(models.models["random_forest"], features.feature_names, spark, 20)
-
-
-@register("a13_model_store", with_ctes("select count(*) as borrowers, 0::bigint as differing from master", "master"))
-def _(spark, d):
-    models, features = _models(spark, d)
-    root = scratch_path(spark, "models")
-    save_models(spark, models, features, root)
-    again, features_again = load_models(spark, root)
-    master = _master(spark, d)
-    first = scoring.predict(master, models, features).select("borrower_id", F.col("risk_probability").alias("a"))
-    second = scoring.predict(master, again, features_again).select("borrower_id", F.col("risk_probability").alias("b"))
-    both = first.join(second, "borrower_id")
-    return both.agg(F.count(F.lit(1)).alias("borrowers"), F.count_if(F.col("a") != F.col("b")).alias("differing"))
-
-
-@register("h14_outreach_rules", with_ctes("select * from high_risk", "high_risk"))
-def _(spark, d):
-    root = scratch_path(spark, "outreach-run")
-    result = jobs.run_outreach(_rule_scored(spark, d), adapters.payments(spark, d), root, AS_OF_TIME)
-    return files.read_json(spark, result.output_files["json"], _outreach(spark, d).schema, array=False)
-
-
-@register("h14_outreach_models")
-def _(spark, d):
-    models, features = _models(spark, d)
-    scored = jobs.with_model_scores(_master(spark, d), models, features, "random_forest")
-    return out_ops.high_risk(jobs.outreach_table(scored, adapters.payments(spark, d), AS_OF_TIME))
-
-
-def _run_outreach(spark: SparkSession, d: str, root: str, as_of: dt.datetime, **options) -> jobs.OutreachResult:
-    scored = jobs.with_rule_scores(materialise(_master(spark, d), "master"))
-    return jobs.run_outreach(scored, adapters.payments(spark, d), root, as_of, **options)
-
-
-@register("a11_summary_sink", CHECKS["d10_summary"])
-def _(spark, d):
-    result = _run_outreach(spark, d, scratch_path(spark, "outreach-run"), AS_OF_TIME)
-    written = spark.read.json(result.output_files["summary"])
-    return written.select(
-        "total_borrowers",
-        "average_risk_score",
-        "delinquent_borrowers",
-        "total_outstanding_balance",
-        "average_outstanding_balance",
-        "data_quality.completeness",
-        "data_quality.missing_values",
-    )
-
-
-@register(
-    "a12_output_runs",
-    with_ctes(
-        """select '20250101_000000' as run_ts, count(*) as borrowers from high_risk
-        union all select '20250201_000000', count(*) from outreach""",
-        "high_risk",
-    ),
-)
-def _(spark, d):
-    root = scratch_path(spark, "outreach-run")
-    _run_outreach(spark, d, root, AS_OF_TIME)
-    _run_outreach(spark, d, root, dt.datetime(2025, 2, 1), filter_high_risk=False)
-    runs = spark.read.schema("borrower_id string, run_ts string").json(f"{root}/json")
-    return runs.groupBy("run_ts").agg(F.count(F.lit(1)).alias("borrowers"))
-
-
-# --- I: data quality ---------------------------------------------------------------------------
-
-
-_NULLS = ", ".join(f"count(*) filter (where {f} is null) as {f}_nulls" for f in schemas.CORE_FIELDS)
-_ANY_NULL = " or ".join(f"{f} is null" for f in schemas.CORE_FIELDS)
-
-
-@register(
-    "i1_i2_core",
-    with_ctes(
-        f"""select count(*) as requests, {_NULLS}, count(*) filter (where {_ANY_NULL}) as rejected
-        from borrowers join loan_summary using (borrower_id)""",
-        "borrowers",
-        "loan_summary",
-    ),
-)
-def _(spark, d):
-    return requests.core_field_nulls(_core_requests(spark, d))
-
-
-def _rule_sql() -> dict[str, str]:
-    tests: dict[str, str] = {}
-    for name, (low, high) in schemas.FIELD_RANGES.items():
-        if low is not None:
-            tests[f"{name}_minimum"] = f"{name} < {low}"
-        if high is not None:
-            tests[f"{name}_maximum"] = f"{name} > {high}"
-    for name, allowed in schemas.FIELD_VALUES.items():
-        tests[f"{name}_values"] = f"{name} not in ({', '.join(repr(a) for a in allowed)})"
-    return tests
-
-
-@register(
-    "i3_contract",
-    with_ctes(
-        " union all ".join(
-            f"select '{rule}' as rule, count(*) as violations from master where {test}" for rule, test in _rule_sql().items()
-        ),
-        "master",
-    ),
-)
-def _(spark, d):
-    return requests.violation_counts(_master(spark, d))
-
-
-@register(
-    "i3_violations",
-    with_ctes(
-        " union all ".join(
-            f"""select borrower_id, '{rule}' as rule, '{rule.rsplit("_", 1)[0]}' as field,
-              cast({rule.rsplit("_", 1)[0]} as varchar) as value from master where {test}"""
-            for rule, test in _rule_sql().items()
-        ),
-        "master",
-    ),
-)
-def _(spark, d):
-    return requests.contract_violations(_master(spark, d))
-
-
-@register(
-    "i4_quarantine",
-    with_ctes(
-        """select borrower_id, annual_income is null as rejected, case when annual_income is null
-            then 'Null values found in core required fields: [''annual_income'']' end as error,
-          case when annual_income is null then 'ValueError' end as error_type
-        from borrowers join loan_summary using (borrower_id)""",
-        "borrowers",
-        "loan_summary",
-    ),
-)
-def _(spark, d):
-    good, rejected = requests.quarantine(_core_requests(spark, d))
-    none = F.lit(None).cast("string")
-    kept = good.select("borrower_id", F.lit(False).alias("rejected"), none.alias("error"), none.alias("error_type"))
-    return kept.unionByName(rejected.select("borrower_id", F.lit(True).alias("rejected"), "error", "error_type"))
-
-
-# --- J: streams --------------------------------------------------------------------------------
-
-
-def _score_by_rules(filled: DataFrame) -> DataFrame:
-    """Stateless scoring of requests by the fallback rule."""
-    p = K.fallback_probability(F.col("credit_score_at_origination"), F.col("debt_to_income_ratio"))
-    full = requests.fill_request_defaults(filled)
-    return full.select(
-        "borrower_id", np_round(p, 9).alias("risk_probability"), K.service_category(p).alias("risk_category")
-    )
-
-
-_STREAM_P = fallback("credit_score_at_origination", "total_monthly_payment * 12 / nullif(annual_income, 0)")
-
-
-@register(
-    "j1_score_stream",
-    with_ctes(
-        f"""select borrower_id, {rounded(_STREAM_P, 9)} as risk_probability, {service_scale(_STREAM_P)} as risk_category
-        from borrowers join loan_summary using (borrower_id)""",
-        "borrowers",
-        "loan_summary",
-    ),
-)
-def _(spark, d):
-    schema = adapters.table(spark, d, "customer").schema
-    arriving = adapters.borrowers_from(read_stream(spark, d, schema, glob="customer.parquet"))
-    summary = loan_ops.loan_summary(adapters.loans(spark, d))
-    incoming = arriving.join(summary, "borrower_id").select("borrower_id", *schemas.CORE_FIELDS)
-    output = scratch_path(spark, "scored")
-    score_stream(incoming, _score_by_rules, output, scratch_path(spark, "state")).awaitTermination()
-    return spark.read.parquet(output)
-
-
-def _window_sql(starts: str) -> str:
-    return f"""select strftime(s, '%Y-%m-%d %H:%M:%S') as window_start,
-      strftime(s + interval 1 hour, '%Y-%m-%d %H:%M:%S') as window_end, event_type, count(*) as requests,
-      count(*) filter (where event_type = 'error') as errors,
-      {rounded("cast(sum(cast(value as decimal(18,4))) as double) / count(value)", 6)} as mean_value
-    from ({starts}) group by s, event_type"""
-
-
-_HOURS = "select date_trunc('hour', ts) as s, event_type, value from events"
-_SLIDING = """select time_bucket(interval 30 minute, ts) - to_minutes(30 * b) as s, event_type, value
-  from events cross join (select unnest([0, 1]) as b)"""
-
-
-def _windows_as_text(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "window_start": _ntz_text("window_start"),
-            "window_end": _ntz_text("window_end"),
-            "mean_value": np_round(F.col("mean_value"), 6),
-        }
-    )
-
-
-@register("j2_metric_windows", _window_sql(_HOURS))
-def _(spark, d):
-    return _windows_as_text(stream_metrics.window_metrics(adapters.table(spark, d, "events")))
-
-
-@register("j2_sliding_windows", _window_sql(_SLIDING))
-def _(spark, d):
-    return _windows_as_text(stream_metrics.window_metrics(adapters.table(spark, d, "events"), slide="30 minutes"))
-
-
-@register(
-    "j2_sessions",
-    """select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as session_start,
-      strftime(max(ts) + interval 30 minute, '%Y-%m-%d %H:%M:%S') as session_end, count(*) as requests,
-      count(*) filter (where event_type = 'error') as errors
-    from (select *, sum(new) over (partition by user_id order by ts rows unbounded preceding) as session
-      from (select *, case when ts < lag(ts) over (partition by user_id order by ts) + interval 30 minute then 0 else 1 end as new
-        from events)) group by user_id, session""",
-)
-def _(spark, d):
-    sessions = stream_metrics.session_metrics(adapters.table(spark, d, "events"))
-    return sessions.withColumns({c: _ntz_text(c) for c in ("session_start", "session_end")})
-
+from delinq.plans.base import CHECKS, QUERIES
+from delinq.plans.queries import catalog, columns, joins, aggregates, ranking, models, quality, streams  # noqa: F401, I001
 
-@register("j2_metric_stream", _window_sql(_HOURS))
-def _(spark, d):
-    schema = adapters.table(spark, d, "events").schema
-    events = read_stream(spark, d, schema, glob="events.parquet")
-    output = scratch_path(spark, "windows")
-    stream_metrics.metrics_stream(
-        events, stream_metrics.overwrite_table(output), scratch_path(spark, "state"), output_mode="complete"
-    ).awaitTermination()
-    return _windows_as_text(spark.read.parquet(output))
+__all__ = ["CHECKS", "QUERIES"]

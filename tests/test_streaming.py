@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from delinq import schemas
 from delinq.models import scoring
 from delinq.plans import jobs
-from delinq.plans.registry import _score_by_rules
+from delinq.plans.queries.streams import _score_by_rules
 from delinq.streaming import metrics as stream_metrics
 from delinq.streaming.scoring import model_scorer, read_stream, score_stream
 
