@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 #: Fixed values of the model files: the sign for a blank, what the score of an unknown character is less by.
 BLANK_SIGN = "\u2581"
@@ -145,9 +146,9 @@ def pieces(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _mapped(docs: DataFrame, column: str, new: str, kind: str, convert) -> DataFrame:
+def _mapped(docs: DataFrame, column: str, new: str, kind: DataType, convert) -> DataFrame:
     """``docs`` with a column made from another, a bounded number of rows at a time."""
-    schema = docs.schema.add(new, kind)
+    schema = StructType([*docs.schema.fields, StructField(new, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +168,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
         offsets = np.cumsum([0, *[len(f) // 4 for f in found]], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
-    return _mapped(docs, text, ids, "array<int>", convert)
+    return _mapped(docs, text, ids, ArrayType(IntegerType()), convert)
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -176,7 +177,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
     def convert(lists: pa.Array) -> pa.Array:
         return pa.array([pieces(model).decode(i.as_py() or []) for i in lists], pa.string())
 
-    return _mapped(docs, ids, text, "string", convert)
+    return _mapped(docs, ids, text, StringType(), convert)
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
