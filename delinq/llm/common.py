@@ -40,3 +40,25 @@ def words_of(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
+
+
+class Memory:
+    """Values by key in two generations: what is not asked for while ``size`` new keys come in is forgotten."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """Keys without a value yet; the others are in ``now`` until the next call."""
+        if len(self.now) > self.size:
+            self.before, self.now = self.now, {}
+        out, before, now = [], self.before, self.now
+        for key in keys - now.keys():
+            value = before.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                now[key] = value
+        return out

@@ -2,8 +2,8 @@
 
 The best segmentation under the piece scores of a model file is found from left to right. Scores are kept for
 the positions a piece can still reach (the longest piece bounds them); back pointers are kept from the last
-committed boundary on. As soon as the paths to all reachable positions run through one boundary, the ids
-before it are committed. Of equal scores the path through the longer last piece stays.
+committed boundary on. Whenever that window is full and the paths to all reachable positions run through one boundary, the
+ids before it are committed. Of equal scores the path through the longer last piece stays.
 
 No piece of a vocabulary may join a blank to a character before it (checked when it is loaded), so every path
 runs through the boundary before a blank, and the search starts afresh there. What stands between two such
@@ -19,6 +19,7 @@ are encoded one by one; an empty table gives an empty table; other columns are n
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
+from delinq.llm.common import Memory
 
 #: Fixed values of the model files: the sign for a blank, what the score of an unknown character is less by.
 BLANK_SIGN = "\u2581"
@@ -68,7 +70,7 @@ class Pieces:
             node[""] = (i, model.get_score(i))
             self.longest, lowest = max(self.longest, len(text)), min(lowest, model.get_score(i))
         self.unknown = lowest - UNKNOWN_PENALTY
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(KNOWN)
 
     def ids_of(self, start_id: int, text: str) -> list[int]:
         """A found piece, or the byte pieces of a character without one."""
@@ -76,61 +78,67 @@ class Pieces:
 
     def search(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, yielded as they are committed."""
-        best = {0: 0.0}  # scores of positions that can be reached and are not yet passed
-        back: dict[int, tuple[int, int]] = {}  # position: start and id of its last piece, since the last commit
-        base = 0
-        for at in range(len(text)):
-            score, node, single = best.pop(at), self.tree, False
-            for end in range(at, min(len(text), at + self.longest)):
+        tree, longest, unknown, n = self.tree, self.longest, self.unknown, len(text)
+        base, scores, starts, found_ids = 0, [0.0], [0], [-1]  # per position from the last commit on
+        last = 0  # the furthest position reached
+        for at in range(n):
+            score, node, single = scores[at - base], tree, False
+            for end in range(at, n):
                 node = node.get(text[end])
                 if node is None:
                     break
                 found = node.get("")
-                if found is not None:
-                    single |= end == at
-                    if end + 1 not in best or score + found[1] > best[end + 1]:
-                        best[end + 1], back[end + 1] = score + found[1], (at, found[0])
-            if not single and (at + 1 not in best or score + self.unknown > best[at + 1]):
-                best[at + 1], back[at + 1] = score + self.unknown, (at, -1)
-            meet = self._meeting(list(best), back, base)
+                if found is None:
+                    continue
+                single = single or end == at
+                if end >= last:
+                    more = end + 1 - last
+                    scores += [None] * more
+                    starts += [0] * more
+                    found_ids += [-1] * more
+                    last = end + 1
+                k, new = end + 1 - base, score + found[1]
+                if scores[k] is None or new > scores[k]:
+                    scores[k], starts[k], found_ids[k] = new, at, found[0]
+            if not single:
+                if at >= last:
+                    scores.append(None)
+                    starts.append(0)
+                    found_ids.append(-1)
+                    last = at + 1
+                k, new = at + 1 - base, score + unknown
+                if scores[k] is None or new > scores[k]:
+                    scores[k], starts[k], found_ids[k] = new, at, -1
+            if at + 1 < n and at + 1 - base < longest:
+                continue  # the window isn't full
+            live = {p for p in range(at + 1, last + 1) if scores[p - base] is not None}
+            while len(live) > 1 and base not in live:
+                furthest = max(live)
+                live.remove(furthest)
+                live.add(starts[furthest - base])
+            meet = min(live)
             if meet > base:
                 ids, end = [], meet
                 while end > base:
-                    start, found_id = back[end]
-                    ids.append(self.ids_of(found_id, text[start:end]))
+                    start = starts[end - base]
+                    ids.append(self.ids_of(found_ids[end - base], text[start:end]))
                     end = start
                 yield [i for part in reversed(ids) for i in part]
+                scores, starts, found_ids = (x[meet - base :] for x in (scores, starts, found_ids))
                 base = meet
-                back = {p: v for p, v in back.items() if p > base}
-
-    @staticmethod
-    def _meeting(ends: list[int], back: dict, base: int) -> int:
-        """The last boundary that the paths to all ``ends`` share."""
-        live = set(ends)
-        while len(live) > 1:
-            last = max(live)
-            live.remove(last)
-            live.add(back[last][0])
-            if base in live:
-                return base
-        return live.pop()
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        words = text.split(" ")
-        segments = [" " + w for w in words] if "" not in words else _SEGMENT.findall(" " + text)
-        known, out = self.known, []
-        for segment in segments:
-            ids = known.get(segment)
-            if ids is None:
-                ids = np.array([i for some in self.search(segment) for i in some], "<i4").tobytes()
-                if len(known) >= KNOWN:
-                    known.clear()
-                known[segment] = ids
-            out.append(ids)
-        return b"".join(out)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        cut = []
+        for text in texts:
+            words = text.split(" ")
+            plain = "" not in words
+            cut.append([" " + w for w in words] if plain else _SEGMENT.findall(" " + text) if text else [])
+        new = self.known.missing(set().union(*cut))
+        known = self.known.now
+        for segment in new:
+            known[segment] = array("i", [i for some in self.search(segment) for i in some]).tobytes()
+        return [b"".join([known[s] for s in segments]) for segments in cut]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
@@ -164,7 +172,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
     """``docs`` with the ids of a text column as array<int>."""
 
     def convert(texts: pa.Array) -> pa.Array:
-        found = [pieces(model).encode(t.as_py() or "") for t in texts]
+        found = pieces(model).encode_all([t or "" for t in texts.to_pylist()])
         offsets = np.cumsum([0, *[len(f) // 4 for f in found]], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
@@ -175,7 +183,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
     """``docs`` with the text of an id column; null gives an empty text."""
 
     def convert(lists: pa.Array) -> pa.Array:
-        return pa.array([pieces(model).decode(i.as_py() or []) for i in lists], pa.string())
+        return pa.array([pieces(model).decode(i or []) for i in lists.to_pylist()], pa.string())
 
     return _mapped(docs, ids, text, StringType(), convert)
 

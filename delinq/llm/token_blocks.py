@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delinq.llm.common import written
+from delinq.llm.common import Memory, written
 from delinq.session import scratch_path
 
 MAGIC = b"IDBLOCK1"
@@ -125,20 +126,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(KNOWN)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.CUT.split(text) for text in texts]
         parts = [[words[0], *[" " + w for w in words[1:]]] for words in cut]
-        known = self.known
-        new = [w for w in set().union(*parts) if w not in known]
-        if len(known) + len(new) > KNOWN:
-            known.clear()
-            new = list(set().union(*parts))
+        new = self.known.missing(set().union(*parts))
+        known = self.known.now
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
+                known[word] = array("I", found.ids).tobytes()
         return [np.frombuffer(b"".join([known[w] for w in p]), "<u4") for p in parts]
 
 

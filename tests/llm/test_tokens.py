@@ -99,7 +99,7 @@ def test_streaming_equals_whole_search():
     for text in texts:
         streamed = [i for part in pieces.search(" " + text) for i in part] if text else []
         assert streamed == (whole_search(pieces, " " + text) if text else [])
-        ids = np.frombuffer(pieces.encode(text), "<i4").tolist()
+        ids = np.frombuffer(pieces.encode_all([text])[0], "<i4").tolist()
         assert ids == streamed and pieces.decode(ids) == text
 
 
@@ -116,7 +116,7 @@ def test_equals_library_unigram():
     data[at + 8] = 1  # the model file's kind: 1 is unigram
     library, pieces = SentencePieceProcessor(model_proto=bytes(data)), piece_viterbi.pieces(MODEL)
     for word in ["the", "information", "unthinkable", "Straße", "antidisestablishment", "ereding", "heaou", "ab12,cd"]:
-        assert np.frombuffer(pieces.encode(word), "<i4").tolist() == library.nbest_encode_as_ids(word, 2)[0]
+        assert np.frombuffer(pieces.encode_all([word])[0], "<i4").tolist() == library.nbest_encode_as_ids(word, 2)[0]
 
 
 def test_query_round_trips(spark, small):
