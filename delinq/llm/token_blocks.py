@@ -150,7 +150,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _store(folder: str):
+def shared_store(folder: str):
     """File system and path of the shared folder, whatever store holds it."""
     if "://" not in folder:
         return fs.LocalFileSystem(), folder.removeprefix("file:")
@@ -161,7 +161,7 @@ def _writer(vocabulary: str, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        store, root = _store(folder)
+        store, root = shared_store(folder)
         store.create_dir(root, recursive=True)
         part, made, start = TaskContext.get().partitionId(), [], 0
         doc_ids, counts, pieces, held = [], [], [], 0
@@ -209,7 +209,7 @@ def write_tokens(docs: DataFrame, vocabulary: str) -> tuple[DataFrame, str]:
 
 def _reader(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = shared_store(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 with store.open_input_file(f"{root}/{row['path']}") as file:
