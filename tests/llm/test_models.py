@@ -1,0 +1,263 @@
+"""Near duplicates, fingerprints and models: brute force, held-out accuracy, odd inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from delinq.llm import byte_cnn, interp_lm, jaccard_groups, prefix_hash, skip_crf
+from delinq.llm.queries import QUERIES
+
+TEXTS = "doc_id long, text string, n string"
+
+
+@pytest.fixture(scope="module")
+def documents(spark, small):
+    return {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_components(texts: dict) -> dict:
+    sets = {}
+    for i, t in texts.items():
+        w = words_of(t)
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    parent = {i: i for i in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(texts)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * len(sets[a] | sets[b]):
+                ra, rb = sorted((root(a), root(b)))
+                parent[rb] = ra
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for _ in range(n):
+        out[rng.randrange(len(out))] = f"e{rng.random()}"
+    return out
+
+
+@pytest.mark.parametrize("large", [64, 1])
+def test_components_equal_brute_force(spark, monkeypatch, large):
+    """Groups of near copies, chains, shared passages; also with rounds for all lists."""
+    monkeypatch.setattr(jaccard_groups, "LARGE", large)
+    rng, texts = random.Random(3), {}
+    passage = [f"p{k}" for k in range(60)]
+    for g in range(6):
+        base = [f"g{g}w{k}" for k in range(rng.choice([6, 40, 120]))]
+        for _ in range(rng.choice([2, 8, 15])):
+            texts[len(texts)] = " ".join(edited(rng, base, rng.randrange(4)))
+        for _ in range(6):  # a chain of ever more edits
+            base = edited(rng, base, 1)
+            texts[len(texts)] = "\n".join(base).upper()
+    for k in range(40):
+        texts[len(texts)] = " ".join([f"u{k}x{i}" for i in range(rng.randrange(80))] + passage)
+    texts |= {900: None, 901: "", 902: " \t\n", 903: "one two", 904: "ONE\ttwo", 905: "one two three"}
+    rows = [(i, t, "x") for i, t in texts.items()] + [(3, texts[3], "x"), (3, texts[3], "x")]
+    out = jaccard_groups.cluster(spark.createDataFrame(rows, TEXTS)).collect()
+    assert len(out) == len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(texts)
+
+
+def test_one_of_each_keeps_one(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(5, base, "a"), (4, base + " end", "b"), (7, base, "c"), (5, base, "a"), (8, "other text", "d"), (9, None, "e"), (None, "", "f")]
+    frame = spark.createDataFrame(rows, TEXTS)
+    out = jaccard_groups.one_of_each(frame)
+    assert sorted(r.n for r in out.collect()) == ["b", "d", "e", "f"] and out.columns == frame.columns
+    assert jaccard_groups.one_of_each(frame.where("false")).count() == 0
+    assert jaccard_groups.cluster(frame.where("false")).count() == 0
+
+
+def test_spans_and_extensions():
+    rng = random.Random(2)
+    a, b = ("".join(rng.choice("abé\U0001f600") for _ in range(400)) for _ in range(2))
+    b = b[:100] + a[50:250] + b[300:]
+    x, y = prefix_hash.PrefixHash(a), prefix_hash.PrefixHash(b)
+    for _ in range(300):
+        i, j, n = rng.randrange(300), rng.randrange(300), rng.randrange(1, 90)
+        assert (x.span(i, n) == y.span(j, n)) == (a[i : i + n] == b[j : j + n])
+        k = 0
+        while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+            k += 1
+        assert prefix_hash.common_extension(x, i, y, j) == k
+    assert prefix_hash.common_extension(x, 50, y, 100) >= 200
+
+
+def test_edited_prints_equal_direct_ones():
+    rng = random.Random(4)
+    texts = ["", "a", "ab", "x" * 500] + ["".join(rng.choice("ab cdé") for _ in range(rng.randrange(200))) for _ in range(60)]
+    for a in texts:
+        b = rng.choice(texts)
+        text, found = prefix_hash.Document(a).edited(prefix_hash.Document(b))
+        assert text == a[: len(a) - len(a) // 2] + b[: len(a) // 2]
+        assert found.text == prefix_hash.Document(text).fingerprint.text
+        assert prefix_hash.read_fingerprint(found.text).text == found.text
+
+
+def test_prints_of_all_documents(spark, small, documents):
+    rows = {r.doc_id: r for r in QUERIES["op7_prefix_hash"](spark, small).collect()}
+    order = sorted(documents, reverse=True)
+    for i, d in enumerate(order):
+        text, other = documents[d].text, documents[order[(i + 1) % len(order)]].text
+        half = len(text) // 2
+        made = text[: len(text) - half] + other[:half]
+        assert rows[d].edited_sha256 == hashlib.sha256(made.encode()).hexdigest() and rows[d].n_chars == len(text)
+        assert rows[d].fingerprint == prefix_hash.Document(text).fingerprint.text
+    assert np.mean([r.near_edited for r in rows.values()]) > 0.25 > 0.05 > np.mean([r.near_next for r in rows.values()])
+
+
+def test_prints_edge_cases(spark):
+    rows = [(2, "same text", ""), (1, "same text", ""), (None, None, ""), (None, "", ""), (9, "é" * 100_000, "")]
+    frame = spark.createDataFrame(rows, TEXTS).repartition(3)
+    out = prefix_hash.with_next(frame).collect()
+    assert len(out) == 5 and len({r.fingerprint for r in out if r.doc_id in (1, 2)}) == 1
+    assert next(r for r in out if r.doc_id == 2).near_next == 1.0
+    assert prefix_hash.with_next(frame.where("doc_id = 2")).first().near_next == 1.0
+    assert prefix_hash.with_next(frame.where("false")).count() == 0
+
+
+def crc(i, m):
+    return zlib.crc32(str(i).encode()) % m
+
+
+def test_scores_equal_plain_model(spark, small, documents, monkeypatch):
+    monkeypatch.setattr(interp_lm, "CHUNK_TOKENS", 3000)
+    kept = {}
+    fit = interp_lm.fit_weights
+    monkeypatch.setattr(interp_lm, "fit_weights", lambda *a: kept.setdefault("w", fit(*a)))
+    rows = QUERIES["op8_interp_lm"](spark, small).collect()
+    tokens = {i: [*words_of(d.text), "<end>"] for i, d in documents.items()}
+    one, two, n_docs = Counter(), Counter(), 0
+    for i, t in tokens.items():
+        if crc(i, 5) != 1:
+            one.update(t)
+            two.update(zip(["<start>", *t], t))
+            n_docs += 1
+    n, v = sum(one.values()), len(one)
+    for r in rows:
+        total = base = 0.0
+        for h, w in zip(["<start>", *tokens[r.doc_id]], tokens[r.doc_id]):
+            c = n_docs if h == "<start>" else one[h]
+            weights = kept["w"][min(int(math.log2(c)) + 1, interp_lm.BUCKETS - 1) if c else 0]
+            total += math.log10(weights[0] * (two[h, w] / c if c else 0) + weights[1] * one[w] / n + weights[2] / (v + 1))
+            base += math.log10((one[w] + 0.5) / (n + 0.5 * (v + 1)))
+        assert r.score == pytest.approx(total) and r.base_score == pytest.approx(base)
+        assert (r.train_tokens, r.n_tokens, r.held_out) == (n, len(tokens[r.doc_id]), crc(r.doc_id, 5) == 1)
+        assert r.n_known == sum(one[w] > 0 for w in tokens[r.doc_id])
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.2 * sum(r.n_tokens for r in held)
+    assert np.allclose(kept["w"].sum(axis=1), 1)
+
+
+def test_scores_edge_cases(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([(1, None, ""), (None, "a b", ""), (2, "A b", ""), (2, "A b", "")], TEXTS)
+    out = interp_lm.score(frame, F.col("doc_id") == 2, F.col("doc_id") == 1).collect()
+    assert sorted((r.n_tokens, r.n_known) for r in out) == [(1, 1), (3, 3), (3, 3), (3, 3)] and out[0].train_tokens == 6
+    none = interp_lm.score(frame, F.lit(False), F.lit(True)).collect()
+    assert {r.score for r in none} == {0.0} and len(none) == 4
+    assert interp_lm.score(frame.where("false"), F.lit(True), F.lit(False)).count() == 0
+
+
+def test_network_gradients():
+    rng = np.random.default_rng(0)
+    net = byte_cnn.ByteNetwork(["a", "b"])
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    windows, labels = rng.integers(0, 256, (4, byte_cnn.WINDOW)).astype(np.uint8), np.array([0, 1, 1, 0])
+    loss = lambda: -np.log(net.probabilities(windows)[np.arange(4), labels]).mean()
+    for name, g in net.gradients(windows, labels).items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        before, step = loss(), 1e-6
+        net.p[name][at] += step
+        assert (loss() - before) / step == pytest.approx(g[at], rel=1e-2, abs=1e-5)
+        net.p[name][at] -= step
+
+
+def test_language_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op9_byte_cnn"](spark, sf).collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == len(lang) and all(r.held_out == (crc(r.doc_id, 4) == 2) and 0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_language_edge_cases(spark):
+    frame = spark.createDataFrame([(1, "text here", "en"), (2, None, "en"), (3, "12 !", None), (None, "more " * 9000, None)], "doc_id long, text string, lang string")
+    from pyspark.sql import functions as F
+
+    net = byte_cnn.train(frame, F.lit(True))
+    assert {r.doc_id: r.lang_pred for r in byte_cnn.predict(frame, net).collect()} == {1: "en", 2: "und", 3: "und", None: "en"}
+    assert byte_cnn.train(frame, F.lit(False)) is None
+    assert {r.lang_pred for r in byte_cnn.predict(frame, None).collect()} == {"und"}
+    assert byte_cnn.predict(frame.where("false"), net).count() == 0
+
+
+def plain_spans(text):
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out += [(2, *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 16 <= len(digits(m[0])) <= 19 and skip_crf.luhn(digits(m[0]))]
+    return out + [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(digits(m[0])) <= 15]
+
+
+def test_base_spans_equal_plain_patterns(documents):
+    rng = random.Random(8)
+    texts = [d.text for d in documents.values()]
+    texts += ["".join(rng.choice("ab1290.@-+ ()_%é") for _ in range(rng.randrange(60))) for _ in range(20_000)]
+    texts += ["4111 1111 1111 1111 256.1.1.1 1.2.3.4.5.6.7.8 a@b.c_d@e.f +1 (253) 555-3368", "1" * 20_000, "a" * 20_000 + "@", "1." * 9000]
+    for t in texts[:-3]:
+        assert skip_crf.base_spans(t) == plain_spans(t), t
+    for t in texts[-3:]:
+        skip_crf.base_spans(t)
+
+
+def test_repeated_number_takes_the_kind(spark):
+    rows = [(i, f"call +1 (253) 555-{1000 + i} now. word {i} year 2024 and again 253.555.{1000 + i} ok", "x") for i in range(60)]
+    rows += [(100 + i, f"nothing but order 7{i:02d}5551{i:03d} here", "x") for i in range(60)] + [(None, None, "x"), (7, rows[7][1], "x")]
+    frame = spark.createDataFrame(rows, TEXTS)
+    out = skip_crf.find_spans(frame, skip_crf.train(frame)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        base, spans = [r.n_email, r.n_ip, r.n_card, r.n_phone], r.spans.split(",") if r.spans else []
+        assert base == [0, 0, 0, int(r.doc_id is not None and r.doc_id < 100)]
+        assert len(spans) == 2 * base[3] and all(s.startswith("phone:") for s in spans)
+    assert skip_crf.find_spans(frame.where("false"), skip_crf.train(frame.where("false"))).count() == 0
+
+
+def test_masking(spark):
+    frame = spark.createDataFrame([(1, "mail a@b.com or 1.2.3.4!", 5), (2, None, None)], "doc_id long, text string, n_chars long")
+    out = {r.doc_id: r for r in skip_crf.mask_documents(frame, skip_crf.train(frame)).collect()}
+    assert out[1].text == "mail [EMAIL] or [IP]!" and out[1].n_chars == len(out[1].text) and out[2].text is None
+    assert skip_crf.masked("abcdef", [(0, 1, 3), (1, 2, 5)]) == "a[EMAIL]f"
+
+
+def test_pipeline(spark, small):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    out = p.run(spark, small)
+    assert out.where("not round_trip").count() == 0 and out.count() > 0
+    for _, stage in p.STAGES[:-1]:
+        assert stage(spark, docs.where("false"), small).columns == docs.columns
