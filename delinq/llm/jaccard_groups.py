@@ -8,10 +8,11 @@ group, and only groups are listed under their prefix shingles.
 Which shingles are frequent is counted over all documents in 2^20 counters of fixed size; the counters decide about
 the order only, so any error in them costs time and never a link.
 
-Links are found in rounds. In each list the members are compared with one of them, and what is linked becomes one
-component; lists within one component are settled, so a large group of near copies costs one comparison a member.
-When few pairs are left, or a round links nothing, every remaining pair of a list from different components that
-passes the length and position filters is compared. Comparisons count the common shingles of the whole sets.
+Long lists and groups of several classes come first, in rounds: the members are compared with one of them, and what
+is linked becomes one component, so a large group of near copies costs about one comparison a member. Rounds end when
+one links nothing. Then every pair of groups in a list that isn't within one component passes the filters: the sizes,
+and how many prefix shingles the pair has in common, for which there is an exact lower bound. The groups that are left
+are expanded, and the whole sets of their members are compared.
 
 Defined results: texts that are null or without words have an empty set and are alone; with fewer than five words
 the whole sequence is the only shingle; repeated rows and equal texts are one class; rows without doc_id link like
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delinq.llm.common import LOWER_AZ, WORD, Memory, written
@@ -34,9 +35,9 @@ SHINGLE = 5
 SLOT_BITS = 20
 _RANGE = 1024  # counters in a row
 KNOWN = 200_000
-#: The remaining pairs are all compared once there are at most this many a list entry, or this many at all.
-PAIRS_PER_ENTRY, PAIRS_AT_ALL = 20, 1_000_000
-MAX_ROUNDS = 12
+#: Lists of more groups are worked in rounds first, at most so many.
+LARGE = 64
+MAX_ROUNDS = 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = Memory(KNOWN)
@@ -117,7 +118,7 @@ def frequent_slots(docs: DataFrame) -> bytes:
         lambda batch: np.concatenate([np.empty(0, np.int64), *map(_slot, shingles(batch.column(0).to_pylist()))]),
     )
     mean = counts.mean()
-    return np.packbits(counts > mean + 8 * np.sqrt(mean) + 48).tobytes()
+    return np.packbits(counts > mean + 4 * np.sqrt(mean) + 4).tobytes()
 
 
 def _ordered(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -247,65 +248,83 @@ def _near_sizes(n, m):
     return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
 
 
-def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (_row, doc_id, n, cls) of all documents, and cls, comp of the linked classes."""
+def _lists(found: DataFrame) -> DataFrame:
+    """token, grp, n, pos, k: the entries of prefix shingles that several (k) groups have."""
+    once = _entries(found).repartition("token").dropDuplicates(["token", "grp"])
+    return once.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1")
+
+
+def _enough_in_prefix() -> Column:
+    """Whether c common prefix shingles allow the similarity for sizes n1 and n2.
+
+    Of the two prefixes take the one that ends first in the common order: what it shares with the other set, the
+    other prefix has too, and at most n less the needed overlap of its shingles are not shared.
+    """
+    needed = F.ceil(3 * (F.col("n1") + F.col("n2")) / 7)
+    spare = [F.col(n) - F.ceil(3 * F.col(n) / 4) + 1 - (F.col(n) - needed) for n in ("n1", "n2")]
+    return F.col("c") >= F.least(*spare)
+
+
+def _groups(classes: DataFrame, comp: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Classes with their component, and grp, rep, low, high: a member and the range of components of each group."""
+    if comp is None:
+        classes = classes.withColumn("comp", F.col("cls"))
+    else:
+        classes = classes.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    return classes, classes.groupBy("grp").agg(
+        F.min("cls").alias("rep"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+
+
+def _settled(x: str, y: str) -> Column:
+    """All classes of both groups are in one component."""
+    return F.least(f"{x}low", f"{y}low") == F.greatest(f"{x}high", f"{y}high")
+
+
+def link(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (_row, doc_id, n, cls) of all documents, and cls, comp of the linked classes (None: no links)."""
     found = written(members(docs, frequent_slots(docs)), "members")
     rows = found.select("_row", "doc_id", "n", "cls", "grp")
-    same = Window.partitionBy("token")
-    lists = _entries(found).withColumn("_low", F.min("grp").over(same)).withColumn("_high", F.max("grp").over(same))
-    lists = lists.where("_low <> _high").select("token", "grp", "n", "pos").distinct()
-    classes = rows.where("n > 0").groupBy("grp", "cls").agg(F.min("_row").alias("_row"))
+    classes = written(rows.where("n > 0").groupBy("grp", "cls", "n").agg(F.min("_row").alias("_row")), "classes")
     several = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("grp")
-    # A group of several classes is a list of its own; its members share their whole prefix.
-    own = rows.where("n > 0").select("grp", "n").distinct().join(several, "grp").select(
-        F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos")
-    )
-    listed = written(
-        lists.unionByName(own).join(classes.select("grp", "cls"), "grp").select("token", "cls", "n", "pos"), "lists"
-    )
-    needed = listed.select("cls").distinct().join(classes.select("cls", "_row"), "cls")
-    sets = written(_sets_of(docs, written(needed, "needed")), "sets")
-    links, comp, idle = None, None, False
-    for turn in range(MAX_ROUNDS + 1):
-        if comp is None:
-            now = listed.withColumn("comp", F.col("cls"))
-        else:
-            now = listed.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        ends = now.groupBy("token").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y").select("token")
-        now = written(now.join(ends, "token"), "open")
-        parts = now.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("token")
-        left, entries = (
-            parts.agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-            .agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k"))
-            .first()
+    lists = written(_lists(found), "lists")
+    large = lists.where(F.col("k") > LARGE)
+    touched = large.select("grp").unionByName(several).distinct()
+    sets = written(_sets_of(docs, written(classes.join(touched, "grp").select("_row", "cls"), "needed")), "sets")
+    links, comp = None, None
+    for turn in range(MAX_ROUNDS):
+        state, groups = _groups(classes, comp)
+        same = Window.partitionBy("token")
+        centre = F.struct(F.xxhash64("grp", F.lit(turn)).alias("o"), "n", "rep", "low", "high")
+        now = large.join(groups, "grp").withColumn("c", F.min(centre).over(same))
+        now = written(now.where(_near_sizes(F.col("n"), F.col("c.n")) & ~_settled("", "c.")), "open")
+        inner = groups.join(several, "grp").where("low < high").select(F.col("rep").alias("x"), "grp")
+        pairs = now.select(F.col("c.rep").alias("x"), "grp").unionByName(inner).distinct()
+        pairs = pairs.join(state.select("grp", "cls"), "grp").where("x <> cls")
+        new = written(
+            _verified(pairs.select(F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct(), sets), "links"
         )
-        if not entries:
+        if new.isEmpty():
             break
-        everything = idle or turn == MAX_ROUNDS or left <= max(PAIRS_AT_ALL, PAIRS_PER_ENTRY * entries)
-        if everything:
-            a, b = now.alias("a"), now.alias("b")
-            places = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
-            pairs = a.join(b, F.col("a.token") == F.col("b.token")).where(
-                (F.col("a.cls") < F.col("b.cls"))
-                & (F.col("a.comp") != F.col("b.comp"))
-                & _near_sizes(F.col("a.n"), F.col("b.n"))
-                & (7 * places >= 3 * (F.col("a.n") + F.col("b.n")))
-            )
-            pairs = pairs.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"))
-        else:
-            order = F.xxhash64("cls", F.lit(turn))
-            centre = now.groupBy("token").agg(F.min(F.struct(order.alias("o"), "cls", "n", "comp")).alias("c"))
-            pairs = now.join(centre, "token").where(
-                (F.col("comp") != F.col("c.comp")) & _near_sizes(F.col("n"), F.col("c.n"))
-            )
-            pairs = pairs.select(F.least("cls", "c.cls").alias("a"), F.greatest("cls", "c.cls").alias("b"))
-        new = written(_verified(pairs.distinct(), sets), "links")
         links = new if links is None else links.unionByName(new)
         comp = written(components(links), "components")
-        if everything:
-            break
-        idle = new.isEmpty()
-    return rows, comp
+    state, groups = _groups(classes, comp)
+    sides = lists.join(groups, "grp")
+    x, y = (sides.select("token", *[F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "low", "high")]) for s in ("x", "y"))
+    together = x.join(y, "token").where(
+        (F.col("xgrp") < F.col("ygrp")) & ~_settled("x", "y") & _near_sizes(F.col("xn"), F.col("yn"))
+    )
+    near = together.groupBy("xgrp", "ygrp", F.col("xn").alias("n1"), F.col("yn").alias("n2")).agg(F.count(F.lit(1)).alias("c"))
+    near = near.where(_enough_in_prefix()).select("xgrp", "ygrp")
+    inner = groups.join(several, "grp").where("low < high").select(F.col("grp").alias("xgrp"), F.col("grp").alias("ygrp"))
+    first, second = (state.select(F.col("grp").alias(f"{s}grp"), F.col("cls").alias(c), F.col("comp").alias(f"{s}comp")) for s, c in (("x", "a"), ("y", "b")))
+    pairs = near.unionByName(inner).join(first, "xgrp").join(second, "ygrp").where("xcomp <> ycomp")
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    needed = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    needed = written(needed.join(classes, "cls").select("_row", "cls"), "needed")
+    new = written(_verified(pairs, written(_sets_of(docs, needed), "sets")), "links")
+    links = new if links is None else links.unionByName(new)
+    return rows, None if links.isEmpty() else written(components(links), "components")
 
 
 def _with_components(docs: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ two entries, divided by B^i, is the hash of the span between them, so any two sp
 time and the longest common extension of two positions is found by binary search. Two moduli below 2^31 keep all
 products in 64 bits; together they give 62-bit hashes.
 
-A fingerprint keeps the hash of the whole text, its length and the ``KEEP`` smallest distinct hashes of its spans
-of ``SPAN`` characters (the whole text, if shorter). Likeness is the share of common spans among the smallest of
+A fingerprint keeps the hash of the whole text, its length and the high 32 bits of the ``KEEP`` smallest distinct
+mixed hashes of its spans of ``SPAN`` characters (the whole text, if shorter). Likeness is the share of common spans among the smallest of
 both, 1 for equal texts. Spans of a text put together from two others come from their prefix arrays; only the
 spans across the seam are hashed anew.
 
@@ -34,7 +34,7 @@ from delinq.llm.common import written
 MODULI = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 SPAN = 24
-KEEP = 64
+KEEP = 48
 
 _POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64)] * 2 for _ in MODULI]
 
@@ -94,13 +94,11 @@ def common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> int:
 def smallest(hashes: np.ndarray) -> np.ndarray:
     """The KEEP smallest distinct values after mixing, sorted."""
     mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    while len(mixed) > 4 * KEEP:
+    mixed = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+    if len(mixed) > 4 * KEEP:
         few = np.unique(np.partition(mixed, 4 * KEEP)[: 4 * KEEP])
         if len(few) >= KEEP:
-            return few[:KEEP]
-        mixed = np.unique(mixed)  # many equal spans
-        return mixed[:KEEP]
+            return few[:KEEP]  # else many spans are equal
     return np.unique(mixed)[:KEEP]
 
 
@@ -113,14 +111,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class Fingerprint:
-    """Whole hash, length and smallest span hashes; ``text`` is its written form."""
+    """Whole hash, length and smallest span hashes; ``text`` is its written form, ``data`` the same in bytes."""
 
     def __init__(self, whole: int, n: int, kept: np.ndarray):
         self.whole, self.n, self.kept = whole, n, kept
 
+    @property
+    def data(self) -> bytes:
+        return np.array([self.whole, self.n], ">u8").tobytes() + self.kept.astype(">u4").tobytes()
+
     @property
     def text(self) -> str:
-        return f"{self.whole:016x}-{self.n:x}-" + self.kept.astype(">u8").tobytes().hex()
+        return self.data.hex()
 
     def likeness(self, other: Fingerprint) -> float:
         if (self.whole, self.n) == (other.whole, other.n):
@@ -129,8 +131,9 @@ class Fingerprint:
 
 
 def read_fingerprint(text: str) -> Fingerprint:
-    whole, n, kept = text.split("-")
-    return Fingerprint(int(whole, 16), int(n, 16), np.frombuffer(bytes.fromhex(kept), ">u8").astype(np.uint64))
+    data = bytes.fromhex(text)
+    whole, n = np.frombuffer(data, ">u8", 2).tolist()
+    return Fingerprint(whole, n, np.frombuffer(data, ">u4", offset=16).astype(np.uint32))
 
 
 class Document:
@@ -172,16 +175,16 @@ _COLUMNS = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("n_chars", pa.int64()),
-        ("edited_sha256", pa.string()),
-        ("fingerprint", pa.string()),
-        ("edited_fingerprint", pa.string()),
+        ("edited_sha256", pa.binary()),
+        ("fingerprint", pa.binary()),
+        ("edited_fingerprint", pa.binary()),
         ("near_edited", pa.float64()),
         ("near_next", pa.float64()),
         ("common_next", pa.int64()),
     ]
 )
 _RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary,"
     " near_edited double, near_next double, common_next long"
 )
 _ENDS = [("part", pa.int32()), ("end", pa.string()), ("text", pa.string())]
@@ -192,9 +195,9 @@ def compare(doc_id, doc: Document, other: Document) -> tuple:
     return (
         doc_id,
         doc.hash.n,
-        hashlib.sha256(text.encode()).hexdigest(),
-        doc.fingerprint.text,
-        edited.text,
+        hashlib.sha256(text.encode()).digest(),
+        doc.fingerprint.data,
+        edited.data,
         doc.fingerprint.likeness(edited),
         doc.fingerprint.likeness(other.fingerprint),
         common_extension(doc.hash, 0, other.hash, 0),
@@ -252,4 +255,6 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = done.where("end = 'head'").select(F.col("part").alias("next_part"), F.col("text").alias("other"))
     tails = done.where("end = 'tail'").select("part", "doc_id", "text").join(following, "part").join(heads, "next_part")
     last = tails.select("doc_id", "text", "other").mapInArrow(_pairs, _RESULT)
-    return done.where("end is null").select(*_COLUMNS.names).unionByName(last)
+    rows = done.where("end is null").select(*_COLUMNS.names).unionByName(last)
+    texts = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in texts})
