@@ -160,7 +160,7 @@ def mix(docs: DataFrame) -> DataFrame:
     out = decided[0]
     for part in decided[1:]:
         out = out.unionByName(part)
-    copies = (F.col("base") + F.col("x")).cast("long")
+    copies = F.when(F.col("size") > 0, F.col("base") + F.col("x")).otherwise(0).cast("long")
     return out.select("_row", "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 

@@ -4,7 +4,7 @@ Patterns find the sure spans of four kinds. They and weaker candidates (number g
 the nodes of one graph per document: neighbours are joined by chain edges, and candidates with the same or similar
 content (equal text, or equal last seven digits) by skip edges, each to its previous occurrence, however distant.
 Labels are the kinds and ``none``. Node weights are trained by logistic regression on the sure spans and the
-remaining candidates, edge weights come from how often joined candidates agree; training reads at most
+candidates without a skip edge to one, edge weights come from how often joined candidates agree; training reads at most
 ``TRAIN_MENTIONS`` candidates, chosen by hashes of doc_id. Sure spans keep their label; loopy sum-product messages
 carry it along the edges, and a candidate that ends as a kind with a belief of ``BELIEF`` or more is added.
 
@@ -205,7 +205,7 @@ def fit(labels: np.ndarray, rows: np.ndarray, pairs: np.ndarray, follows: np.nda
             p = np.exp(score - score.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(labels)), labels] -= 1
-            weights -= 1.0 * (rows.T @ (p * importance[:, None]) + 0.002 * weights)
+            weights -= 1.0 * (rows.T @ (p * importance[:, None]) + 0.005 * weights)
     same, other = (pairs[:, 0] == pairs[:, 1]).sum(), (pairs[:, 0] != pairs[:, 1]).sum()
     skip = float(np.clip(SKIP_PRIOR + np.log((same + 1) / (other + 1)) / 2, *SKIP_BOUNDS))
     counts = np.ones((classes, classes))
@@ -225,14 +225,18 @@ def train(docs: DataFrame) -> SkipChain:
             out = []
             for h, text in zip(batch["h"], batch["text"]):
                 nodes = mentions(text)
-                linked = [[] for _ in nodes]
+                linked, open_ = [[] for _ in nodes], [False] * len(nodes)
                 for a, b in skip_edges(text, nodes):
                     linked[b].append(nodes[a][0])
+                    for x, y in ((a, b), (b, a)):  # a candidate like a sure span may well be one
+                        open_[x] |= nodes[x][0] == NONE != nodes[y][0]
                 for i, (label, s, e) in enumerate(nodes):
-                    out.append((h, i, label, nodes[i - 1][0] if i else -1, linked[i], features(text, s, e)))
+                    before = nodes[i - 1][0] if i and not open_[i - 1] else -1
+                    out.append((h, i, -1 if open_[i] else label, before, linked[i], features(text, s, e)))
             yield pd.DataFrame(out, columns=["h", "i", "label", "before", "linked", "features"])
 
     sample = texts.mapInPandas(run, schema).orderBy("h", "i").limit(TRAIN_MENTIONS).collect()
+    sample = [r for r in sample if r.label >= 0]
     pairs = [(a, r.label) for r in sample for a in r.linked if NONE not in (a, r.label)]  # candidates have no sure label
     follows = [(r.before, r.label) for r in sample if r.before >= 0]
     return fit(
