@@ -31,9 +31,9 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 TRAIN_MENTIONS = 5000
 ROUNDS = 12
-BELIEF = 0.6
+BELIEF = 0.5
 #: Weight of an agreeing skip edge before any evidence, and its bounds after.
-SKIP_PRIOR, SKIP_BOUNDS = 4.0, (2.0, 6.0)
+SKIP_PRIOR, SKIP_BOUNDS = 5.5, (3.0, 8.0)
 
 #: The base patterns. Matches start where a run of digits starts, as leftmost matches do anyway.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
