@@ -55,7 +55,9 @@ class Memory:
         if len(self.now) > self.size:
             self.before, self.now = self.now, {}
         out, before, now = [], self.before, self.now
-        for key in keys - now.keys():
+        for key in keys:
+            if key in now:
+                continue
             value = before.get(key)
             if value is None:
                 out.append(key)
