@@ -35,12 +35,13 @@ UNKNOWN_PENALTY = 10.0
 #: Remembered segments per Python worker; rows encoded at once.
 KNOWN = 400_000
 ROWS = 256
+_NEVER = float("-inf")
 
 _SEGMENT = re.compile(r" *[^ ]+| +")
 
 
 class Pieces:
-    """Vocabulary of a model file: a tree of characters with ids and scores, and the bytes of each id."""
+    """Vocabulary of a model file and the bytes of each id; a tree leads from a character to (tree, id or -1, score)."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -64,68 +65,64 @@ class Pieces:
             if " " in text.lstrip(" "):
                 raise ValueError(f"piece {i} joins a blank to a character before it")
             self.bytes_of.append(text.encode())
-            node = self.tree
-            for c in text:
-                node = node.setdefault(c, {})
-            node[""] = (i, model.get_score(i))
-            self.longest, lowest = max(self.longest, len(text)), min(lowest, model.get_score(i))
+            node, score = self.tree, model.get_score(i)
+            for c in text[:-1]:
+                node = node.setdefault(c, ({}, -1, 0.0))[0]
+            node[text[-1]] = (node.get(text[-1], ({},))[0], i, score)
+            self.longest, lowest = max(self.longest, len(text)), min(lowest, score)
         self.unknown = lowest - UNKNOWN_PENALTY
+        self.single = {c for c, (_, piece, _) in self.tree.items() if piece >= 0}
         self.known = Memory(KNOWN)
 
-    def ids_of(self, start_id: int, text: str) -> list[int]:
-        """A found piece, or the byte pieces of a character without one."""
-        return [start_id] if start_id >= 0 else [self.byte_ids[b] for b in text.encode()]
-
     def search(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, yielded as they are committed."""
-        tree, longest, unknown, n = self.tree, self.longest, self.unknown, len(text)
-        base, scores, starts, found_ids = 0, [0.0], [0], [-1]  # per position from the last commit on
-        last = 0  # the furthest position reached
+        tree, longest, single, unknown, n = self.tree, self.longest, self.single, self.unknown, len(text)
+        base, room = 0, min(n, 2 * longest) + 1  # the last commit; positions held from there on
+        scores, starts, found_ids = [0.0] + [_NEVER] * (room - 1), [0] * room, [-1] * room
         for at in range(n):
-            score, node, single = scores[at - base], tree, False
-            for end in range(at, n):
-                node = node.get(text[end])
-                if node is None:
-                    break
-                found = node.get("")
+            k = at - base
+            score, node = scores[k], tree
+            if k + longest >= room and base + room <= n:
+                scores.append(_NEVER)
+                starts.append(0)
+                found_ids.append(-1)
+                room += 1
+            if text[at] not in single:
+                if score + unknown > scores[k + 1]:
+                    scores[k + 1], starts[k + 1], found_ids[k + 1] = score + unknown, at, -1
+            for c in text[at : at + longest]:
+                k += 1
+                found = node.get(c)
                 if found is None:
-                    continue
-                single = single or end == at
-                if end >= last:
-                    more = end + 1 - last
-                    scores += [None] * more
-                    starts += [0] * more
-                    found_ids += [-1] * more
-                    last = end + 1
-                k, new = end + 1 - base, score + found[1]
-                if scores[k] is None or new > scores[k]:
-                    scores[k], starts[k], found_ids[k] = new, at, found[0]
-            if not single:
-                if at >= last:
-                    scores.append(None)
-                    starts.append(0)
-                    found_ids.append(-1)
-                    last = at + 1
-                k, new = at + 1 - base, score + unknown
-                if scores[k] is None or new > scores[k]:
-                    scores[k], starts[k], found_ids[k] = new, at, -1
-            if at + 1 < n and at + 1 - base < longest:
-                continue  # the window isn't full
-            live = {p for p in range(at + 1, last + 1) if scores[p - base] is not None}
-            while len(live) > 1 and base not in live:
-                furthest = max(live)
-                live.remove(furthest)
-                live.add(starts[furthest - base])
-            meet = min(live)
+                    break
+                node, piece, gain = found
+                if piece >= 0 and score + gain > scores[k]:
+                    scores[k], starts[k], found_ids[k] = score + gain, at, piece
+            meet = at + 1
+            if meet < n:
+                if meet - base < longest:
+                    continue  # the window isn't full
+                live = {base + k for k in range(meet - base, room) if scores[k] > _NEVER}
+                while len(live) > 1 and base not in live:
+                    furthest = max(live)
+                    live.remove(furthest)
+                    live.add(starts[furthest - base])
+                meet = min(live)
             if meet > base:
                 ids, end = [], meet
                 while end > base:
-                    start = starts[end - base]
-                    ids.append(self.ids_of(found_ids[end - base], text[start:end]))
+                    start, piece = starts[end - base], found_ids[end - base]
+                    ids += [piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(text[start:end].encode())]
                     end = start
-                yield [i for part in reversed(ids) for i in part]
+                yield ids[::-1]
                 scores, starts, found_ids = (x[meet - base :] for x in (scores, starts, found_ids))
-                base = meet
+                base, room = meet, len(scores)
+                more = min(n - base, 2 * longest) + 1 - room
+                if more > 0:
+                    scores += [_NEVER] * more
+                    starts += [0] * more
+                    found_ids += [-1] * more
+                    room += more
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
