@@ -23,6 +23,7 @@ in the order of their texts; an empty table gives no shard. Other columns are no
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from array import array
@@ -124,6 +125,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known = Memory(KNOWN)
