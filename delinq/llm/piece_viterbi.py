@@ -40,8 +40,13 @@ _NEVER = float("-inf")
 _SEGMENT = re.compile(r" *[^ ]+| +")
 
 
+def _steps(tree: dict) -> dict:
+    """The tree as the search reads it: character to (tree behind it, id or -1, score)."""
+    return {c: (_steps(node), *node.get("", (-1, 0.0))) for c, node in tree.items() if c}
+
+
 class Pieces:
-    """Vocabulary of a model file and the bytes of each id; a tree leads from a character to (tree, id or -1, score)."""
+    """Vocabulary of a model file: a tree of characters with ids and scores, and the bytes of each id."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -66,17 +71,22 @@ class Pieces:
                 raise ValueError(f"piece {i} joins a blank to a character before it")
             self.bytes_of.append(text.encode())
             node, score = self.tree, model.get_score(i)
-            for c in text[:-1]:
-                node = node.setdefault(c, ({}, -1, 0.0))[0]
-            node[text[-1]] = (node.get(text[-1], ({},))[0], i, score)
+            for c in text:
+                node = node.setdefault(c, {})
+            node[""] = (i, score)
             self.longest, lowest = max(self.longest, len(text)), min(lowest, score)
         self.unknown = lowest - UNKNOWN_PENALTY
-        self.single = {c for c, (_, piece, _) in self.tree.items() if piece >= 0}
+        self.steps = _steps(self.tree)
+        self.single = {c for c, (_, piece, _) in self.steps.items() if piece >= 0}
         self.known = Memory(KNOWN)
 
+    def ids_of(self, start_id: int, text: str) -> list[int]:
+        """A found piece, or the byte pieces of a character without one."""
+        return [start_id] if start_id >= 0 else [self.byte_ids[b] for b in text.encode()]
+
     def search(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, yielded as they are committed."""
-        tree, longest, single, unknown, n = self.tree, self.longest, self.single, self.unknown, len(text)
+        tree, longest, single, unknown, n = self.steps, self.longest, self.single, self.unknown, len(text)
         base, room = 0, min(n, 2 * longest) + 1  # the last commit; positions held from there on
         scores, starts, found_ids = [0.0] + [_NEVER] * (room - 1), [0] * room, [-1] * room
         for at in range(n):
@@ -112,7 +122,7 @@ class Pieces:
                 ids, end = [], meet
                 while end > base:
                     start, piece = starts[end - base], found_ids[end - base]
-                    ids += [piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(text[start:end].encode())]
+                    ids += [piece] if piece >= 0 else self.ids_of(-1, text[start:end])[::-1]
                     end = start
                 yield ids[::-1]
                 scores, starts, found_ids = (x[meet - base :] for x in (scores, starts, found_ids))
