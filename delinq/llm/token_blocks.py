@@ -117,10 +117,14 @@ class Encoder:
 
     The vocabulary's own splitting never joins a character that isn't white space with a blank behind it, and
     gives a single blank to the letter, number or sign behind it. So a text cut before such blanks has the
-    ids of its parts, one after the other, and equal parts have equal ids.
+    ids of its parts, one after the other, and equal parts have equal ids. For the same reason new parts are
+    encoded many at a time as one text; the bytes of each id tell where a part ends.
+
+    Parts are remembered without their blank; the first of a text, which has none, gets one as a mark.
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
+    JOINED = 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -128,17 +132,47 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)  # a character stands for a byte
         self.known = Memory(KNOWN)
 
+    def _parts(self, text: str) -> list[str]:
+        words = text.split(" ")
+        if "" in words or [w.strip() for w in words] != words:  # other white space beside a blank
+            words = self.CUT.split(text)
+        words[0] = " " + words[0]
+        return words
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
+
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of parts that neither begin nor end with white space, each with a blank before it."""
+        texts = [" " + " ".join(words[i : i + self.JOINED]) for i in range(0, len(words), self.JOINED)]
+        data = b"".join(self._ids(texts))
+        ends = np.cumsum(self.n_bytes[np.frombuffer(data, "<u4")])
+        wanted = np.cumsum([1 + len(w.encode()) for w in words])
+        at = np.searchsorted(ends, wanted)
+        if len(ends) != at[-1] + 1 or not np.array_equal(ends[at], wanted):
+            return self._ids([" " + w for w in words])
+        stops = (4 * (at + 1)).tolist()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.CUT.split(text) for text in texts]
-        parts = [[words[0], *[" " + w for w in words[1:]]] for words in cut]
+        parts = [self._parts(text) for text in texts]
         new = self.known.missing(set().union(*parts))
         known = self.known.now
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = array("I", found.ids).tobytes()
+        words = [w for w in new if w == w.strip()]
+        alone = [w for w in new if w != w.strip()]
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            known.update(zip(some, self._ids_of_words(some)))
+        for i in range(0, len(alone), 4096):
+            some = alone[i : i + 4096]
+            known.update(zip(some, self._ids([w[1:] if w[0] == " " else " " + w for w in some])))
         return [np.frombuffer(b"".join([known[w] for w in p]), "<u4") for p in parts]
 
 
