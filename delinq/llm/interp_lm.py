@@ -67,7 +67,7 @@ def _chunker(folder: str):
             sizes = np.array([len(t) for t in tokens])
             train = np.array([d[1] for d in docs])
             path, out = f"{part:06d}-{len(made):06d}-{uuid.uuid4().hex}.npz", io.BytesIO()
-            np.savez(
+            np.savez_compressed(
                 out, words=words, index=index.astype(np.uint16 if len(words) < 1 << 16 else np.uint32), sizes=sizes, train=train,
                 ids=np.array([d[0] or 0 for d in docs], np.int64), null=np.array([d[0] is None for d in docs]),
                 held=np.array([d[2] for d in docs]),
