@@ -1,10 +1,10 @@
 """Quality rules from the frequency of lines across documents.
 
 Lines are normalised (lower case, digit runs to 0, white space runs to one blank) and hashed together
-with their host (``source``). For each host and line the distinct documents are counted, where documents
-with the same first and last line in sort order count once, so that groups of copies do not turn their own
-lines into boilerplate. Lines above the host's limit are removed from every document; documents that lose
-more than ``max_lost`` of their words are depleted and rejected.
+with their host (``source``). For each host and line the distinct documents are counted by a hash of their whole
+text, so exact copies count once; the documents of the host are counted by the same key. Lines above the host's
+limit are removed from every document; documents that lose more than ``max_lost`` of their words are depleted and
+rejected.
 
 Only DataFrame functions are used. Line rows carry 8-byte keys, counts are pre-aggregated per task, and the
 frequent lines are spread over ``SALTS`` copies of their key before they meet the lines again, so a line that
@@ -33,7 +33,7 @@ SALTS = 16
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is frequent in a host above max(min_docs, share * documents of the host) documents."""
+    """A line is frequent in a host above max(min_docs, share * distinct documents of the host) documents."""
 
     min_docs: int = 10
     share: float = 0.005
@@ -60,6 +60,11 @@ def _row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def _doc_key(text: Column) -> Column:
+    """Equal for exact copies only."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _line_key(host: Column, line: Column) -> Column:
     return F.xxhash64(host, _normalised(line))
 
@@ -150,7 +155,7 @@ def frequent_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
                         _line_key(host, line).alias("key"), F.regexp_count(line, F.lit(WORD)).cast("long").alias("words")
                     ),
                 ).alias("lines"),
-                F.xxhash64(F.array_min(lines), F.array_max(lines)).alias("doc_key"),
+                _doc_key(F.col("text")).alias("doc_key"),
             ),
         ).alias("_d"),
     )
@@ -159,7 +164,8 @@ def frequent_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
     lines = written(lines, "lines")  # used twice; a few numbers a line
     counts = lines.groupBy("_host", "_line_key").agg(F.count_distinct("doc_key").alias("_docs"))
-    hosts = docs.select(host.alias("_host")).groupBy("_host").agg(F.count(F.lit(1)).alias("_host_docs"))
+    keys = docs.select(host.alias("_host"), _doc_key(F.col("text")).alias("doc_key"))
+    hosts = keys.groupBy("_host").agg(F.count_distinct("doc_key").alias("_host_docs"))
     over = (
         counts.where(F.col("_docs") > limits.min_docs)
         .join(hosts, "_host")

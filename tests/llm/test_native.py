@@ -54,6 +54,20 @@ def test_quality_removes_frequent_lines_only(spark):
     assert len([k for k in out if k >= 100]) == 60 and out[100].text.endswith("second line")  # copies count once
 
 
+def test_quality_counts_whole_documents(spark):
+    """Different documents that share their first and last line in sort order; exact copies add nothing to a host."""
+    name = lambda i: "abcdefghij"[i // 10] + "abcdefghij"[i % 10]  # noqa: E731  digits count as equal
+    good = [" ".join(f"{name(i)}x{name(k)}" for k in range(30)) for i in range(40)]
+    rows = [(i, f"# Top menu\n{g}\n\u00a9 all rights", "en", "s", 1, "k") for i, g in enumerate(good)]
+    once = [" ".join(f"{name(i)}y{name(k)}" for k in range(30)) for i in range(12)]
+    rows += [(100 + i, f"{g}\nshared end", "en", "t", 1, "k") for i, g in enumerate(once)]
+    rows += [(200 + i, "copy " + " ".join(f"c{name(k)}" for k in range(40)), "en", "t", 1, "k") for i in range(3000)]
+    out = {r.doc_id: r for r in quality_lines.filter_documents(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [out[i].text for i in range(40)] == good
+    assert [out[100 + i].text for i in range(12)] == once  # 12 of 13 distinct documents, of 3012 rows
+    assert len(out) == 3052 and out[200].text == rows[-1][1]
+
+
 def test_quality_empty_and_repeated(spark):
     docs = spark.createDataFrame([(1, "a b " * 30 + str(1), "en", "s", 1, "k")] * 2 + [(None, None, None, None, None, None)], DOCS)
     assert quality_lines.assess(docs).count() == 3
