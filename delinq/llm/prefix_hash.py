@@ -5,14 +5,14 @@ two entries, divided by B^i, is the hash of the span between them, so any two sp
 time and the longest common extension of two positions is found by binary search. Two moduli below 2^31 keep all
 products in 64 bits; together they give 62-bit hashes.
 
-A fingerprint keeps the hash of the whole text, its length and the high 32 bits of the ``KEEP`` smallest distinct
-mixed hashes of its spans of ``SPAN`` characters (the whole text, if shorter). Likeness is the share of common spans among the smallest of
+A fingerprint keeps the hash of the whole text, its length and the ``KEEP`` smallest distinct mixed hashes of its
+spans of ``SPAN`` characters (the whole text, if shorter). Likeness is the share of common spans among the smallest of
 both, 1 for equal texts. Spans of a text put together from two others come from their prefix arrays; only the
 spans across the seam are hashed anew.
 
 ``with_next`` puts every document beside the next one by descending doc_id with one sort of the texts by ranges.
-Each range writes what it can settle; its first and last rows wait in the written result and meet in a second,
-small step.
+The bounds of the ranges and the first text of each are found first; that text also goes to the end of the range
+before, so every range settles all its rows and no prints are written in between.
 
 Defined results: null text is empty; rows without doc_id come last; equal doc_ids stand in the order of their
 texts; a single row is its own next; an empty table gives an empty table. Other columns are not read.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delinq.llm.common import written
@@ -34,7 +34,7 @@ from delinq.llm.common import written
 MODULI = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 SPAN = 24
-KEEP = 48
+KEEP = 64
 
 _POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64)] * 2 for _ in MODULI]
 
@@ -94,7 +94,7 @@ def common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> int:
 def smallest(hashes: np.ndarray) -> np.ndarray:
     """The KEEP smallest distinct values after mixing, sorted."""
     mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
-    mixed = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+    mixed ^= mixed >> np.uint64(29)
     if len(mixed) > 4 * KEEP:
         few = np.unique(np.partition(mixed, 4 * KEEP)[: 4 * KEEP])
         if len(few) >= KEEP:
@@ -118,7 +118,7 @@ class Fingerprint:
 
     @property
     def data(self) -> bytes:
-        return np.array([self.whole, self.n], ">u8").tobytes() + self.kept.astype(">u4").tobytes()
+        return np.array([self.whole, self.n], ">u8").tobytes() + self.kept.astype(">u8").tobytes()
 
     @property
     def text(self) -> str:
@@ -133,7 +133,7 @@ class Fingerprint:
 def read_fingerprint(text: str) -> Fingerprint:
     data = bytes.fromhex(text)
     whole, n = np.frombuffer(data, ">u8", 2).tolist()
-    return Fingerprint(whole, n, np.frombuffer(data, ">u4", offset=16).astype(np.uint32))
+    return Fingerprint(whole, n, np.frombuffer(data, ">u8", offset=16).astype(np.uint64))
 
 
 class Document:
@@ -187,7 +187,6 @@ _RESULT = (
     "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary,"
     " near_edited double, near_next double, common_next long"
 )
-_ENDS = [("part", pa.int32()), ("end", pa.string()), ("text", pa.string())]
 
 
 def compare(doc_id, doc: Document, other: Document) -> tuple:
@@ -210,51 +209,53 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare each row with the next; the first row's text goes out as 'head', the last one's as 'tail'."""
-    from pyspark import TaskContext
-
-    schema = pa.schema([*_COLUMNS, *_ENDS])
-    part, before, before_id, out = TaskContext.get().partitionId(), None, None, []
-    empty = (None,) * len(_COLUMNS)
+    """Rows follower, doc_id, text by range: compare each with the next, up to the follower that ends the range."""
+    before, before_id, out = None, None, []
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
-            doc_id, doc = doc_id.as_py(), Document(text.as_py())
-            if before is None:
-                out.append((*empty, part, "head", doc.text))
-            else:
-                out.append((*compare(before_id, before, doc), part, None, None))
-            before, before_id = doc, doc_id
+        for follower, doc_id, text in zip(*batch.columns):
+            doc = Document(text.as_py())
+            if before is not None:
+                out.append(compare(before_id, before, doc))
+            before, before_id = (None, None) if follower.as_py() else (doc, doc_id.as_py())
             if len(out) >= 256:
-                yield _batch(out, schema)
+                yield _batch(out, _COLUMNS)
                 out = []
-    if before is not None:
-        out.append((before_id, *empty[1:], part, "tail", before.text))
-    yield _batch(out, schema)
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows doc_id, text, other."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            yield _batch([compare(row["doc_id"], Document(row["text"]), Document(row["other"]))], _COLUMNS)
+    yield _batch(out, _COLUMNS)
+
+
+def _range_of(doc_id: Column, bounds: list[int]) -> Column:
+    """How many of the sorted ``bounds`` are above doc_id, by binary search; null comes after all."""
+    if not bounds:
+        return F.lit(0)
+    known = F.array(*[F.lit(b) for b in bounds])
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(len(bounds).bit_length()))])
+    upto = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(known, at + step - 1) <= doc_id, at + step).otherwise(at),
+    )
+    return F.lit(len(bounds)) - upto
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of all texts, of their edited forms, and how near they are to those and to the next text."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = F.desc_nulls_last("doc_id")
-    dealt = texts.repartitionByRange(order).sortWithinPartitions(order, "text")
-    done = written(dealt.mapInArrow(_along, _RESULT + ", part int, end string, text string"), "prints")
-    parts = done.where("end = 'head'").select("part")  # a row a range, without its text
-    following = parts.select(
-        "part",
-        F.coalesce(
-            F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())
-        ).alias("next_part"),
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
+    found = texts.agg(F.percentile_approx("doc_id", shares, 100 * ranges)).first()[0] if ranges > 1 else None
+    dealt = texts.withColumn("part", _range_of(F.col("doc_id"), sorted(set(found or []))))
+    firsts = dealt.groupBy("part").agg(F.max("doc_id").alias("first_id"))  # a row a range
+    parts = written(firsts, "firsts")
+    before = F.coalesce(F.lag("part").over(Window.orderBy("part")), F.max("part").over(Window.partitionBy()))
+    ends = parts.select(F.col("part").alias("_part"), "first_id", before.alias("before"))
+    same = (F.col("part") == F.col("_part")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    followers = dealt.join(F.broadcast(ends), same).groupBy("before").agg(F.min("text").alias("text"))
+    rows = dealt.select("part", F.lit(False).alias("follower"), "doc_id", "text").unionByName(
+        followers.select(
+            F.col("before").alias("part"), F.lit(True).alias("follower"), F.lit(None).cast("long").alias("doc_id"), "text"
+        )
     )
-    heads = done.where("end = 'head'").select(F.col("part").alias("next_part"), F.col("text").alias("other"))
-    tails = done.where("end = 'tail'").select("part", "doc_id", "text").join(following, "part").join(heads, "next_part")
-    last = tails.select("doc_id", "text", "other").mapInArrow(_pairs, _RESULT)
-    rows = done.where("end is null").select(*_COLUMNS.names).unionByName(last)
-    texts = ("edited_sha256", "fingerprint", "edited_fingerprint")
-    return rows.withColumns({c: F.lower(F.hex(c)) for c in texts})
+    order = ("part", "follower", F.desc_nulls_last("doc_id"), "text")
+    sorted_rows = rows.repartitionByRange("part").sortWithinPartitions(*order)
+    out = sorted_rows.select("follower", "doc_id", "text").mapInArrow(_along, _RESULT)
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})

@@ -126,6 +126,32 @@ def test_prints_of_all_documents(spark, small, documents):
     assert np.mean([r.near_edited for r in rows.values()]) > 0.25 > 0.05 > np.mean([r.near_next for r in rows.values()])
 
 
+def test_prints_keep_64_wide_hashes():
+    rng = random.Random(6)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(2))
+    x, y = prefix_hash.Document(a), prefix_hash.Document(a[:-100] + b[:100])
+    assert len(x.fingerprint.kept) == 64 and len(x.fingerprint.text) == 2 * (16 + 64 * 8)
+    assert x.fingerprint.kept.max() > 2**32 and (64 * x.fingerprint.likeness(y.fingerprint)) % 1 == 0
+
+
+@pytest.mark.parametrize("ranges", ["1", "7", "40"])
+def test_prints_beside_the_next_in_any_ranges(spark, ranges):
+    rng = random.Random(7)
+    ids = [rng.randrange(60) for _ in range(90)] + [None] * 5
+    rows = [(i, f"text {rng.randrange(10**6)} " * rng.randrange(1, 5), "") for i in ids]
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        out = prefix_hash.with_next(spark.createDataFrame(rows, TEXTS).repartition(3)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    made = []
+    for (i, t, _), (_, other, _) in zip(rows, rows[1:] + rows[:1]):
+        made.append((str(i), hashlib.sha256((t[: len(t) - len(t) // 2] + other[: len(t) // 2]).encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in out) == sorted(made)
+
+
 def test_prints_edge_cases(spark):
     rows = [(2, "same text", ""), (1, "same text", ""), (None, None, ""), (None, "", ""), (9, "é" * 100_000, "")]
     frame = spark.createDataFrame(rows, TEXTS).repartition(3)
