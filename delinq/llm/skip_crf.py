@@ -2,11 +2,12 @@
 
 Patterns find the sure spans of four kinds. They and weaker candidates (number groups, spelled-out addresses) are
 the nodes of one graph per document: neighbours are joined by chain edges, and candidates with the same or similar
-content (equal text, or equal last seven digits) by skip edges, each to its previous occurrence, however distant.
+content (equal text, or equal last seven digits) by skip edges, each to its previous occurrence and each candidate
+also to the first sure one, however distant.
 Labels are the kinds and ``none``. Node weights are trained by logistic regression on the sure spans and the
 candidates without a skip edge to one, edge weights come from how often joined candidates agree; training reads at most
 ``TRAIN_MENTIONS`` candidates, chosen by hashes of doc_id. Sure spans keep their label; loopy sum-product messages
-carry it along the edges, and a candidate that ends as a kind with a belief of ``BELIEF`` or more is added.
+carry it along the edges until they settle, and a candidate that ends as a kind with a belief of ``BELIEF`` or more is added.
 
 Every document is one row's work; edges grow linearly with its candidates.
 
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 TRAIN_MENTIONS = 5000
-ROUNDS = 12
+#: Messages have settled when none changes by more; rounds are bounded by a multiple of the nodes.
+TOLERANCE, ROUNDS_PER_NODE, MIN_ROUNDS = 1e-4, 4, 50
 BELIEF = 0.5
 #: Weight of an agreeing skip edge before any evidence, and its bounds after.
 SKIP_PRIOR, SKIP_BOUNDS = 5.5, (3.0, 8.0)
@@ -126,10 +128,13 @@ def features(text: str, start: int, end: int) -> list[float]:
 
 
 def skip_edges(text: str, nodes: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Each node and the previous one with the same content or the same last seven digits."""
+    """Each node and the previous one with the same content or the same last seven digits; each candidate and the
+    first sure span with that key."""
     seen: dict[str, int] = {}
+    sure: dict[str, int] = {}
+    weak: list[tuple[str, int]] = []
     out = set()
-    for i, (_, start, end) in enumerate(nodes):
+    for i, (label, start, end) in enumerate(nodes):
         said, digits = text[start:end], _digits(text[start:end])
         keys = {"=" + said.lower().replace(" ", "").replace("[at]", "@").replace("(at)", "@").replace("[dot]", ".").replace("(dot)", ".")}
         if len(digits) >= 7 and not any(c.isalpha() for c in said):
@@ -138,6 +143,11 @@ def skip_edges(text: str, nodes: list[tuple[int, int, int]]) -> list[tuple[int,
             if key in seen:
                 out.add((seen[key], i))
             seen[key] = i
+            if label == NONE:
+                weak.append((key, i))
+            else:
+                sure.setdefault(key, i)
+    out.update((min(i, sure[key]), max(i, sure[key])) for key, i in weak if key in sure)
     return sorted(out)
 
 
@@ -153,7 +163,7 @@ class SkipChain:
         unary = np.array([features(text, s, e) for _, s, e in nodes]) @ self.node
         for i, (label, _, _) in enumerate(nodes):
             if label != NONE:
-                unary[i] = -60.0
+                unary[i] = -np.inf  # however many candidates are joined to it
                 unary[i, label] = 0.0
         chain = [(i, i + 1) for i in range(n - 1)]
         skips = skip_edges(text, nodes)
@@ -163,13 +173,16 @@ class SkipChain:
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
         reverse = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         messages = np.zeros((len(source), labels))
-        for _ in range(ROUNDS):
+        for _ in range(MIN_ROUNDS + ROUNDS_PER_NODE * n):
             total = unary.copy()
             np.add.at(total, target, messages)
             out = total[source] - messages[reverse]
             new = np.logaddexp.reduce(out[:, :, None] + pair, axis=1)
             new -= new.max(axis=1, keepdims=True)
+            change = np.abs(new - messages).max(initial=0.0)
             messages = 0.5 * messages + 0.5 * new
+            if change <= TOLERANCE:
+                break
         total = unary.copy()
         np.add.at(total, target, messages)
         total = np.exp(total - total.max(axis=1, keepdims=True))

@@ -272,6 +272,41 @@ def test_repeated_number_takes_the_kind(spark):
     assert skip_crf.find_spans(frame.where("false"), skip_crf.train(frame.where("false"))).count() == 0
 
 
+def weak_model(against, skip):
+    node = np.zeros((len(skip_crf.features("", 0, 0)), skip_crf.NONE + 1))
+    node[0, skip_crf.NONE] = against  # every candidate alone is nothing
+    return skip_crf.SkipChain(node, np.zeros((skip_crf.NONE + 1,) * 2), skip)
+
+
+@pytest.mark.parametrize("skip", skip_crf.SKIP_BOUNDS)
+def test_every_repeat_takes_the_kind_however_distant(skip):
+    weak = " ".join(f"word {'abcdefghij'[k % 10]} 253.555.1000 ok" for k in range(50))
+    sure = "call +1 (253) 555-1000 now"
+    for text in (f"{sure} {weak}", f"{weak} {sure}", f"{weak} {sure} {weak}"):
+        base, spans = weak_model(2.5, skip).spans(text)
+        assert len(base) == 1 and len(spans) == 1 + text.count("253.555.1000") and all(k == 3 for k, _, _ in spans)
+
+
+def test_messages_settle():
+    """On a chain of distinct candidates the beliefs are exact, however far the evidence."""
+    n = 40
+    text = "+1 (253) 555-1000 and " + " ".join(f"x 253{k:02d}46{k:02d}" for k in range(10, 10 + n))
+    model = weak_model(0.2, 5.0)
+    model.chain = 6.0 * np.eye(skip_crf.NONE + 1)
+    nodes = skip_crf.mentions(text)
+    assert len(nodes) == n + 1
+    unary = np.array([skip_crf.features(text, s, e) for _, s, e in nodes]) @ model.node
+    unary[0], unary[0, nodes[0][0]] = -60.0, 0.0
+    right, left = np.zeros((n + 1, 5)), np.zeros((n + 1, 5))
+    for i in range(1, n + 1):
+        right[i] = np.logaddexp.reduce((unary[i - 1] + right[i - 1])[:, None] + model.chain, axis=0)
+        left[n - i] = np.logaddexp.reduce(model.chain + (unary[n - i + 1] + left[n - i + 1])[None, :], axis=1)
+    total = unary + right + left
+    exact = np.exp(total - total.max(axis=1, keepdims=True))
+    exact /= exact.sum(axis=1, keepdims=True)
+    assert np.allclose(model.beliefs(text, nodes), exact, atol=1e-3)
+
+
 def test_masking(spark):
     frame = spark.createDataFrame([(1, "mail a@b.com or 1.2.3.4!", 5), (2, None, None)], "doc_id long, text string, n_chars long")
     out = {r.doc_id: r for r in skip_crf.mask_documents(frame, skip_crf.train(frame)).collect()}
