@@ -5,8 +5,8 @@ the nodes of one graph per document: neighbours are joined by chain edges, and c
 content (equal text, or equal last seven digits) by skip edges, each to its previous occurrence and each candidate
 also to the first sure one, however distant.
 Labels are the kinds and ``none``. Node weights are trained by logistic regression on the sure spans and the
-candidates without a skip edge to one, edge weights come from how often joined candidates agree; training reads at most
-``TRAIN_MENTIONS`` candidates, chosen by hashes of doc_id. Sure spans keep their label; loopy sum-product messages
+candidates without a skip edge to one, at most ``TRAIN_MENTIONS`` of them, as many of each label, chosen by a hash per
+mention; edge weights come from how often joined nodes agree in all documents. Sure spans keep their label; loopy sum-product messages
 carry it along the edges until they settle, and a candidate that ends as a kind with a belief of ``BELIEF`` or more is added.
 
 Every document is one row's work; edges grow linearly with its candidates.
@@ -19,15 +19,20 @@ own; repeated rows are treated one by one; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delinq.llm.common import written
+
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 TRAIN_MENTIONS = 5000
@@ -205,7 +210,7 @@ class SkipChain:
 
 
 def fit(labels: np.ndarray, rows: np.ndarray, pairs: np.ndarray, follows: np.ndarray) -> SkipChain:
-    """Logistic regression for the nodes; smoothed log odds for the edges. pairs, follows: (label, label) rows."""
+    """Logistic regression for the nodes; smoothed log odds for the edges. pairs, follows: label x label counts."""
     classes, width = NONE + 1, len(features("", 0, 0))
     weights = np.zeros((width, classes))
     weights[0, NONE] = 1.0  # without evidence a candidate is nothing
@@ -219,23 +224,26 @@ def fit(labels: np.ndarray, rows: np.ndarray, pairs: np.ndarray, follows: np.nda
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(labels)), labels] -= 1
             weights -= 1.0 * (rows.T @ (p * importance[:, None]) + 0.005 * weights)
-    same, other = (pairs[:, 0] == pairs[:, 1]).sum(), (pairs[:, 0] != pairs[:, 1]).sum()
+    same = np.trace(pairs)
+    other = pairs.sum() - same
     skip = float(np.clip(SKIP_PRIOR + np.log((same + 1) / (other + 1)) / 2, *SKIP_BOUNDS))
-    counts = np.ones((classes, classes))
-    np.add.at(counts, (follows[:, 0], follows[:, 1]), 1)
+    counts = 1 + follows
     expected = np.outer(counts.sum(axis=1), counts.sum(axis=0)) / counts.sum()
     return SkipChain(weights, np.clip(np.log(counts / expected), -1, 1), skip)
 
 
 def train(docs: DataFrame) -> SkipChain:
-    """Weights from the candidates of hashed documents of the corpus."""
+    """Node weights from a sample per label, edge weights from the counts of all documents."""
     texts = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text").where(F.col("text").rlike("[0-9@]|[\\[({]at[\\])}]"))
-    width = len(features("", 0, 0))
-    schema = "h long, i int, label int, before int, linked array<int>, features array<double>"
+    width, classes = len(features("", 0, 0)), NONE + 1
+    per_label = TRAIN_MENTIONS // classes
+    names = ["what", "a", "b", "n", "hash", "features"]
+    schema = "what string, a int, b int, n long, hash long, features array<double>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        lowest: list[list] = [[] for _ in range(classes)]  # heaps of (-hash, features)
         for batch in batches:
-            out = []
             for h, text in zip(batch["h"], batch["text"]):
                 nodes = mentions(text)
                 linked, open_ = [[] for _ in nodes], [False] * len(nodes)
@@ -244,19 +252,34 @@ def train(docs: DataFrame) -> SkipChain:
                     for x, y in ((a, b), (b, a)):  # a candidate like a sure span may well be one
                         open_[x] |= nodes[x][0] == NONE != nodes[y][0]
                 for i, (label, s, e) in enumerate(nodes):
-                    before = nodes[i - 1][0] if i and not open_[i - 1] else -1
-                    out.append((h, i, -1 if open_[i] else label, before, linked[i], features(text, s, e)))
-            yield pd.DataFrame(out, columns=["h", "i", "label", "before", "linked", "features"])
-
-    sample = texts.mapInPandas(run, schema).orderBy("h", "i").limit(TRAIN_MENTIONS).collect()
-    sample = [r for r in sample if r.label >= 0]
-    pairs = [(a, r.label) for r in sample for a in r.linked if NONE not in (a, r.label)]  # candidates have no sure label
-    follows = [(r.before, r.label) for r in sample if r.before >= 0]
+                    if open_[i]:
+                        continue
+                    if i and not open_[i - 1]:
+                        counts["chain", nodes[i - 1][0], label] += 1
+                    for a in linked[i]:
+                        if NONE not in (a, label):  # candidates have no sure label
+                            counts["skip", a, label] += 1
+                    order, heap = (1 << 63) - 1 - xxhash.xxh64_intdigest(f"{h}|{i}"), lowest[label]
+                    if len(heap) < per_label:
+                        heapq.heappush(heap, (order, features(text, s, e)))
+                    elif order > heap[0][0]:
+                        heapq.heapreplace(heap, (order, features(text, s, e)))
+        rows = [(what, a, b, n, None, None) for (what, a, b), n in counts.items()]
+        rows += [("node", label, -1, 1, -order - 1, x) for label, heap in enumerate(lowest) for order, x in heap]
+        yield pd.DataFrame(rows, columns=names).astype({"hash": "Int64"})
+
+    found = written(texts.mapInPandas(run, schema), "training")  # a bounded number of rows a task
+    edges = {"skip": np.zeros((classes, classes)), "chain": np.zeros((classes, classes))}
+    for r in found.where("what <> 'node'").groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect():
+        edges[r.what][r.a, r.b] = r.n
+    sample = []
+    for label in range(classes):
+        sample += found.where((F.col("what") == "node") & (F.col("a") == label)).orderBy("hash", "features").limit(per_label).collect()
     return fit(
-        np.array([r.label for r in sample], np.int64),
+        np.array([r.a for r in sample], np.int64),
         np.array([r.features for r in sample]).reshape(-1, width),
-        np.array(pairs, np.int64).reshape(-1, 2),
-        np.array(follows, np.int64).reshape(-1, 2),
+        edges["skip"],
+        edges["chain"],
     )
 
 

@@ -307,6 +307,31 @@ def test_messages_settle():
     assert np.allclose(model.beliefs(text, nodes), exact, atol=1e-3)
 
 
+def test_training_counts_all_edges_and_samples_each_label(spark, monkeypatch):
+    monkeypatch.setattr(skip_crf, "TRAIN_MENTIONS", 50)
+    seen = []
+    monkeypatch.setattr(skip_crf, "fit", lambda *a: seen.append(a))
+    long = " ".join(f"order {7000000 + k} of" for k in range(400))
+    texts = [long, long + " end"] + [f"mail a{k}@b.com or 1.2.3.{k} and a{k}@b.com" for k in range(40)]
+    texts += [f"call +1 (253) 555-{1000 + k} by card 4111 1111 1111 1111 or +1 (253) 555-{1000 + k}" for k in range(30)]
+    skip_crf.train(spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], TEXTS).repartition(5))
+    pairs, follows = np.zeros((5, 5)), np.zeros((5, 5))
+    for t in texts:
+        nodes = skip_crf.mentions(t)
+        edges = skip_crf.skip_edges(t, nodes)
+        open_ = {x for e in edges for x, y in (e, e[::-1]) if nodes[x][0] == skip_crf.NONE != nodes[y][0]}
+        for a, b in edges:
+            if skip_crf.NONE not in (nodes[a][0], nodes[b][0]):
+                pairs[nodes[a][0], nodes[b][0]] += 1
+        for i in range(1, len(nodes)):
+            if not open_ & {i - 1, i}:
+                follows[nodes[i - 1][0], nodes[i][0]] += 1
+    labels, rows, found_pairs, found_follows = seen[0]
+    assert np.array_equal(found_pairs, pairs) and np.array_equal(found_follows, follows)
+    assert pairs.sum() >= 70 and follows.sum() > 800
+    assert np.bincount(labels, minlength=5).tolist() == [10] * 5 and len(rows) == 50
+
+
 def test_masking(spark):
     frame = spark.createDataFrame([(1, "mail a@b.com or 1.2.3.4!", 5), (2, None, None)], "doc_id long, text string, n_chars long")
     out = {r.doc_id: r for r in skip_crf.mask_documents(frame, skip_crf.train(frame)).collect()}
