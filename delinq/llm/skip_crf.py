@@ -50,9 +50,11 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Weaker candidates.
 NUMBERS = re.compile(r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}(?![0-9A-Za-z])")
+AT = re.compile(r"\[at\]|\(at\)|\{at\}")
+DOT = re.compile(r"\[dot\]|\(dot\)|\{dot\}")
 SPELLED = re.compile(
-    r"(?<![\w.])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\s?(?:\[at\]|\(at\)|\{at\})\s?[A-Za-z0-9-]{1,63}"
-    r"(?:\s?(?:\[dot\]|\(dot\)|\{dot\}|\.)\s?[A-Za-z0-9-]{1,63}){1,6}"
+    rf"(?<![\w.])[A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}}\s?(?:{AT.pattern})\s?[A-Za-z0-9-]{{1,63}}"
+    rf"(?:\s?(?:{DOT.pattern}|\.)\s?[A-Za-z0-9-]{{1,63}}){{1,6}}"
 )
 #: Words before a candidate that tell its kind.
 CUES = (
@@ -121,7 +123,7 @@ def features(text: str, start: int, end: int) -> list[float]:
         1.0,
         float(said.startswith("+")),
         float("(" in said),
-        float("@" in said or "at]" in said or "at)" in said),
+        float("@" in said or AT.search(said) is not None),
         float(said.count(".") == 3 and n <= 12),
         float(bool(n) and luhn(digits)),
         *[float(low <= n < high) for low, high in ((0, 1), (1, 7), (7, 10), (10, 12), (12, 16), (16, 20), (20, 10**9))],
@@ -141,7 +143,7 @@ def skip_edges(text: str, nodes: list[tuple[int, int, int]]) -> list[tuple[int,
     out = set()
     for i, (label, start, end) in enumerate(nodes):
         said, digits = text[start:end], _digits(text[start:end])
-        keys = {"=" + said.lower().replace(" ", "").replace("[at]", "@").replace("(at)", "@").replace("[dot]", ".").replace("(dot)", ".")}
+        keys = {"=" + DOT.sub(".", AT.sub("@", re.sub(r"\s", "", said.lower())))}
         if len(digits) >= 7 and not any(c.isalpha() for c in said):
             keys.add("#" + digits[-7:])
         for key in keys:

@@ -332,6 +332,15 @@ def test_training_counts_all_edges_and_samples_each_label(spark, monkeypatch):
     assert np.bincount(labels, minlength=5).tolist() == [10] * 5 and len(rows) == 50
 
 
+@pytest.mark.parametrize("at", ["[at]", "(at)", "{at}", " [at] ", "\t{at}\n"])
+@pytest.mark.parametrize("dot", ["[dot]", "(dot)", "{dot}", " {dot} ", "."])
+def test_spelled_addresses_take_the_kind(at, dot):
+    text = f"john@x.com wrote, then john{at}x{dot}com"
+    assert skip_crf.features(text, 23, len(text))[3] == 1.0
+    assert skip_crf.skip_edges(text, skip_crf.mentions(text)) == [(0, 1)]
+    assert weak_model(1.5, 5.5).spans(text)[1] == [(0, 0, 10), (0, 23, len(text))]
+
+
 def test_masking(spark):
     frame = spark.createDataFrame([(1, "mail a@b.com or 1.2.3.4!", 5), (2, None, None)], "doc_id long, text string, n_chars long")
     out = {r.doc_id: r for r in skip_crf.mask_documents(frame, skip_crf.train(frame)).collect()}
