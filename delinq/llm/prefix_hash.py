@@ -6,8 +6,10 @@ time and the longest common extension of two positions is found by binary search
 products in 64 bits; together they give 62-bit hashes.
 
 A fingerprint keeps the hash of the whole text, its length and the ``KEEP`` smallest distinct mixed hashes of its
-spans of ``SPAN`` characters (the whole text, if shorter). Likeness is the share of common spans among the smallest of
-both, 1 for equal texts. Spans of a text put together from two others come from their prefix arrays; only the
+spans of ``SPAN`` characters (the whole text, if shorter). Texts of less than 96 characters keep those of their spans
+of 4 characters too, texts of less than 8 also those of single characters (``SHORT``). Likeness is the share of common
+spans among the smallest of both, 1 for equal texts; it takes the spans of the shortest length that both texts keep, so
+both sides follow one rule. Spans of a text put together from two others come from their prefix arrays; only the
 spans across the seam are hashed anew.
 
 ``with_next`` puts every document beside the next one by descending doc_id with one sort of the texts by ranges.
@@ -35,6 +37,8 @@ MODULI = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 SPAN = 24
 KEEP = 64
+#: Below so many characters spans of this length are kept too, so that a text of which half stays shares some.
+SHORT = ((8, 1), (96, 4))
 
 _POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64)] * 2 for _ in MODULI]
 
@@ -111,14 +115,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class Fingerprint:
-    """Whole hash, length and smallest span hashes; ``text`` is its written form, ``data`` the same in bytes."""
+    """Whole hash, length and smallest span hashes, for a short text also those of its shorter spans by length;
+    ``text`` is its written form, ``data`` the same in bytes."""
 
-    def __init__(self, whole: int, n: int, kept: np.ndarray):
-        self.whole, self.n, self.kept = whole, n, kept
+    def __init__(self, whole: int, n: int, kept: np.ndarray, short: dict[int, np.ndarray] | None = None):
+        self.whole, self.n, self.kept, self.short = whole, n, kept, short or {}
 
     @property
     def data(self) -> bytes:
-        return np.array([self.whole, self.n], ">u8").tobytes() + self.kept.astype(">u8").tobytes()
+        parts = [np.array([self.whole, self.n], np.uint64)]
+        for _, length in _short(self.n):
+            parts += [np.array([len(self.short[length])], np.uint64), self.short[length]]
+        return np.concatenate([*parts, self.kept]).astype(">u8").tobytes()
 
     @property
     def text(self) -> str:
@@ -127,13 +135,23 @@ class Fingerprint:
     def likeness(self, other: Fingerprint) -> float:
         if (self.whole, self.n) == (other.whole, other.n):
             return 1.0
+        for _, length in _short(max(self.n, other.n)):
+            return likeness(self.short[length], other.short[length])
         return likeness(self.kept, other.kept)
 
 
+def _short(n: int) -> list[tuple[int, int]]:
+    """The entries of SHORT for a text of n characters."""
+    return [(below, length) for below, length in SHORT if n < below]
+
+
 def read_fingerprint(text: str) -> Fingerprint:
-    data = bytes.fromhex(text)
-    whole, n = np.frombuffer(data, ">u8", 2).tolist()
-    return Fingerprint(whole, n, np.frombuffer(data, ">u8", offset=16).astype(np.uint64))
+    values = np.frombuffer(bytes.fromhex(text), ">u8").astype(np.uint64)
+    (whole, n), values, short = values[:2].tolist(), values[2:], {}
+    for _, length in _short(n):
+        size = int(values[0])
+        short[length], values = values[1 : size + 1], values[size + 1 :]
+    return Fingerprint(whole, n, values, short)
 
 
 class Document:
@@ -149,7 +167,7 @@ class Document:
     def _print(whole: PrefixHash, windows: np.ndarray) -> Fingerprint:
         own = whole.span(0, whole.n) if whole.n else 0
         kept = windows if len(windows) else np.array([own] if whole.n else [], np.uint64)
-        return Fingerprint(own, whole.n, smallest(kept))
+        return Fingerprint(own, whole.n, smallest(kept), {length: smallest(whole.windows(length)) for _, length in _short(whole.n)})
 
     def edited(self, other: Document) -> tuple[str, Fingerprint]:
         """The last floor(n/2) characters replaced by as many first ones of ``other`` (or all of them)."""
@@ -157,7 +175,7 @@ class Document:
         taken = min(self.hash.n // 2, other.hash.n)
         text = self.text[:kept] + other.text[:taken]
         n = kept + taken
-        if n < SPAN:
+        if n < SPAN or _short(n):
             whole = PrefixHash(text)
             return text, self._print(whole, whole.windows(SPAN))
         seam = PrefixHash(text[max(kept - SPAN + 1, 0) : kept + min(SPAN - 1, taken)]).windows(SPAN)

@@ -134,6 +134,22 @@ def test_prints_keep_64_wide_hashes():
     assert x.fingerprint.kept.max() > 2**32 and (64 * x.fingerprint.likeness(y.fingerprint)) % 1 == 0
 
 
+def test_short_texts_are_near_their_edited_forms():
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzé "
+    made = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    for n in range(2, 130):
+        a, b = prefix_hash.Document(made(n)), prefix_hash.Document(made(rng.randrange(1, 300)))
+        text, found = a.edited(b)
+        assert a.fingerprint.likeness(found) == found.likeness(a.fingerprint) > 0
+        written = [prefix_hash.read_fingerprint(x.text) for x in (a.fingerprint, found)]
+        assert written[0].likeness(written[1]) == a.fingerprint.likeness(found)
+    x, y = "the quick brown fox jumps", "the quick brown dog naps"
+    spans = [{t[i : i + 4] for i in range(len(t) - 3)} for t in (x, y)]
+    found = prefix_hash.Document(x).fingerprint.likeness(prefix_hash.Document(y).fingerprint)
+    assert found == len(spans[0] & spans[1]) / len(spans[0] | spans[1])
+
+
 @pytest.mark.parametrize("ranges", ["1", "7", "40"])
 def test_prints_beside_the_next_in_any_ranges(spark, ranges):
     rng = random.Random(7)
