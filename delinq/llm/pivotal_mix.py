@@ -165,10 +165,38 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: each row as often as it is taken, columns as given."""
-    taken = mix(docs).where("copies > 0").groupBy("_row").agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    joined = docs.withColumn("_row", F.xxhash64("doc_id", "source", "text")).join(taken, "_row")
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))  # repeated rows share one key
-    times = joined.withColumn("_n", F.coalesce(F.get("_copies", nth - 1), F.lit(0)))
-    again = times.where("_n > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return again.select(*docs.columns)
+    """The mixed corpus: each row as often as it is taken, columns as given.
+
+    Repeated rows share one key. How many of them are taken how often is a few numbers a key; they are written with
+    the number of their task, counted by key and task, and numbered within a task only.
+    """
+    counts = mix(docs).groupBy("_row", "copies").agg(F.count(F.lit(1)).alias("times"))
+    keys = written(
+        counts.groupBy("_row").agg(
+            F.sum("times").alias("_times"),
+            F.sort_array(F.collect_list(F.struct("copies", "times"))).alias("_counts"),  # at most MAX_COPIES + 1
+        ),
+        "copies",
+    )
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "source", "text"))
+    single = keys.where("_times = 1").select("_row", F.col("_counts")[0]["copies"].alias("_n")).where("_n > 0")
+    out = rows.join(single, "_row").select(*docs.columns, "_n")
+    repeated = keys.where("_times > 1").select("_row", "_counts")
+    if not repeated.isEmpty():
+        dealt = written(rows.join(repeated, "_row").withColumn("_part", F.spark_partition_id()), "repeated")
+        sizes = dealt.groupBy("_row", "_part").agg(F.count(F.lit(1)).alias("_size"))
+        before = Window.partitionBy("_row").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("_row", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+        nth = F.row_number().over(Window.partitionBy("_row", "_part").orderBy("_row"))
+        numbered = dealt.withColumn("_nth", nth).join(starts, ["_row", "_part"])
+        found = F.aggregate(
+            "_counts",
+            F.struct((F.col("_start") + F.col("_nth")).alias("left"), F.lit(0).cast("long").alias("n")),
+            lambda at, c: F.struct(
+                (at["left"] - c["times"]).alias("left"),
+                F.when((at["left"] > 0) & (at["left"] <= c["times"]), c["copies"]).otherwise(at["n"]).alias("n"),
+            ),
+            lambda at: at["n"],
+        )
+        out = out.unionByName(numbered.withColumn("_n", found).where("_n > 0").select(*docs.columns, "_n"))
+    return out.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*docs.columns)

@@ -149,6 +149,28 @@ def test_mix_targets_and_sums(spark):
     )
 
 
+def test_mix_deals_out_repeated_rows(spark):
+    """A third of all rows is one row: every copy is numbered, and no task takes them all."""
+    rows = [(i, "w " * (i % 40 + 1), "en", f"s{i % 3}", 0, "k") for i in range(1200)]
+    rows += [(7777, "one and the same row", "en", "s1", i % 3, "k") for i in range(600)] + [(8888, "twice", "en", None, 0, "k")] * 2
+    docs = spark.createDataFrame(rows, DOCS).repartition(6)
+    want = defaultdict(int)
+    for r in pivotal_mix.mix(docs).collect():
+        want[r.doc_id] += r.copies
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = pivotal_mix.mix_documents(docs).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    got, tasks = defaultdict(int), defaultdict(int)
+    for r in out:
+        got[r.doc_id] += 1
+        tasks[r.task] += r.doc_id == 7777
+    assert got == {k: n for k, n in want.items() if n} and got[7777] > 300
+    assert max(tasks.values()) < 0.6 * got[7777]
+
+
 def test_mix_empty_and_wordless(spark):
     docs = spark.createDataFrame([(1, "", "en", "a", 0, "k"), (2, None, "en", None, 0, "k")], DOCS)
     assert [(r.target, r.taken) for r in pivotal_mix.mix(docs).collect()] == [(0.0, 0)] * 2
