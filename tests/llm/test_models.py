@@ -372,3 +372,103 @@ def test_pipeline(spark, small):
     assert out.where("not round_trip").count() == 0 and out.count() > 0
     for _, stage in p.STAGES[:-1]:
         assert stage(spark, docs.where("false"), small).columns == docs.columns
+
+
+def brute_quality(docs: list[dict]) -> list[dict]:
+    """Documents that pass the base rules, without the lines that more than 10 and 0.5 % of a source's texts have."""
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
+    norm = lambda x: re.sub("[0-9]+", "0", re.sub(r"[\x20\x09-\x0D]+", " ", x)).strip().lower()
+    having, hosts, out = {}, {}, []
+    for d in docs:
+        hosts.setdefault(d["source"], set()).add(d["text"])
+        for line in filter(split, d["text"].split("\n")):
+            having.setdefault((d["source"], norm(line)), set()).add(d["text"])
+    for d in docs:
+        words, places = split(d["text"]), {}
+        for i in range(len(words) - 7):
+            places.setdefault(tuple(words[i : i + 8]), []).append(i)
+        again = {i + k for p in places.values() if len(p) > 1 for i in p for k in range(8)}
+        if len(words) < 20 or 100 * len(again) > 30 * len(words):
+            continue
+        often = lambda x: len(having.get((d["source"], norm(x)), ())) > max(10, 0.005 * len(hosts[d["source"]]))  # noqa: B023, E731
+        text = "\n".join(x for x in d["text"].split("\n") if not (split(x) and often(x)))
+        if 2 * len(split(text)) >= len(words):
+            out.append(d | {"text": text})
+    return out
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Each stage's rows on a small fixture, from what the stage before wrote."""
+    import corpus_pipeline as p
+    import public_tokenizers
+    from test_tokens import whole_search
+
+    from delinq.llm import piece_viterbi
+    from delinq.llm.common import written
+
+    rng, docs = random.Random(12), []
+
+    def add(source, text):
+        docs.append({"doc_id": len(docs), "text": text, "lang": "en", "source": source, "n_chars": len(text)})
+
+    name = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    body = lambda n=30: " ".join(name() for _ in range(n))
+    for k in range(16):
+        add("a", f"{body()}\nRead  MORE {k} here\nmail {name()}@example.com or 10.0.{k}.7 now")
+    for k in range(10):
+        add("b", f"{body()}\nRead more {k} here")  # ten are not too many
+    for k in range(6):
+        add("c", f"call +1 (253) 555-10{k:02d} {body(60)} and again 253.555.10{k:02d} ok")
+    near = body(80)
+    for k in range(5):
+        add("c", f"{near} {name()}")
+    for _ in range(3):
+        add("a", docs[2]["text"])
+    add("a", body(5))  # too short
+    add("b", " ".join([body(10)] * 6))  # repeats itself
+    add("a", "Read more 1 here\n" * 12 + body(6))  # depleted or repeating
+    frame = spark.createDataFrame([tuple(d.values()) for d in docs], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    rows = {}
+    for stage, run in p.STAGES:
+        frame = written(run(spark, frame, ""), stage)
+        rows[stage] = sorted((r.asDict() for r in frame.collect()), key=lambda r: r["doc_id"])
+    plain = lambda found: sorted((r["doc_id"], r["text"], r["source"], r["n_chars"]) for r in found)
+
+    quality = [d | {"n_chars": len(d["text"])} for d in brute_quality(docs)]
+    assert len(quality) == len(docs) - 3 and sum(a["text"] != docs[a["doc_id"]]["text"] for a in quality) == 19
+    assert plain(rows["quality"]) == plain(quality)
+
+    roots = brute_components({d["doc_id"]: d["text"] for d in quality})
+    ids = [r["doc_id"] for r in rows["near_duplicates"]]
+    assert sorted(roots[i][1] for i in ids) == sorted({r for _, r in roots.values()}) and len(ids) == 33
+    single = {d["doc_id"]: d for d in quality}
+    assert plain(rows["near_duplicates"]) == plain(single[i] for i in ids)
+
+    masked = []
+    for i in ids:
+        spans = plain_spans(single[i]["text"])
+        spans += [(3, *m.span()) for m in re.finditer(r"253\.555\.10[0-9]{2}", single[i]["text"])]  # repeats of sure ones
+        text = skip_crf.masked(single[i]["text"], spans)
+        masked.append(single[i] | {"text": text, "n_chars": len(text)})
+    assert sum(m["text"].count("[") for m in masked) == 16 * 2 + 6 * 2
+    assert plain(rows["personal_data"]) == plain(masked)
+
+    sizes, order = Counter(), sorted({d["source"] for d in masked})
+    for d in masked:
+        sizes[d["source"]] += len(d["text"].split())
+    level = sum(sizes.values()) / 6
+    targets = {s: level * (1, 2, 3)[k] for k, s in enumerate(order)}
+    assert order == ["a", "b", "c"] and all(targets[s] < 3 * sizes[s] for s in order)  # no source reaches its cap
+    taken, by_id = Counter(), {d["doc_id"]: d for d in masked}
+    copies = Counter(r["doc_id"] for r in rows["mixture"])
+    assert plain(rows["mixture"]) == sorted(t for d in plain(masked) for t in [d] * copies[d[0]])
+    for i, d in by_id.items():
+        taken[d["source"]] += copies[i] * len(d["text"].split())
+        assert copies[i] - math.floor(targets[d["source"]] / sizes[d["source"]]) in (0, 1)
+    assert all(abs(taken[s] - targets[s]) <= max(len(d["text"].split()) for d in masked if d["source"] == s) for s in order)
+
+    pieces = piece_viterbi.pieces(public_tokenizers.path(p.MODEL))
+    assert [r["doc_id"] for r in rows["pieces"]] == [r["doc_id"] for r in rows["mixture"]]
+    for r in rows["pieces"]:
+        text = by_id[r["doc_id"]]["text"]
+        assert list(r["ids"]) == whole_search(pieces, " " + text) and r["round_trip"] and r["n_ids"] == len(r["ids"])
