@@ -80,10 +80,10 @@ def score_category(score: Column) -> Column:
 
 
 def quick_score(credit: Column, income: Column, loan_amount: Column) -> Column:
-    """Score of a bare request that carries only the core fields."""
+    """Score of a bare request that carries only the core fields; unknown if one of them is."""
     raw = (
         (F.lit(800.0) - credit) / 10
-        + F.greatest(F.lit(0.0), (F.lit(50000.0) - income) / 5000)
+        + F.when(income.isNotNull(), F.greatest(F.lit(0.0), (F.lit(50000.0) - income) / 5000))
         + (loan_amount - 30000) / 5000
     )
     return clip(raw, 0.0, 100.0)

@@ -226,8 +226,9 @@ def _(spark, d):
     )
 
 
-_QUICK = """least(100.0, greatest(0.0, (800.0 - credit_score_at_origination) / 10
-  + greatest(0.0, (50000.0 - annual_income) / 5000) + (total_loan_amount - 30000) / 5000))"""
+_QUICK = """case when credit_score_at_origination + annual_income + total_loan_amount is not null
+  then least(100.0, greatest(0.0, (800.0 - credit_score_at_origination) / 10
+  + greatest(0.0, (50000.0 - annual_income) / 5000) + (total_loan_amount - 30000) / 5000)) end"""
 _FILLED = f"""select borrower_id, age, credit_score_at_origination, annual_income, 1 as dependents, 3.0::double as gpa,
   2020 as graduation_year, total_loan_amount, loan_count, total_loan_amount / nullif(loan_count, 0) as avg_loan_amount,
   6.0::double as avg_interest_rate, total_loan_amount * 0.9::double as total_current_balance, total_monthly_payment,
@@ -235,7 +236,7 @@ _FILLED = f"""select borrower_id, age, credit_score_at_origination, annual_incom
   30 as max_days_late, 10.0::double as std_days_late, total_monthly_payment * 12 as total_payments_made,
   12 as total_payment_count, total_monthly_payment * 12 * 1.05::double as total_scheduled, 1 as missed_payment_count,
   0.95::double as payment_ratio, 0.05::double as missed_payment_rate, 5.0::double as recent_avg_days_late,
-  1 as recent_missed_payments, case when annual_income is not null then {_QUICK} end as risk_score, 'Other' as gender, 'CA' as state,
+  1 as recent_missed_payments, {_QUICK} as risk_score, 'Other' as gender, 'CA' as state,
   'Employed' as employment_status, 'Rent' as housing_status, 'State University' as school_name,
   'Bachelors' as degree_type, 'Business' as major, 'Public' as school_type, 'Completed' as completion_status
 from borrowers join loan_summary using (borrower_id)"""
@@ -243,16 +244,13 @@ from borrowers join loan_summary using (borrower_id)"""
 
 @register("b22_default_fill", with_ctes(_FILLED, "borrowers", "loan_summary"))
 def _(spark, d):
-    filled = requests.fill_request_defaults(core_requests_of(spark, d))
-    known = F.when(F.col("annual_income").isNotNull(), F.col("risk_score"))
-    return filled.withColumn("risk_score", known)
+    return requests.fill_request_defaults(core_requests_of(spark, d))
 
 
 @register(
     "b23_quick_score",
     with_ctes(
-        f"select borrower_id, {rounded(_QUICK, 9)} as quick_score from borrowers join loan_summary using (borrower_id)"
-        " where annual_income is not null",
+        f"select borrower_id, {rounded(_QUICK, 9)} as quick_score from borrowers join loan_summary using (borrower_id)",
         "borrowers",
         "loan_summary",
     ),
@@ -260,8 +258,7 @@ def _(spark, d):
 def _(spark, d):
     c = F.col
     score = K.quick_score(c("credit_score_at_origination"), c("annual_income"), c("total_loan_amount"))
-    good, _rejected = requests.quarantine(core_requests_of(spark, d))
-    return good.select("borrower_id", np_round(score, 9).alias("quick_score"))
+    return core_requests_of(spark, d).select("borrower_id", np_round(score, 9).alias("quick_score"))
 
 
 _FALLBACK = fallback("credit_score_at_origination", "debt_to_income_ratio")

@@ -196,9 +196,10 @@ def test_fallback_and_interval(spark):
 
 def test_quick_score_of_demo_profiles(spark):
     rows = [(800, 85000.0, 25000.0), (720, 55000.0, 45000.0), (580, 35000.0, 65000.0)]
+    rows += [(700, None, 40000.0), (None, 55000.0, 45000.0), (720, 55000.0, None)]
     df = spark.createDataFrame(rows, "c int, i double, l double")
     got = [r[0] for r in df.select(K.quick_score(F.col("c"), F.col("i"), F.col("l"))).collect()]
-    assert got == [0.0, 11.0, 32.0]
+    assert got == [0.0, 11.0, 32.0, None, None, None]
 
 
 def test_action_cascade(spark):
