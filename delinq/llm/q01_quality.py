@@ -18,10 +18,10 @@ windows as (select doc_id, i, count(*) over (partition by doc_id, list_slice(w,
 covered as (select doc_id, sum(least(8, i - before)) as n_repeat_words
   from (select doc_id, i, coalesce(lag(i) over (partition by doc_id order by i), -100) as before from windows where n > 1)
   group by doc_id),
-line as (select doc_id, host, line_no, list_min(lines) || chr(10) || list_max(lines) as doc_key, len(regexp_extract_all(x, '{_WORD}')) as n,
+line as (select doc_id, host, line_no, text as doc_key, len(regexp_extract_all(x, '{_WORD}')) as n,
   lower(trim(regexp_replace(regexp_replace(x, '{_SPACE}', ' ', 'g'), '[0-9]+', '0', 'g'))) as norm
-  from (select doc_id, host, lines, unnest(lines) as x, unnest(range(len(lines))) as line_no from words)),
-hosts as (select host, count(*) as host_docs from docs group by host),
+  from (select doc_id, text, host, lines, unnest(lines) as x, unnest(range(len(lines))) as line_no from words)),
+hosts as (select host, count(distinct text) as host_docs from docs group by host),
 frequent as (select host, norm from line group by host, norm having count(distinct doc_key) > 10),
 over_limit as (select host, norm from line join frequent using (host, norm) join hosts using (host)
   group by host, norm, host_docs having count(distinct doc_key) > host_docs * 0.005::double),

@@ -175,3 +175,22 @@ def test_mix_empty_and_wordless(spark):
     docs = spark.createDataFrame([(1, "", "en", "a", 0, "k"), (2, None, "en", None, 0, "k")], DOCS)
     assert [(r.target, r.taken) for r in pivotal_mix.mix(docs).collect()] == [(0.0, 0)] * 2
     assert pivotal_mix.mix(docs.where("false")).count() == 0
+
+
+def test_quality_check_sql_counts_whole_texts(spark, tmp_path):
+    """The check SQL on documents that share their first and last line in sort order, and on exact copies."""
+    import duckdb
+
+    from delinq.llm.queries import QUERIES
+
+    name = lambda i: "abcdefghij"[i // 10] + "abcdefghij"[i % 10]
+    body = lambda i: "\n".join(["! head"] + [" ".join(f"{name(i)}x{name(k)}" for k in range(30))] + ["middle line", "~ foot"])
+    rows = [(i, body(i % 30), "en", "s", 1) for i in range(90)]  # every text three times
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    ours = {tuple(r[k] for k in ("doc_id", "removed_words", "kept")) for r in QUERIES["op1_quality_lines"](spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.execute(f"create view documents as from '{tmp_path}/documents.parquet/*.parquet'")
+    theirs = db.execute(f"select doc_id, removed_words, kept from ({CHECKS['op1_quality_lines']})").fetchall()
+    assert ours == set(theirs) and all(lost == 6 for _, lost, _ in ours)
