@@ -25,6 +25,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder with its scheme, as Spark's file system resolves it, for tasks that write files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, name))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once per row, also where body uses it inside a lambda."""
     return F.transform(F.array(value), lambda v: body(v))[0]

@@ -28,9 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delinq.llm.common import LOWER_AZ, Memory, written
+from delinq.llm.common import LOWER_AZ, Memory, shared_folder, written
 from delinq.llm.token_blocks import shared_store
-from delinq.session import scratch_path
 
 CHUNK_TOKENS = 1_000_000
 KNOWN = 200_000
@@ -245,7 +244,7 @@ def fit_weights(histogram: dict[int, int], vocabulary: int) -> np.ndarray:
 def score(docs: DataFrame, train: Column, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learns from the rows of ``train``."""
     spark = docs.sparkSession
-    folder = scratch_path(spark, "chunks")
+    folder = shared_folder(spark, "chunks")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.coalesce(train, F.lit(False)).alias("train"), F.coalesce(held_out, F.lit(False)).alias("held_out"),

@@ -15,10 +15,12 @@ The width is the smallest that holds ``percentile`` percent of a block's values;
 Documents are dealt into ranges of doc_id; every task encodes its range in order and writes shards of at most
 ``SHARD_IDS`` ids (a longer document has a shard of its own) to the shared folder, under names of their own, so
 a task that runs twice leaves a stray file but never a half one. The rows that Spark commits name the valid
-shards. The start of a range is the sum of the ranges before it, one number a range.
+shards. The start of a range is the sum of the ranges before it, one number a range. Ranges are cut by doc_id and a
+hash of the text, so rows without doc_id or with one repeated doc_id are dealt out like others.
 
 Defined results: null text is empty and has only the end id; rows without doc_id come first; equal doc_ids stand
-in the order of their texts; an empty table gives no shard. Other columns are not read.
+in the order of a hash of their texts; strings of special tokens inside a text get their id, as the library gives it; an
+empty table gives no shard; a text of any length is encoded whole, in one task. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +37,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delinq.llm.common import Memory, written
-from delinq.session import scratch_path
+from delinq.llm.common import Memory, shared_folder, written
 
 MAGIC = b"IDBLOCK1"
 BLOCK = 4096
@@ -121,6 +122,9 @@ class Encoder:
     encoded many at a time as one text; the bytes of each id tell where a part ends.
 
     Parts are remembered without their blank; the first of a text, which has none, gets one as a mark.
+
+    A text that holds a string the vocabulary treats as special (the library gives it one id, wherever it stands) is
+    encoded as a whole.
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -131,7 +135,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -162,7 +166,10 @@ class Encoder:
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        whole = [i for i, text in enumerate(texts) if any(s in text for s in self.special)]
         parts = [self._parts(text) for text in texts]
+        for i in whole:
+            parts[i] = []
         new = self.known.missing(set().union(*parts))
         known = self.known.now
         words = [w for w in new if w == w.strip()]
@@ -173,7 +180,10 @@ class Encoder:
         for i in range(0, len(alone), 4096):
             some = alone[i : i + 4096]
             known.update(zip(some, self._ids([w[1:] if w[0] == " " else " " + w for w in some])))
-        return [np.frombuffer(b"".join([known[w] for w in p]), "<u4") for p in parts]
+        out = [np.frombuffer(b"".join([known[w] for w in p]), "<u4") for p in parts]
+        for i in whole:
+            out[i] = np.frombuffer(self._ids([texts[i]])[0], "<u4")
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -187,7 +197,7 @@ def encoder(path: str) -> Encoder:
 
 
 def shared_store(folder: str):
-    """File system and path of the shared folder, whatever store holds it."""
+    """File system and path of a qualified folder (``shared_folder``), whatever store holds it."""
     if "://" not in folder:
         return fs.LocalFileSystem(), folder.removeprefix("file:")
     return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
@@ -232,10 +242,11 @@ def _writer(vocabulary: str, folder: str):
 
 def write_tokens(docs: DataFrame, vocabulary: str) -> tuple[DataFrame, str]:
     """Write all texts; returns the manifest (a row a shard, with its start) and the folder of the shards."""
-    folder = scratch_path(docs.sparkSession, "tokens")
+    folder = shared_folder(docs.sparkSession, "tokens")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = texts.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    shards = written(dealt.mapInArrow(_writer(vocabulary, folder), _MANIFEST), "shards")
+    keyed = texts.withColumn("h", F.xxhash64("text"))
+    dealt = keyed.repartitionByRange(F.asc_nulls_first("doc_id"), "h").sortWithinPartitions(F.asc_nulls_first("doc_id"), "h", "text")
+    shards = written(dealt.select("doc_id", "text").mapInArrow(_writer(vocabulary, folder), _MANIFEST), "shards")
     per_part = shards.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))  # a row a range
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_part.select("part", F.coalesce(F.sum("part_ids").over(before), F.lit(0)).alias("part_start"))

@@ -17,7 +17,7 @@ from delinq.llm.queries import QUERIES
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-ODD = ["", " ", "a", " a  b\n\n c ", "x\u00a0 y \t z", "don't  stop'll 12 34", "\u2581 lit\u2581eral", "日本語 \U0001f600 ok", "<|endoftext|> a", "\n", "  ", "a\x1c b", "aaaaaaaa" * 50]
+ODD = ["", " ", "a", " a  b\n\n c ", "x\u00a0 y \t z", "don't  stop'll 12 34", "\u2581 lit\u2581eral", "日本語 \U0001f600 ok", "<|endoftext|> a", "a <|endoftext|> b </s> x", "x<|endoftext|>y  <|endoftext|>", "b\n<|endoftext|>\n a<|endoftext|> .", "<|endoftext", "\n", "  ", "a\x1c b", "aaaaaaaa" * 50]
 
 
 def random_text(rng: random.Random) -> str:
@@ -38,7 +38,6 @@ def test_blocks_round_trip():
 
 def test_encoder_equals_library():
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     rng = random.Random(5)
     texts = ODD + [random_text(rng) for _ in range(3000)]
     got = token_blocks.Encoder(BPE).encode(texts)
@@ -50,7 +49,6 @@ def test_token_files_read_back(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = {r.doc_id: r for r in QUERIES["op4_token_blocks"](spark, small).collect()}
     plain, start = Tokenizer.from_file(BPE), 0
-    plain.encode_special_tokens = True
     for d in sorted(docs.collect(), key=lambda r: r.doc_id):
         ids = [*plain.encode(d.text, add_special_tokens=False).ids, 0]
         assert rows[d.doc_id][1:] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
@@ -60,10 +58,12 @@ def test_token_files_read_back(spark, small):
 
 def test_token_files_edge_cases(spark):
     rows = [(2, "b", "x"), (None, "n", "x"), (2, "a", "x"), (1, None, "x"), (1, None, "x")]
+    rows.append((8, "end<|endoftext|> of", "x"))
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
     manifest, folder = token_blocks.write_tokens(docs, BPE)
     out = sorted(token_blocks.read_tokens(manifest, folder).collect(), key=lambda r: r.start)
-    assert [(r.doc_id, r.start, r.n_tokens) for r in out] == [(None, 0, 2), (1, 2, 1), (1, 3, 1), (2, 4, 2), (2, 6, 2)]
+    assert [(r.doc_id, r.start, r.n_tokens) for r in out] == [(None, 0, 2), (1, 2, 1), (1, 3, 1), (2, 4, 2), (2, 6, 2), (8, 8, 4)]
+    assert np.frombuffer(out[-1].ids, "<u4")[1] == 50256
     manifest, folder = token_blocks.write_tokens(docs.where("doc_id > 9"), BPE)
     assert token_blocks.read_tokens(manifest, folder).count() == 0
 
