@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
+import json
+from dataclasses import dataclass
+
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delinq import schemas
 from delinq.functions.response import prediction, prediction_map
 from delinq.functions.risk import confidence_interval, model_category
+from delinq.models.compiled import CompiledModel, compile_model
 from delinq.models.training import ModelSet
 from delinq.operators.preprocess import FeatureModel
 from delinq.operators.requests import fill_request_defaults, with_request_errors
@@ -18,8 +22,42 @@ from delinq.operators.requests import fill_request_defaults, with_request_errors
 PRIMARY_MODEL = "random_forest"
 
 
-def _apply(df: DataFrame, models: ModelSet, names: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class ScoringSet:
+    """Compiled models with their preprocessing, as one JSON text: all that scoring needs."""
+
+    models: dict[str, CompiledModel]
+    features: FeatureModel
+    best_name: str | None
+    version: str = "0"
+
+    @staticmethod
+    def of(spark: SparkSession, models: ModelSet, features: FeatureModel, version: str = "0") -> ScoringSet:
+        compiled = {name: compile_model(spark, m.model) for name, m in models.models.items()}
+        return ScoringSet(compiled, features, models.best_name, version)
+
+    def to_json(self) -> str:
+        models = {name: json.loads(m.to_json()) for name, m in self.models.items()}
+        return json.dumps({"models": models, "features": self.features.to_json(), "best_name": self.best_name, "version": self.version})
+
+    @staticmethod
+    def from_json(text: str) -> ScoringSet:
+        state = json.loads(text)
+        models = {name: CompiledModel(**m) for name, m in state["models"].items()}
+        return ScoringSet(models, FeatureModel.from_json(state["features"]), state["best_name"], state["version"])
+
+
+def _best_name(models: ModelSet | ScoringSet) -> str:
+    if models.best_name is None:
+        raise ValueError("no model has a positive F1 score")
+    return models.best_name
+
+
+def _apply(df: DataFrame, models: ModelSet | ScoringSet, names: list[str]) -> DataFrame:
     """Chain the models over the same rows; each leaves ``p_<name>`` and ``c_<name>``."""
+    if isinstance(models, ScoringSet):
+        out = df.withColumns({f"p_{n}": models.models[n].probability(F.col("features")) for n in names})
+        return out.withColumns({f"c_{n}": (F.col(f"p_{n}") > 0.5).cast("double") for n in names})
     out = df
     for name in names:
         model = models.models[name].model.copy()
@@ -29,20 +67,23 @@ def _apply(df: DataFrame, models: ModelSet, names: list[str]) -> DataFrame:
     return out
 
 
-def _with_vector(df: DataFrame, features: FeatureModel) -> DataFrame:
-    """All input columns and the feature vector, in one projection: rows are never re-joined."""
+def _with_features(df: DataFrame, models: ModelSet | ScoringSet, features: FeatureModel) -> DataFrame:
+    """All input columns in ``_row`` and ``features``, a vector or for compiled models an array. Rows are never re-joined."""
     packed = df.withColumn("_row", F.struct(*[F.col(c) for c in df.columns]))
+    if isinstance(models, ScoringSet):
+        wide = features.transform(packed, keep=["_row"])
+        return wide.select("_row", F.array(*[F.col(f"`{n}`") for n in features.feature_names]).alias("features"))
     return features.assemble(packed, keep=["_row"])
 
 
 def predict(
-    df: DataFrame, models: ModelSet, features: FeatureModel, name: str | None = None
+    df: DataFrame, models: ModelSet | ScoringSet, features: FeatureModel, name: str | None = None
 ) -> DataFrame:
     """Input columns plus probability, 0/1 prediction and category of the best or a named model."""
-    name = name or models.best.name
+    name = name or _best_name(models)
     if name not in models.models:
         raise ValueError(f"Model {name} not found or not trained.")
-    scored = _apply(_with_vector(df, features), models, [name])
+    scored = _apply(_with_features(df, models, features), models, [name])
     own = [c for c in df.columns if c not in ("risk_score", "risk_probability", "risk_prediction", "risk_category")]
     p = F.col(f"p_{name}")
     return scored.select(
@@ -54,14 +95,16 @@ def predict(
     )
 
 
-def predict_all(requests: DataFrame, models: ModelSet, features: FeatureModel, as_of: dt.datetime) -> DataFrame:
+def predict_all(
+    requests: DataFrame, models: ModelSet | ScoringSet, features: FeatureModel, as_of: dt.datetime
+) -> DataFrame:
     """Score requests with every model; bad requests come back as error records.
 
     The primary model answers; where it is missing the first trained one does.
     """
     checked = with_request_errors(requests)
     names = list(models.models)
-    scored = _apply(_with_vector(fill_request_defaults(checked), features), models, names)
+    scored = _apply(_with_features(fill_request_defaults(checked), models, features), models, names)
     good = F.col("_row")["error"].isNull()
     probabilities: dict[str, Column] = {n: F.when(good, F.col(f"p_{n}")) for n in names}
     answer_order = [n for n in [PRIMARY_MODEL] if n in names] + [n for n in names if n != PRIMARY_MODEL]
@@ -78,7 +121,9 @@ def predict_all(requests: DataFrame, models: ModelSet, features: FeatureModel, a
     )
 
 
-def batch_records(df: DataFrame, models: ModelSet, features: FeatureModel, as_of: dt.datetime) -> DataFrame:
+def batch_records(
+    df: DataFrame, models: ModelSet | ScoringSet, features: FeatureModel, as_of: dt.datetime
+) -> DataFrame:
     """Flat prediction records of a batch with confidence interval and model version."""
     scored = predict(df, models, features)
     interval = confidence_interval(F.col("risk_probability"))
@@ -89,7 +134,7 @@ def batch_records(df: DataFrame, models: ModelSet, features: FeatureModel, as_of
         "risk_category",
         "risk_score",
         F.lit(as_of.isoformat()).alias("prediction_timestamp"),
-        F.lit(models.best.name).alias("model_version"),
+        F.lit(_best_name(models)).alias("model_version"),
         interval["lower_bound"].alias("lower_bound"),
         interval["upper_bound"].alias("upper_bound"),
     )

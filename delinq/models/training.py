@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from delinq import schemas
 from delinq.models.oversample import oversample_minority
+from delinq.models.second_order import SecondOrderBooster
 from delinq.operators.metrics import class_metrics, rank_models, ranking_metrics, roc_auc
 from delinq.operators.sampling import with_class_weights, with_folds
 from delinq.session import materialise
@@ -57,9 +58,9 @@ def make_classifier(name: str, label: str = schemas.TARGET, seed: int = 42, **pa
     if name == "gradient_boosting":
         return GBTClassifier(**common, seed=seed, **{"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, **params})
     if name == "xgboost":
-        # Boosting on row samples; the external library is not required.
+        # Second-order boosting of this library; the external one is not required.
         defaults = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "subsamplingRate": 0.8}
-        return GBTClassifier(**common, seed=seed, **{**defaults, **params})
+        return SecondOrderBooster(**common, seed=seed, **{**defaults, **params})
     raise ValueError(f"unknown model {name}")
 
 
@@ -243,7 +244,7 @@ def train_all(
 def feature_importance(trained: TrainedModel, feature_names: list[str], spark: SparkSession) -> DataFrame:
     """Rows (feature, importance), largest first: tree importance or absolute coefficient."""
     model = trained.model
-    if hasattr(model, "featureImportances"):
+    if hasattr(model, "featureImportances"):  # trees of all three kinds
         values = model.featureImportances.toArray()
     elif hasattr(model, "coefficients"):
         values = abs(model.coefficients.toArray())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from delinq.functions.numeric import np_round
 from delinq.models import scoring
 from delinq.models.oversample import oversample_minority
 from delinq.models.store import load_models, save_models
-from delinq.models.training import ModelSet, evaluate, top_features, train_all, train_model
+from delinq.models.compiled import model_nodes, node_importance
+from delinq.models.second_order import SecondOrderBooster
+from delinq.models.training import MODEL_NAMES, ModelSet, evaluate, feature_importance, top_features, train_all, train_model
 from delinq.operators import metrics, preprocess, sampling
 from delinq.operators import outreach as out_ops
 from delinq.plans import jobs
@@ -27,7 +30,7 @@ from delinq.plans.base import (
     rule_scored_of,
     scored_docs_of,
 )
-from delinq.plans.check_sql import rounded, with_ctes
+from delinq.plans.check_sql import SIGMOID, fallback, rounded, service_scale, with_ctes
 from delinq.session import materialise, scratch_path
 from delinq.sources import adapters, catalog, files
 
@@ -139,6 +142,48 @@ def _(spark, d):
     return _fit_and_measure(spark, d, "xgboost")
 
 
+#: Raw columns of the one-split check; nulls count as 0.
+_SPLIT_COLUMNS = ["age", "annual_income", "credit_score_at_origination", "debt_to_income_ratio", "total_loan_amount", "missed_payment_rate"]
+
+
+@register(
+    "h6_first_split",
+    with_ctes(
+        f"""select f as feature_number, e as threshold, {rounded("gain", 9)} as gain, {rounded("-gl / (hl + 1)", 9)} as left_weight,
+          {rounded("-gr / (hr + 1)", 9)} as right_weight, h as cover
+        from (select *, 0.5::double * (gl * gl / (hl + 1) + gr * gr / (hr + 1) - g * g / (h + 1)) as gain
+          from (select *, g - gl as gr, h - hl as hr
+            from (select f, e, sum(0.5::double - y) filter (where v <= e) as gl, 0.25::double * count(*) filter (where v <= e) as hl,
+                sum(0.5::double - y) as g, 0.25::double * count(*) as h from cells join ends using (f) group by f, e)))
+        where hl >= 1 and hr >= 1 and gain > 0 order by gain desc, f, e limit 1""".replace(
+            "from cells join ends using (f)",
+            f"""from (select is_delinquent::double as y, unnest(range({len(_SPLIT_COLUMNS)}))::int as f,
+                  unnest([{", ".join(f"coalesce({c}, 0)::double" for c in _SPLIT_COLUMNS)}]) as v from master) cells
+                join (select distinct f, v as e from (select f, v, row_number() over (partition by f order by v) as rank,
+                    count(*) over (partition by f) as n, max(v) over (partition by f) as top
+                  from (select unnest(range({len(_SPLIT_COLUMNS)}))::int as f,
+                    unnest([{", ".join(f"coalesce({c}, 0)::double" for c in _SPLIT_COLUMNS)}]) as v from master))
+                  cross join (select unnest(range(1, 32)) as k) where rank = (k * n + 31) // 32 and v < top) ends using (f)""",
+        ),
+        "master",
+    ),
+)
+def _(spark, d):
+    """The root of the first tree: its cut, its gain and the weights of both sides."""
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in _SPLIT_COLUMNS])
+    rows = master_of(spark, d).select("borrower_id", schemas.TARGET, array_to_vector(x).alias("features"))
+    booster = SecondOrderBooster(labelCol=schemas.TARGET, maxIter=1, maxDepth=1, maxBins=32, stepSize=1.0)
+    nodes = model_nodes(spark, booster.fit(materialise(rows, "rows")))
+    side = nodes.select(F.col("node").alias("side"), "value")
+    left, right = (side.select(F.col("side").alias(n), F.col("value").alias(f"{n}_weight")) for n in ("left", "right"))
+    return nodes.where("node = 0").join(left, "left").join(right, "right").select(
+        F.col("feature").alias("feature_number"),
+        "threshold",
+        *[np_round(F.col(c), 9).alias(c) for c in ("gain", "left_weight", "right_weight")],
+        "cover",
+    )
+
+
 @register("h7_grid_search")
 def _(spark, d):
     return _fit_and_measure(spark, d, "logistic_regression", grid={"C": [0.1, 1.0]}, folds=3)
@@ -202,6 +247,145 @@ def _(spark, d):
     return top_features(models.models["random_forest"], features.feature_names, spark, 20)
 
 
+_scoring: dict[tuple[str, str], scoring.ScoringSet] = {}
+
+
+def _compiled(spark: SparkSession, d: str) -> scoring.ScoringSet:
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _scoring:
+        _scoring[key] = scoring.ScoringSet.of(spark, *_models(spark, d))
+    return _scoring[key]
+
+
+#: Probabilities of compiled and library models may differ in the last digits.
+_SAME = 1e-12
+_EACH_MODEL = f"(select unnest({sorted(MODEL_NAMES)}) as model)"
+
+
+@register("b34_responses", with_ctes(
+    " union all ".join(
+        f"select borrower_id, '{name}' as model, {rounded(p, 4)} as risk_probability, {rounded(f'({p}) * 100', 2)} as risk_score,"
+        f" {service_scale(f'({p})')} as risk_category from master"
+        for name, p in {
+            "fallback": fallback("credit_score_at_origination", "debt_to_income_ratio"), "factor": "risk_score / 100", "sigmoid": SIGMOID
+        }.items()
+    ),
+    "master",
+))
+def _(spark, d):
+    """Formatted responses of three rule models for every borrower."""
+    views = jobs.rule_predictions(master_of(spark, d))
+    return views.select("borrower_id", F.explode("predictions").alias("model", "p")).select("borrower_id", "model", "p.*")
+
+
+@register(
+    "h9_compiled",
+    with_ctes(
+        """select count(*) as requests, count(*) filter (where annual_income is not null) as answered,
+          count(*) filter (where annual_income is null) as errors, 0::bigint as differing
+        from borrowers join loan_summary using (borrower_id)""",
+        "borrowers",
+        "loan_summary",
+    ),
+)
+def _(spark, d):
+    """Answers of all compiled models against those of the library's models."""
+    models, features = _models(spark, d)
+    requests = materialise(core_requests_of(spark, d), "requests")
+    answers = [
+        scoring.predict_all(requests, m, features, AS_OF_TIME).select("borrower_id", F.to_json(F.struct("*")).alias(side), "model_used")
+        for m, side in ((models, "a"), (_compiled(spark, d), "b"))
+    ]
+    both = answers[0].drop("model_used").join(answers[1], "borrower_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count("model_used").alias("answered"),
+        F.count_if(F.col("model_used").isNull()).alias("errors"),
+        F.count_if(F.col("a") != F.col("b")).alias("differing"),
+    )
+
+
+@register(
+    "h10_compiled",
+    with_ctes(f"select model, count(*) as borrowers, 0::bigint as differing from master cross join {_EACH_MODEL} group by model", "master"),
+)
+def _(spark, d):
+    """Probabilities, predictions and categories of each compiled model against those of the library's model."""
+    models, features = _models(spark, d)
+    master = materialise(master_of(spark, d), "master")
+    out = None
+    for name in sorted(models.models):
+        first, second = (
+            scoring.predict(master, m, features, name).select("borrower_id", F.struct("risk_probability", "risk_prediction", "risk_category").alias(side))
+            for m, side in ((models, "a"), (_compiled(spark, d), "b"))
+        )
+        same = (F.abs(F.col("a.risk_probability") - F.col("b.risk_probability")) <= _SAME) & (
+            F.struct("a.risk_prediction", "a.risk_category").eqNullSafe(F.struct("b.risk_prediction", "b.risk_category"))
+        )
+        row = first.join(second, "borrower_id").agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("borrowers"), F.count_if(~F.coalesce(same, F.lit(False))).alias("differing")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("h11_compiled", with_ctes("select count(*) as records, 0::bigint as differing from master", "master"))
+def _(spark, d):
+    """Batch records of the best compiled model against those of the library's model."""
+    models, features = _models(spark, d)
+    requests = materialise(catalog.conform(master_of(spark, d), schemas.REQUEST), "requests")
+    first, second = (
+        scoring.batch_records(requests, m, features, AS_OF_TIME).select(
+            "borrower_id", np_round(F.col("risk_probability"), 9).alias(f"p{side}"), F.struct("risk_prediction", "risk_category", "model_version", "lower_bound", "upper_bound").alias(side)
+        )
+        for m, side in ((models, "a"), (_compiled(spark, d), "b"))
+    )
+    both = first.join(second, "borrower_id")
+    same = (F.col("pa") == F.col("pb")) & F.col("a").eqNullSafe(F.col("b"))
+    return both.agg(F.count(F.lit(1)).alias("records"), F.count_if(~F.coalesce(same, F.lit(False))).alias("differing"))
+
+
+@register("h12_compiled", f"select model, 0::bigint as differing, model <> 'logistic_regression' as sums_to_one from {_EACH_MODEL}")
+def _(spark, d):
+    """Importance (absolute coefficient) of each feature from the node table against the model's own; F1 orders by it."""
+    models, features = _models(spark, d)
+    kinds = {"random_forest": "forest", "gradient_boosting": "boosted", "xgboost": "second"}
+    names = spark.createDataFrame(list(enumerate(features.feature_names)), "number int, feature string")
+    out = None
+    for name in sorted(models.models):
+        nodes = materialise(model_nodes(spark, models.models[name].model), "nodes")
+        if name in kinds:
+            own = node_importance(nodes, kinds[name])
+        else:
+            own = nodes.where("feature >= 0").select("feature", F.abs("value").alias("importance"))
+        named = names.join(own.withColumnRenamed("feature", "number"), "number", "left").select(
+            "feature", F.coalesce("importance", F.lit(0.0)).alias("own")
+        )
+        both = feature_importance(models.models[name], features.feature_names, spark).join(named, "feature", "full")
+        row = both.agg(
+            F.lit(name).alias("model"),
+            F.count_if(F.coalesce(F.abs(F.col("own") - F.col("importance")) > 1e-9, F.lit(True))).alias("differing"),
+            (F.abs(F.sum("own") - 1) < 1e-9).alias("sums_to_one"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("h14_compiled", "select 0::bigint as differing, true as lists_someone")
+def _(spark, d):
+    """The outreach list by the compiled forest against that by the library's forest."""
+    models, features = _models(spark, d)
+    master, payments = materialise(master_of(spark, d), "master"), adapters.payments(spark, d)
+    first, second = (
+        out_ops.high_risk(jobs.outreach_table(jobs.with_model_scores(master, m, features, "random_forest"), payments, AS_OF_TIME)).select(
+            "borrower_id", F.to_json(F.struct("*")).alias(side)
+        )
+        for m, side in ((models, "a"), (_compiled(spark, d), "b"))
+    )
+    both = first.join(second, "borrower_id", "full")
+    return both.agg(F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differing"), (F.count("a") > 0).alias("lists_someone"))
+
+
 @register("a13_model_store", with_ctes("select count(*) as borrowers, 0::bigint as differing from master", "master"))
 def _(spark, d):
     models, features = _models(spark, d)
