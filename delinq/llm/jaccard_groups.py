@@ -6,17 +6,24 @@ enough in common share a shingle among their first n - ceil(3n/4) + 1; classes w
 group, and only groups are listed under their prefix shingles.
 
 Which shingles are frequent is counted over all documents in 2^20 counters of fixed size; the counters decide about
-the order only, so any error in them costs time and never a link.
-
-Long lists and groups of several classes come first, in rounds: the members are compared with one of them, and what
-is linked becomes one component, so a large group of near copies costs about one comparison a member. Rounds end when
-one links nothing. Then every pair of groups in a list that isn't within one component passes the filters: the sizes,
-and how many prefix shingles the pair has in common, for which there is an exact lower bound. The groups that are left
-are expanded, and the whole sets of their members are compared.
+the order only, so any error in them costs time and never a link. Only frequent shingles can have long lists; their
+lists are counted before they are joined, so none of them is gathered in one task.
+
+Families of near copies would make all pairs of a long list. So groups of long lists, and groups of several classes, are
+compared with leaders first: a class goes to the longest list of its group, such a cell is dealt into chunks, and a task
+reads a chunk once, links every member to the leaders it is similar to (at most ``LEADERS``, others are just not
+compared), and sends its main leader on to be compared with those of the other chunks. What is linked is one
+component. Then only pairs of different components are left: lists that lie within one component are settled, and in
+the others the members outside the list's main component meet the rest. These pairs of groups pass the filters: their
+sizes, and how many prefix shingles they have in common, for which there is an exact lower bound. The groups that are
+left are expanded, and the whole sets of their members are compared. Leaders only save comparisons; every pair that
+might be similar is linked by them or verified at the end.
 
 Defined results: texts that are null or without words have an empty set and are alone; with fewer than five words
 the whole sequence is the only shingle; repeated rows and equal texts are one class; rows without doc_id link like
-others and never name a component that has an id; an empty table gives an empty table. Other columns are not read.
+others and never name a component that has an id; an empty table gives an empty table; a text of any length is one set,
+8 bytes a distinct shingle, in one task at a time. Other columns are not read, and ``one_of_each`` returns them as they
+are, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,14 +37,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delinq.llm.common import LOWER_AZ, WORD, Memory, written
+from delinq.llm.components import components, smallest_ids
 
 SHINGLE = 5
 SLOT_BITS = 20
 _RANGE = 1024  # counters in a row
 KNOWN = 200_000
-#: Lists of more groups are worked in rounds first, at most so many.
-LARGE = 64
-MAX_ROUNDS = 8
+#: Groups of longer lists are compared with leaders first.
+LARGE = 16
+#: Classes of a chunk, about, and leaders kept in it: as many as a mask has bits.
+CHUNK = 1024
+LEADERS = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = Memory(KNOWN)
@@ -179,31 +189,8 @@ def _entries(found: DataFrame) -> DataFrame:
     return found.where("n > 0").select("grp", "n", "prefix").mapInArrow(run, "token long, grp long, n int, pos int")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """cls, comp (its smallest class) of every linked class, by alternating large and small stars."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-
-    def stamp(df):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    before = stamp(edges)
-    while before[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
-        after = stamp(edges)
-        if after == before:
-            break
-        before = after
-    own = edges.select(F.col("v").alias("cls"), F.col("v").alias("comp")).distinct()
-    return edges.select(F.col("u").alias("cls"), F.col("v").alias("comp")).unionByName(own)
-
-
-def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """cls, tokens of the rows (_row, cls); a fixed bitmap of their keys spares most other texts the way."""
+def _texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows (_row, ...) with their text; a fixed bitmap of their keys spares most other texts the way."""
     bits = np.packbits(
         count_slots(rows.select("_row"), lambda b: b.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - SLOT_BITS)) > 0
     ).tobytes()
@@ -215,14 +202,20 @@ def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
             keep = table[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8) & 1
             yield batch.filter(pa.array(keep.astype(bool)))
 
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("_row"), "text").mapInArrow(possible, "_row long, text string")
+    one = texts.dropDuplicates(["_row"])  # rows repeated as a whole
+    return one.join(rows, "_row")
+
+
+def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """cls, tokens of the rows (_row, cls)."""
+
     def run(batches):
         for batch in _slices(batches):
             sets = [t.tobytes() for t in shingles(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["cls", "tokens"])
 
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("_row"), "text").mapInArrow(possible, "_row long, text string")
-    one = texts.dropDuplicates(["_row"])  # rows repeated as a whole
-    return one.join(rows, "_row").select("cls", "text").mapInArrow(run, "cls long, tokens binary")
+    return _texts_of(docs, rows).select("cls", "text").mapInArrow(run, "cls long, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -249,9 +242,122 @@ def _near_sizes(n, m):
 
 
 def _lists(found: DataFrame) -> DataFrame:
-    """token, grp, n, pos, k: the entries of prefix shingles that several (k) groups have."""
-    once = _entries(found).repartition("token").dropDuplicates(["token", "grp"])
-    return once.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1")
+    """token, grp, n, k: the entries of prefix shingles that several (k) groups have."""
+    entries = _entries(found)
+    rare = entries.where("token >= 0").repartition("token").dropDuplicates(["token", "grp"])
+    rare = rare.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1")
+    often = written(entries.where("token < 0").dropDuplicates(["token", "grp"]), "frequent")  # the flag is the sign
+    sizes = written(often.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "sizes")
+    return rare.unionByName(often.join(sizes, "token").select(rare.columns))
+
+
+class _Leaders:
+    """Leaders of a chunk: their shingles in one sorted array, and for each the bits of the leaders that have it."""
+
+    def __init__(self):
+        self.names: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.root: list[int] = []
+        self.followers: list[int] = []
+        self.tokens = np.empty(0, np.uint64)
+        self.owners = np.empty(0, np.uint64)
+
+    def _find(self, i: int) -> int:
+        while self.root[i] != i:
+            i = self.root[i]
+        return i
+
+    def _add(self, name: int, tokens: np.ndarray) -> None:
+        i = len(self.names)
+        self.names.append(name)
+        self.sets.append(tokens)
+        self.root.append(i)
+        self.followers.append(1)
+        merged = np.union1d(self.tokens, tokens)
+        owners = np.zeros(len(merged), np.uint64)
+        owners[np.searchsorted(merged, self.tokens)] = self.owners
+        owners[np.searchsorted(merged, tokens)] |= np.uint64(1 << i)
+        self.tokens, self.owners = merged, owners
+
+    def meet(self, name: int, tokens: np.ndarray) -> list[tuple[int, int]]:
+        """Links of a new member to the leaders, at most one for each set of leaders that aren't linked yet."""
+        similar = []
+        if self.names:
+            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+            masks = self.owners[at[self.tokens[at] == tokens]]
+            both = np.unpackbits(masks.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            sizes = np.array([len(t) for t in self.sets])
+            both = both[: len(sizes)]
+            similar = np.flatnonzero(100 * both >= 75 * (len(tokens) + sizes - both)).tolist()
+        if not similar:
+            if len(self.names) < LEADERS:
+                self._add(name, tokens)
+            return []
+        out, roots = [], set()
+        for i in similar:
+            if (r := self._find(i)) not in roots:
+                roots.add(r)
+                out.append((self.names[i], name))
+        first = min(roots)
+        for r in roots:
+            self.root[r] = first
+        self.followers[similar[0]] += 1
+        return out
+
+    def main(self) -> tuple[int, np.ndarray]:
+        i = max(range(len(self.names)), key=lambda i: self.followers[i])
+        return self.names[i], self.sets[i]
+
+
+_STARS = "home long, a long, b long, tokens binary"
+
+
+def _stars(batches: Iterator[pa.RecordBatch], sets_of) -> Iterator[pa.RecordBatch]:
+    """Links of each cell (home, chunk) of the sorted rows (home, chunk, cls, set) and, as a row with tokens, its main leader."""
+    cell, leaders = None, None
+    for batch in _slices(batches, 64):
+        out = []
+        for home, chunk, cls, tokens in zip(*(batch.column(i).to_pylist() for i in range(3)), sets_of(batch.column(3))):
+            if cell != (home, chunk):
+                if leaders is not None:
+                    name, own = leaders.main()
+                    out.append((cell[0], name, None, own.tobytes()))
+                cell, leaders = (home, chunk), _Leaders()
+            out += [(home, a, b, None) for a, b in leaders.meet(cls, tokens)]
+        if out:
+            yield _star_batch(out)
+    if leaders is not None:
+        name, own = leaders.main()
+        yield _star_batch([(cell[0], name, None, own.tobytes())])
+
+
+def _star_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [("home", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("tokens", pa.binary())]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows), kinds)], names=[n for n, _ in kinds])
+
+
+def _leader_links(docs: DataFrame, classes: DataFrame, lists: DataFrame, several: DataFrame) -> DataFrame:
+    """a, b: links of classes to leaders of their cells."""
+    longest = lists.where(F.col("k") > LARGE).groupBy("grp").agg(F.max(F.struct("k", "token")).alias("most"))
+    marked = classes.join(longest, "grp", "left").join(several.withColumn("many", F.lit(True)), "grp", "left")
+    cells = written(
+        marked.where("most is not null or many").select("_row", "cls", F.coalesce("most.token", F.xxhash64("grp")).alias("home")), "cells"
+    )
+    sizes = written(cells.groupBy("home").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "sizes")
+    chunk = F.pmod(F.xxhash64("cls"), F.ceil(F.col("k") / CHUNK)).cast("int")
+    chunked = written(cells.join(sizes, "home").select("_row", "cls", "home", chunk.alias("chunk"), (F.col("k") > CHUNK).alias("more")), "chunks")
+    texts = _texts_of(docs, chunked).select("home", "chunk", "cls", "text")
+    cell = ["home", "chunk"]
+    first = written(
+        texts.repartition(*cell).sortWithinPartitions(*cell, F.xxhash64("cls"))
+        .mapInArrow(lambda batches: _stars(batches, lambda column: shingles(column.to_pylist())), _STARS),
+        "stars",
+    )
+    large = chunked.where("more").select("home").distinct()
+    mains = first.where("tokens is not null").join(large, "home", "left_semi")
+    second = mains.select("home", F.lit(0).alias("chunk"), F.col("a").alias("cls"), "tokens").repartition("home").sortWithinPartitions("home", "cls")
+    again = second.mapInArrow(lambda batches: _stars(batches, lambda column: [np.frombuffer(t, np.uint64) for t in column.to_pylist()]), _STARS)
+    return first.unionByName(again).where("tokens is null").select("a", "b")
 
 
 def _enough_in_prefix() -> Column:
@@ -265,15 +371,32 @@ def _enough_in_prefix() -> Column:
     return F.col("c") >= F.least(*spare)
 
 
-def _groups(classes: DataFrame, comp: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Classes with their component, and grp, rep, low, high: a member and the range of components of each group."""
-    if comp is None:
-        classes = classes.withColumn("comp", F.col("cls"))
-    else:
-        classes = classes.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    return classes, classes.groupBy("grp").agg(
-        F.min("cls").alias("rep"), F.min("comp").alias("low"), F.max("comp").alias("high")
+def _open_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """xgrp, ygrp, n1, n2, token: pairs of groups of one list that aren't within one component, with near sizes.
+
+    groups: grp, low, high (its range of components). Sizes are cut into bands, near sizes lie in the same or in
+    neighbouring ones. A list's main component is the one that most of its groups lie in.
+    """
+    entries = lists.join(groups, "grp").withColumn("own", F.when(F.col("low") == F.col("high"), F.col("low")))
+    entries = written(entries.select("token", "grp", "n", "low", "high", "own"), "entries")
+    parts = entries.groupBy("token", "own").agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
+    mains = parts.groupBy("token").agg(
+        F.max(F.when(F.col("own").isNotNull(), F.struct("c", "own"))).alias("main"), F.min("low").alias("l"), F.max("high").alias("h")
     )
+    open_lists = written(mains.where("l < h").select("token", F.col("main.own").alias("main")), "open")
+    still = written(entries.join(open_lists, "token"), "still")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int")
+    side = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "low", "high")]
+    outside = F.coalesce(F.col("own") != F.col("main"), F.lit(True))
+    x = still.where(outside).select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *side("x"))
+    y = still.select("token", band.alias("band"), outside.alias("outside"), *side("y"))
+    met = x.join(y, ["token", "band"]).where(
+        (F.col("xgrp") != F.col("ygrp")) & (~F.col("outside") | (F.col("xgrp") < F.col("ygrp")))
+        & ~_settled("x", "y") & _near_sizes(F.col("xn"), F.col("yn"))
+    )
+    first = F.col("xgrp") < F.col("ygrp")
+    pick = lambda a, b, name: F.when(first, F.col(a)).otherwise(F.col(b)).alias(name)
+    return met.select(pick("xgrp", "ygrp", "xgrp"), pick("ygrp", "xgrp", "ygrp"), pick("xn", "yn", "n1"), pick("yn", "xn", "n2"))
 
 
 def _settled(x: str, y: str) -> Column:
@@ -281,65 +404,36 @@ def _settled(x: str, y: str) -> Column:
     return F.least(f"{x}low", f"{y}low") == F.greatest(f"{x}high", f"{y}high")
 
 
-def link(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (_row, doc_id, n, cls) of all documents, and cls, comp of the linked classes (None: no links)."""
+def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (_row, doc_id, n, cls) of all documents, and cls, comp of the linked classes."""
     found = written(members(docs, frequent_slots(docs)), "members")
     rows = found.select("_row", "doc_id", "n", "cls", "grp")
     classes = written(rows.where("n > 0").groupBy("grp", "cls", "n").agg(F.min("_row").alias("_row")), "classes")
-    several = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("grp")
-    lists = written(_lists(found), "lists")
-    large = lists.where(F.col("k") > LARGE)
-    touched = large.select("grp").unionByName(several).distinct()
-    sets = written(_sets_of(docs, written(classes.join(touched, "grp").select("_row", "cls"), "needed")), "sets")
-    links, comp = None, None
-    for turn in range(MAX_ROUNDS):
-        state, groups = _groups(classes, comp)
-        same = Window.partitionBy("token")
-        centre = F.struct(F.xxhash64("grp", F.lit(turn)).alias("o"), "n", "rep", "low", "high")
-        now = large.join(groups, "grp").withColumn("c", F.min(centre).over(same))
-        now = written(now.where(_near_sizes(F.col("n"), F.col("c.n")) & ~_settled("", "c.")), "open")
-        inner = groups.join(several, "grp").where("low < high").select(F.col("rep").alias("x"), "grp")
-        pairs = now.select(F.col("c.rep").alias("x"), "grp").unionByName(inner).distinct()
-        pairs = pairs.join(state.select("grp", "cls"), "grp").where("x <> cls")
-        new = written(
-            _verified(pairs.select(F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct(), sets), "links"
-        )
-        if new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
-        comp = written(components(links), "components")
-    state, groups = _groups(classes, comp)
-    sides = lists.join(groups, "grp")
-    x, y = (sides.select("token", *[F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "low", "high")]) for s in ("x", "y"))
-    together = x.join(y, "token").where(
-        (F.col("xgrp") < F.col("ygrp")) & ~_settled("x", "y") & _near_sizes(F.col("xn"), F.col("yn"))
-    )
-    near = together.groupBy("xgrp", "ygrp", F.col("xn").alias("n1"), F.col("yn").alias("n2")).agg(F.count(F.lit(1)).alias("c"))
+    several = written(classes.groupBy("grp").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("grp"), "several")
+    lists = written(_lists(found).select("token", "grp", "n", "k"), "lists")
+    stars = written(_leader_links(docs, classes, lists, several), "links")
+    comp = written(components(stars), "components")
+    state = written(classes.join(comp, "cls", "left").select("grp", "cls", "_row", F.coalesce("comp", "cls").alias("comp")), "state")
+    groups = written(state.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "groups")
+    near = _open_pairs(lists, groups).groupBy("xgrp", "ygrp", "n1", "n2").agg(F.count(F.lit(1)).alias("c"))
     near = near.where(_enough_in_prefix()).select("xgrp", "ygrp")
     inner = groups.join(several, "grp").where("low < high").select(F.col("grp").alias("xgrp"), F.col("grp").alias("ygrp"))
     first, second = (state.select(F.col("grp").alias(f"{s}grp"), F.col("cls").alias(c), F.col("comp").alias(f"{s}comp")) for s, c in (("x", "a"), ("y", "b")))
     pairs = near.unionByName(inner).join(first, "xgrp").join(second, "ygrp").where("xcomp <> ycomp")
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    needed = written(needed.join(classes, "cls").select("_row", "cls"), "needed")
-    new = written(_verified(pairs, written(_sets_of(docs, needed), "sets")), "links")
-    links = new if links is None else links.unionByName(new)
-    return rows, None if links.isEmpty() else written(components(links), "components")
-
-
-def _with_components(docs: DataFrame) -> DataFrame:
-    rows, comp = link(docs)
-    if comp is None:
-        return rows.withColumn("comp", F.col("cls"))
-    return rows.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    needed = written(needed.join(state, "cls").select("_row", "cls"), "needed")
+    more = written(_verified(pairs, written(_sets_of(docs, needed), "sets")), "links")
+    # Stars of the components so far stand for their links.
+    return rows, written(components(more.unionByName(comp.select(F.col("cls").alias("a"), F.col("comp").alias("b")))), "components")
 
 
 def cluster(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = _with_components(docs)
-    least = rows.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("_least"))
-    out = rows.join(least, "comp", "left")
-    smallest = F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id"))
+    rows, comp = link(docs)
+    least = written(rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "least")
+    out = rows.join(smallest_ids(least, comp), "cls", "left")
+    smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), smallest.alias("component_id"))
 
 
@@ -348,11 +442,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Documents without words are linked with nothing and stay.
     """
-    rows = _with_components(docs)
-    first = rows.where("n > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_f"))
-    kept = first.select(F.col("_f._row").alias("_row"))
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    rows, comp = link(docs)
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
+    of_class = rows.where("n > 0").groupBy("cls").agg(order)
+    first = of_class.join(comp, "cls", "left").groupBy(F.coalesce("comp", "cls").alias("comp")).agg(F.min("first").alias("first"))
+    kept = written(first.select(F.col("first._row").alias("key")), "kept")
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"), F.xxhash64("doc_id", "text").alias("key"), "text")
     wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    alone = docs.where(wordless)
-    texts = keyed.where(~wordless).join(kept, "_row").dropDuplicates(["_row"])  # a repeated row stays once
-    return texts.select(*docs.columns).unionByName(alone)
+    alone = given.where(wordless).select("given")
+    texts = given.where(~wordless).join(kept, "key").dropDuplicates(["key"])  # a repeated row stays once
+    return texts.select("given").unionByName(alone).select("given.*")
