@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,19 +52,48 @@ def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, rows: int = 256, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most so many rows, and bytes in a text column (or one row)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = held = 0
+    for at, size in enumerate(sizes):
+        if at > start and (at - start == rows or held + size > limit):
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
 class Memory:
-    """Values by key in two generations: what is not asked for while ``size`` new keys come in is forgotten."""
+    """Values by text key in two generations: what is not asked for while about ``size`` new keys come in is forgotten.
+
+    Keys count by their length, as many of usual length as ``size`` says, so a generation is bounded in bytes. A worker
+    process holds one memory at a time: the others are emptied when another is asked.
+    """
+
+    #: Characters of a usual key with what its entry takes besides.
+    USUAL = 40
+    last: Memory | None = None
 
     def __init__(self, size: int):
         self.size = size
+        self.forget()
+
+    def forget(self) -> None:
         self.now: dict = {}
         self.before: dict = {}
+        self.held = 0
 
     def missing(self, keys: set) -> list:
         """Keys without a value yet; the others are in ``now`` until the next call."""
-        if len(self.now) > self.size:
-            self.before, self.now = self.now, {}
-        out, before, now = [], self.before, self.now
+        if Memory.last is not self:
+            if Memory.last is not None:
+                Memory.last.forget()
+            Memory.last = self
+        if self.held > self.size * self.USUAL:
+            self.before, self.now, self.held = self.now, {}, 0
+        out, before, now, kept = [], self.before, self.now, 0
         for key in keys:
             if key in now:
                 continue
@@ -69,4 +102,6 @@ class Memory:
                 out.append(key)
             else:
                 now[key] = value
+                kept += 30 + len(key)
+        self.held += kept + 30 * len(out) + sum(map(len, out))
         return out
