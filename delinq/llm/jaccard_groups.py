@@ -11,9 +11,9 @@ lists are counted before they are joined, so none of them is gathered in one tas
 
 Families of near copies would make all pairs of a long list. So groups of long lists, and groups of several classes, are
 compared with leaders first: a class goes to the longest list of its group, such a cell is dealt into chunks, and a task
-reads a chunk once, links every member to the leaders it is similar to (at most ``LEADERS``, others are just not
-compared), and sends its main leader on to be compared with those of the other chunks. What is linked is one
-component. Then only pairs of different components are left: lists that lie within one component are settled, and in
+reads a chunk once and links every member to the leaders it is similar to (at most ``LEADERS``, others are just not
+compared). A chunk's main leader and those with ``FOLLOWERS`` members go on to the ``HOMES`` longest lists of their
+groups, where they meet the leaders of other chunks and cells in the same way. What is linked is one component. Then only pairs of different components are left: lists that lie within one component are settled, and in
 the others the members outside the list's main component meet the rest. These pairs of groups pass the filters: their
 sizes, and how many prefix shingles they have in common, for which there is an exact lower bound. The groups that are
 left are expanded, and the whole sets of their members are compared. Leaders only save comparisons; every pair that
@@ -48,13 +48,16 @@ LARGE = 16
 #: Classes of a chunk, about, and leaders kept in it: as many as a mask has bits.
 CHUNK = 1024
 LEADERS = 64
+#: Leaders with so many members are compared again, in so many lists.
+FOLLOWERS = 4
+HOMES = 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = Memory(KNOWN)
 
 
-def shingles(texts: list[str | None]) -> list[np.ndarray]:
-    """Sorted distinct 63-bit hashes of each text's shingles."""
+def shingles(texts: list[str | None], distinct: bool = True) -> list[np.ndarray]:
+    """63-bit hashes of each text's shingles, sorted and distinct or as they come."""
     words = [(t or "").encode().translate(LOWER_AZ).split() for t in texts]
     new = _WORDS.missing(set().union(*words))
     known = _WORDS.now
@@ -71,7 +74,11 @@ def shingles(texts: list[str | None]) -> list[np.ndarray]:
         for k in range(length):
             total = (total ^ hashes[k : len(hashes) - length + 1 + k]) * _MIX
             total ^= total >> np.uint64(32)
-        out.append(np.unique(total >> np.uint64(1)))
+        total >>= np.uint64(1)
+        if distinct and len(total) > 1:
+            total.sort()
+            total = total[np.concatenate([[True], total[1:] != total[:-1]])]
+        out.append(total)
     return out
 
 
@@ -125,7 +132,7 @@ def frequent_slots(docs: DataFrame) -> bytes:
     """A bit per slot: whether it holds frequent shingles."""
     counts = count_slots(
         docs.select("text"),
-        lambda batch: np.concatenate([np.empty(0, np.int64), *map(_slot, shingles(batch.column(0).to_pylist()))]),
+        lambda batch: np.concatenate([np.empty(0, np.int64), *map(_slot, shingles(batch.column(0).to_pylist(), distinct=False))]),
     )
     mean = counts.mean()
     return np.packbits(counts > mean + 4 * np.sqrt(mean) + 4).tobytes()
@@ -242,7 +249,7 @@ def _near_sizes(n, m):
 
 
 def _lists(found: DataFrame) -> DataFrame:
-    """token, grp, n, k: the entries of prefix shingles that several (k) groups have."""
+    """token, grp, n, pos, k: the entries of prefix shingles that several (k) groups have."""
     entries = _entries(found)
     rare = entries.where("token >= 0").repartition("token").dropDuplicates(["token", "grp"])
     rare = rare.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1")
@@ -285,9 +292,9 @@ class _Leaders:
         if self.names:
             at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
             masks = self.owners[at[self.tokens[at] == tokens]]
-            both = np.unpackbits(masks.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
             sizes = np.array([len(t) for t in self.sets])
-            both = both[: len(sizes)]
+            used = masks.view(np.uint8).reshape(-1, 8)[:, : (len(sizes) + 7) // 8]
+            both = np.unpackbits(used, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)[: len(sizes)]
             similar = np.flatnonzero(100 * both >= 75 * (len(tokens) + sizes - both)).tolist()
         if not similar:
             if len(self.names) < LEADERS:
@@ -304,31 +311,30 @@ class _Leaders:
         self.followers[similar[0]] += 1
         return out
 
-    def main(self) -> tuple[int, np.ndarray]:
-        i = max(range(len(self.names)), key=lambda i: self.followers[i])
-        return self.names[i], self.sets[i]
+    def strong(self) -> list[tuple[int, bytes]]:
+        """The leader with most members, and all with enough."""
+        main = max(range(len(self.names)), key=lambda i: self.followers[i])
+        return [(self.names[i], self.sets[i].tobytes()) for i, n in enumerate(self.followers) if i == main or n >= FOLLOWERS]
 
 
 _STARS = "home long, a long, b long, tokens binary"
 
 
 def _stars(batches: Iterator[pa.RecordBatch], sets_of) -> Iterator[pa.RecordBatch]:
-    """Links of each cell (home, chunk) of the sorted rows (home, chunk, cls, set) and, as a row with tokens, its main leader."""
+    """Links of each cell (home, chunk) of the sorted rows (home, chunk, cls, set) and, as rows with tokens, its strong leaders."""
     cell, leaders = None, None
     for batch in _slices(batches, 64):
         out = []
         for home, chunk, cls, tokens in zip(*(batch.column(i).to_pylist() for i in range(3)), sets_of(batch.column(3))):
             if cell != (home, chunk):
                 if leaders is not None:
-                    name, own = leaders.main()
-                    out.append((cell[0], name, None, own.tobytes()))
+                    out += [(cell[0], name, None, own) for name, own in leaders.strong()]
                 cell, leaders = (home, chunk), _Leaders()
             out += [(home, a, b, None) for a, b in leaders.meet(cls, tokens)]
         if out:
             yield _star_batch(out)
     if leaders is not None:
-        name, own = leaders.main()
-        yield _star_batch([(cell[0], name, None, own.tobytes())])
+        yield _star_batch([(cell[0], name, None, own) for name, own in leaders.strong()])
 
 
 def _star_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -338,14 +344,17 @@ def _star_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _leader_links(docs: DataFrame, classes: DataFrame, lists: DataFrame, several: DataFrame) -> DataFrame:
     """a, b: links of classes to leaders of their cells."""
-    longest = lists.where(F.col("k") > LARGE).groupBy("grp").agg(F.max(F.struct("k", "token")).alias("most"))
-    marked = classes.join(longest, "grp", "left").join(several.withColumn("many", F.lit(True)), "grp", "left")
-    cells = written(
-        marked.where("most is not null or many").select("_row", "cls", F.coalesce("most.token", F.xxhash64("grp")).alias("home")), "cells"
+    # The longest lists of a group: few numbers, kept sorted while they are combined.
+    best = F.sort_array(F.collect_list(F.struct("k", "token")), asc=False)
+    longest = written(
+        lists.where(F.col("k") > LARGE).groupBy("grp").agg(F.slice(best, 1, HOMES)["token"].alias("homes")), "homes"
     )
+    marked = classes.join(longest, "grp", "left").join(several.withColumn("many", F.lit(True)), "grp", "left")
+    homes = F.coalesce("homes", F.array(F.xxhash64("grp")))
+    cells = written(marked.where("homes is not null or many").select("_row", "cls", homes.alias("homes"), homes[0].alias("home")), "cells")
     sizes = written(cells.groupBy("home").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "sizes")
     chunk = F.pmod(F.xxhash64("cls"), F.ceil(F.col("k") / CHUNK)).cast("int")
-    chunked = written(cells.join(sizes, "home").select("_row", "cls", "home", chunk.alias("chunk"), (F.col("k") > CHUNK).alias("more")), "chunks")
+    chunked = written(cells.join(sizes, "home").select("_row", "cls", "home", chunk.alias("chunk")), "chunks")
     texts = _texts_of(docs, chunked).select("home", "chunk", "cls", "text")
     cell = ["home", "chunk"]
     first = written(
@@ -353,50 +362,60 @@ def _leader_links(docs: DataFrame, classes: DataFrame, lists: DataFrame, several
         .mapInArrow(lambda batches: _stars(batches, lambda column: shingles(column.to_pylist())), _STARS),
         "stars",
     )
-    large = chunked.where("more").select("home").distinct()
-    mains = first.where("tokens is not null").join(large, "home", "left_semi")
-    second = mains.select("home", F.lit(0).alias("chunk"), F.col("a").alias("cls"), "tokens").repartition("home").sortWithinPartitions("home", "cls")
-    again = second.mapInArrow(lambda batches: _stars(batches, lambda column: [np.frombuffer(t, np.uint64) for t in column.to_pylist()]), _STARS)
+    strong = first.where("tokens is not null").select(F.col("a").alias("cls"), "tokens").join(cells.select("cls", "homes"), "cls")
+    second = strong.select(F.explode("homes").alias("home"), F.lit(0).alias("chunk"), "cls", "tokens")
+    again = second.repartition("home").sortWithinPartitions("home", "cls").mapInArrow(
+        lambda batches: _stars(batches, lambda column: [np.frombuffer(t, np.uint64) for t in column.to_pylist()]), _STARS
+    )
     return first.unionByName(again).where("tokens is null").select("a", "b")
 
 
-def _enough_in_prefix() -> Column:
-    """Whether c common prefix shingles allow the similarity for sizes n1 and n2.
+def _spare(n: Column, m: Column) -> Column:
+    """Prefix shingles that are looked at beyond the first that have to share one, for sizes n <= m.
 
-    Of the two prefixes take the one that ends first in the common order: what it shares with the other set, the
-    other prefix has too, and at most n less the needed overlap of its shingles are not shared.
+    With the overlap ``needed`` a set can lack n - needed of its shingles in the other. So of its first
+    n - needed + 1 + s shingles at least s + 1 are shared, and of two such prefixes the one that ends first in the
+    common order has them in the other, too. They lie in the listed prefixes if s <= needed - ceil(3m/4).
     """
-    needed = F.ceil(3 * (F.col("n1") + F.col("n2")) / 7)
-    spare = [F.col(n) - F.ceil(3 * F.col(n) / 4) + 1 - (F.col(n) - needed) for n in ("n1", "n2")]
-    return F.col("c") >= F.least(*spare)
+    return F.floor((_needed(n, m) - F.ceil(3 * m / 4)) / 4)
+
+
+def _needed(n: Column, m: Column) -> Column:
+    return F.ceil(3 * (n + m) / 7)
 
 
 def _open_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """xgrp, ygrp, n1, n2, token: pairs of groups of one list that aren't within one component, with near sizes.
+    """xgrp, ygrp, n1, n2: a row for each shingle that two groups, not within one component, share at places that count.
 
-    groups: grp, low, high (its range of components). Sizes are cut into bands, near sizes lie in the same or in
-    neighbouring ones. A list's main component is the one that most of its groups lie in.
+    groups: grp, low, high (its range of components). A list's main component is the one that most of its groups lie
+    in; of a pair one group at least is outside it. The smaller group of a pair has the shingle among the first 19n/112
+    + 1 of its order (n/7 and the spare ones), so lists of a passage that comes later in all its documents give no pairs.
+    Sizes are cut into bands, near sizes lie in the same or in neighbouring ones.
     """
     entries = lists.join(groups, "grp").withColumn("own", F.when(F.col("low") == F.col("high"), F.col("low")))
-    entries = written(entries.select("token", "grp", "n", "low", "high", "own"), "entries")
+    entries = written(entries.select("token", "grp", "n", "pos", "low", "high", "own"), "entries")
     parts = entries.groupBy("token", "own").agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
     mains = parts.groupBy("token").agg(
         F.max(F.when(F.col("own").isNotNull(), F.struct("c", "own"))).alias("main"), F.min("low").alias("l"), F.max("high").alias("h")
     )
     open_lists = written(mains.where("l < h").select("token", F.col("main.own").alias("main")), "open")
-    still = written(entries.join(open_lists, "token"), "still")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int")
-    side = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "low", "high")]
     outside = F.coalesce(F.col("own") != F.col("main"), F.lit(True))
-    x = still.where(outside).select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *side("x"))
-    y = still.select("token", band.alias("band"), outside.alias("outside"), *side("y"))
-    met = x.join(y, ["token", "band"]).where(
-        (F.col("xgrp") != F.col("ygrp")) & (~F.col("outside") | (F.col("xgrp") < F.col("ygrp")))
-        & ~_settled("x", "y") & _near_sizes(F.col("xn"), F.col("yn"))
-    )
-    first = F.col("xgrp") < F.col("ygrp")
-    pick = lambda a, b, name: F.when(first, F.col(a)).otherwise(F.col(b)).alias(name)
-    return met.select(pick("xgrp", "ygrp", "xgrp"), pick("ygrp", "xgrp", "ygrp"), pick("xn", "yn", "n1"), pick("yn", "xn", "n2"))
+    still = entries.join(open_lists, "token").withColumns({"band": band, "outside": outside}).drop("own", "main")
+    still = written(still, "still")
+    early = still.where(112 * F.col("pos") <= 19 * F.col("n") + 112).withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+
+    def met(first: DataFrame, second: DataFrame) -> DataFrame:
+        x, y = (df.select("token", "band", *[F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "pos", "low", "high")]) for s, df in (("x", first), ("y", second)))
+        n, m = F.col("xn"), F.col("yn")
+        reach = _spare(n, m) - _needed(n, m)
+        return x.join(y, ["token", "band"]).where(
+            ((n < m) | ((n == m) & (F.col("xgrp") < F.col("ygrp")))) & _near_sizes(n, m) & ~_settled("x", "y")
+            & (F.col("xpos") <= n + reach) & (F.col("ypos") <= m + reach)
+        )
+
+    pairs = met(early.where("outside"), still).unionByName(met(early.where("not outside"), still.where("outside")))
+    return pairs.select("xgrp", "ygrp", F.col("xn").alias("n1"), F.col("yn").alias("n2"))
 
 
 def _settled(x: str, y: str) -> Column:
@@ -410,13 +429,13 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = found.select("_row", "doc_id", "n", "cls", "grp")
     classes = written(rows.where("n > 0").groupBy("grp", "cls", "n").agg(F.min("_row").alias("_row")), "classes")
     several = written(classes.groupBy("grp").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("grp"), "several")
-    lists = written(_lists(found).select("token", "grp", "n", "k"), "lists")
+    lists = written(_lists(found), "lists")
     stars = written(_leader_links(docs, classes, lists, several), "links")
     comp = written(components(stars), "components")
     state = written(classes.join(comp, "cls", "left").select("grp", "cls", "_row", F.coalesce("comp", "cls").alias("comp")), "state")
     groups = written(state.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "groups")
     near = _open_pairs(lists, groups).groupBy("xgrp", "ygrp", "n1", "n2").agg(F.count(F.lit(1)).alias("c"))
-    near = near.where(_enough_in_prefix()).select("xgrp", "ygrp")
+    near = near.where(F.col("c") > _spare(F.col("n1"), F.col("n2"))).select("xgrp", "ygrp")
     inner = groups.join(several, "grp").where("low < high").select(F.col("grp").alias("xgrp"), F.col("grp").alias("ygrp"))
     first, second = (state.select(F.col("grp").alias(f"{s}grp"), F.col("cls").alias(c), F.col("comp").alias(f"{s}comp")) for s, c in (("x", "a"), ("y", "b")))
     pairs = near.unionByName(inner).join(first, "xgrp").join(second, "ygrp").where("xcomp <> ycomp")

@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,7 @@ class Pieces:
         self.single = {c for c, (_, piece, _) in self.steps.items() if piece >= 0}
         self.known = Memory(KNOWN)
 
-    @property
+    @cached_property
     def tree(self) -> dict:
         """The vocabulary as nested dictionaries, "" to (id, score) where a piece ends."""
 
