@@ -108,15 +108,16 @@ class BalancedClassifier(Estimator):
     def copy(self, extra=None):
         return BalancedClassifier(self.classifier.copy(extra or {}), self.k, self.seed)
 
-    def _balanced(self, dataset: DataFrame) -> DataFrame:
+    def balanced(self, dataset: DataFrame) -> DataFrame:
+        """The rows with new ones of the minority, written once."""
         balanced = oversample_minority(dataset, label=self.classifier.getLabelCol(), k=self.k, seed=self.seed)
         return materialise(balanced, "balanced")
 
     def _fit(self, dataset: DataFrame) -> Model:
-        return self.classifier.fit(self._balanced(dataset))
+        return self.classifier.fit(self.balanced(dataset))
 
     def fitMultiple(self, dataset: DataFrame, paramMaps):
-        balanced = self._balanced(dataset)
+        balanced = self.balanced(dataset)
         models = enumerate(self.classifier.fit(balanced, pm) for pm in paramMaps)
         return iter(list(models))
 

@@ -10,12 +10,22 @@ from pyspark.sql import functions as F
 
 from delinq import schemas
 from delinq.functions.numeric import np_round
-from delinq.models import scoring
+from delinq.models import racing, registry, scoring
 from delinq.models.oversample import oversample_minority
-from delinq.models.store import load_models, save_models
 from delinq.models.compiled import model_nodes, node_importance
 from delinq.models.second_order import SecondOrderBooster
-from delinq.models.training import MODEL_NAMES, ModelSet, evaluate, feature_importance, top_features, train_all, train_model
+from delinq.models.store import load_models, save_models
+from delinq.models.training import (
+    MODEL_NAMES,
+    SMALL_GRIDS,
+    ModelSet,
+    evaluate,
+    feature_importance,
+    top_features,
+    train_all,
+    train_model,
+)
+from delinq.operators import loans as loan_ops
 from delinq.operators import metrics, preprocess, sampling
 from delinq.operators import outreach as out_ops
 from delinq.plans import jobs
@@ -33,6 +43,7 @@ from delinq.plans.base import (
 from delinq.plans.check_sql import SIGMOID, fallback, rounded, service_scale, with_ctes
 from delinq.session import materialise, scratch_path
 from delinq.sources import adapters, catalog, files
+from delinq.streaming.scoring import read_stream, score_stream_by_registry
 
 
 _SHOWN = ["age", "annual_income", "debt_to_income_ratio", "risk_score", "years_since_graduation", "high_debt_burden"]
@@ -71,6 +82,7 @@ def _(spark, d):
     )
 
 
+_EACH_MODEL = f"(select unnest({sorted(MODEL_NAMES)}) as model)"
 # Moderate settings: enough to rank borrowers, one short fit each.
 _LIGHT = {
     "logistic_regression": {"maxIter": 50},
@@ -189,6 +201,37 @@ def _(spark, d):
     return _fit_and_measure(spark, d, "logistic_regression", grid={"C": [0.1, 1.0]}, folds=3)
 
 
+#: A small race: two settings a model, short fits.
+_RACE_PARAMS = {
+    "logistic_regression": {"maxIter": 20},
+    "random_forest": {"numTrees": 10},
+    "gradient_boosting": {"maxIter": 4},
+    "xgboost": {"maxIter": 4},
+}
+
+
+@register(
+    "h7_racing",
+    f"select model, 2::bigint as settings, 1::bigint as overall_winners, true as winner_ran_all_folds, true as dropped_ones_stopped from {_EACH_MODEL}",
+)
+def _(spark, d):
+    """All four models on shared folds, clear losers dropped: what holds for the race of every model."""
+    train, _test, _features = _training_data(spark, d)
+    table = racing.race(train, grids=SMALL_GRIDS, folds=3, balance="weights", params=_RACE_PARAMS, parallelism=4).table(spark)
+    per = table.groupBy("model", "setting").agg(
+        F.count(F.lit(1)).alias("fits"), F.max("dropped_after").alias("dropped_after"), F.max("winner").alias("winner")
+    )
+    stopped = F.col("fits") == F.coalesce(F.col("dropped_after") + 1, F.lit(3))
+    total = per.agg(F.count_if("winner").alias("n"), F.bool_or(F.col("winner") & (F.col("fits") == 3)).alias("whole"))
+    return per.groupBy("model").agg(F.count(F.lit(1)).alias("settings"), F.bool_and(stopped).alias("dropped_ones_stopped")).select(
+        "model",
+        "settings",
+        total.select("n").scalar().alias("overall_winners"),
+        total.select("whole").scalar().alias("winner_ran_all_folds"),
+        "dropped_ones_stopped",
+    )
+
+
 @register(
     "h8_select_best",
     with_ctes(
@@ -259,7 +302,6 @@ def _compiled(spark: SparkSession, d: str) -> scoring.ScoringSet:
 
 #: Probabilities of compiled and library models may differ in the last digits.
 _SAME = 1e-12
-_EACH_MODEL = f"(select unnest({sorted(MODEL_NAMES)}) as model)"
 
 
 @register("b34_responses", with_ctes(
@@ -329,6 +371,37 @@ def _(spark, d):
     return out
 
 
+@register(
+    "j1_model_stream",
+    with_ctes(
+        """select count(*) as requests, count(*) filter (where annual_income is null) as errors, 0::bigint as differing, 1::bigint as versions
+        from borrowers join loan_summary using (borrower_id)""",
+        "borrowers",
+        "loan_summary",
+    ),
+)
+def _(spark, d):
+    """Arriving requests scored by the newest published models, against the batch answers of the library's models."""
+    models, features = _models(spark, d)
+    root, output = scratch_path(spark, "registry"), scratch_path(spark, "scored")
+    registry.publish(spark, root, _compiled(spark, d), 1)
+    registry.publish(spark, root, _compiled(spark, d), 2)
+    arriving = adapters.borrowers_from(read_stream(spark, d, adapters.table(spark, d, "customer").schema, glob="customer.parquet"))
+    summary = loan_ops.loan_summary(adapters.loans(spark, d))
+    incoming = arriving.join(summary, "borrower_id").select("borrower_id", *schemas.CORE_FIELDS)
+    score_stream_by_registry(incoming, root, output, scratch_path(spark, "state"), AS_OF_TIME).awaitTermination()
+    scored = spark.read.parquet(output).drop("batch")
+    batch = scoring.predict_all(core_requests_of(spark, d), models, features, AS_OF_TIME)
+    a = scored.select("borrower_id", "model_version", "error", F.to_json(F.struct(*batch.columns)).alias("a"))
+    both = a.join(batch.select("borrower_id", F.to_json(F.struct("*")).alias("b")), "borrower_id", "full")
+    return both.agg(
+        F.count("a").alias("requests"),
+        F.count("error").alias("errors"),
+        F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differing"),
+        F.count_distinct("model_version").alias("versions"),
+    )
+
+
 @register("h11_compiled", with_ctes("select count(*) as records, 0::bigint as differing from master", "master"))
 def _(spark, d):
     """Batch records of the best compiled model against those of the library's model."""

@@ -6,9 +6,11 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from delinq.models.registry import latest
 from delinq.models.scoring import predict_all
 from delinq.models.training import ModelSet
 from delinq.operators.preprocess import FeatureModel
@@ -47,3 +49,23 @@ def score_stream(
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def score_stream_by_registry(
+    requests: DataFrame, registry: str, output: str, checkpoint: str, as_of: dt.datetime, available_now: bool = True
+) -> StreamingQuery:
+    """Score by the newest published models, looked up anew for every micro-batch; records name their version.
+
+    A batch is written under its number and replaces what an earlier try of it left, so each record is there once. A batch
+    that is tried again after a newer version came is scored by that one as a whole.
+    """
+
+    def score(batch: DataFrame, number: int) -> None:
+        scoring = latest(batch.sparkSession, registry)
+        scored = predict_all(batch, scoring, scoring.features, as_of)
+        scored.withColumn("model_version", F.lit(scoring.version)).write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+    writer = requests.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
