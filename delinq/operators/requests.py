@@ -152,6 +152,22 @@ def contract_violations(df: DataFrame, key: str = "borrower_id") -> DataFrame:
     return df.select(key, F.inline(F.array_compact(F.array(*cells))))
 
 
+def request_faults(typed: DataFrame, rejects: DataFrame, key: str = "borrower_id") -> DataFrame:
+    """Everything wrong with the requests of a checked read, a row a fault: record, kind, field, value.
+
+    Kinds: "malformed" values and records, "missing" core fields (a malformed one is not missing, too) and values that
+    are "outside" their range or list.
+    """
+    require_core_fields(typed, with_id=True)
+    malformed = rejects.select("record", F.lit("malformed").alias("kind"), F.col("column").alias("field"), "value")
+    missing = typed.select(F.col(key).alias("record"), F.explode(_null_core_fields()).alias("field"))
+    missing = missing.join(rejects.select("record", F.col("column").alias("field")).dropDuplicates(), ["record", "field"], "left_anti")
+    outside = contract_violations(typed, key)
+    return malformed.unionByName(
+        missing.select("record", F.lit("missing").alias("kind"), "field", F.lit(None).cast("string").alias("value"))
+    ).unionByName(outside.select(F.col(key).alias("record"), F.lit("outside").alias("kind"), "field", "value"))
+
+
 def violation_counts(df: DataFrame) -> DataFrame:
     """Violations per rule, rules without any included; one pass, one row of sums unfolded."""
     rules = contract_rules(df.columns)

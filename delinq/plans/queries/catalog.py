@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delinq import schemas
 from delinq.operators import portfolio
 from delinq.operators import master as master_ops
 from delinq.operators import payments as pay_ops
-from delinq.plans.base import outreach_of, register
+from delinq.operators.requests import request_faults
+from delinq.plans.base import core_requests_of, outreach_of, register
 from delinq.plans.check_sql import with_ctes
 from delinq.session import scratch_path
 from delinq.sources import adapters, catalog, files
@@ -32,6 +34,85 @@ def _(spark, d):
     return files.read_json(spark, path, schemas.EDUCATION, array=False)
 
 
+@register(
+    "a1_rejects",
+    with_ctes(
+        """select loan_id as record, 'loan_amount' as "column", 'n/a' as value, 'not a double' as reason from loans where loan_id like '%3'
+        union all select loan_id, 'interest_rate', 'high', 'not a double' from loans where loan_id like '%7'
+        union all select loan_id, 'loan_term_months', 'many', 'not a int' from loans where loan_id like '%7'
+        union all select 'typed rows', null, count(*)::varchar, null from loans""",
+        "loans",
+    ),
+)
+def _(spark, d):
+    """Planted faults in a CSV file, found again; the last row counts the typed rows."""
+    loans = catalog.conform(adapters.loans(spark, d), schemas.LOANS)
+    text = loans.select(*[F.col(c).cast("string").alias(c) for c in loans.columns])
+    ends = lambda digit, fault, name: F.when(F.col("loan_id").endswith(digit), F.lit(fault)).otherwise(F.col(name))
+    bad = text.withColumns(
+        {"loan_amount": ends("3", "n/a", "loan_amount"), "interest_rate": ends("7", "high", "interest_rate"), "loan_term_months": ends("7", "many", "loan_term_months")}
+    )
+    rows, rejects = files.read_checked(spark, files.write_csv(bad, f"{scratch_path(spark, 'loans')}.csv"), schemas.LOANS, "loan_id")
+    none = F.lit(None).cast("string")
+    count = rows.agg(F.lit("typed rows").alias("record"), none.alias("column"), F.count(F.lit(1)).cast("string").alias("value"), none.alias("reason"))
+    return rejects.unionByName(count)
+
+
+@register(
+    "a2_rejects",
+    with_ctes(
+        """select borrower_id as record, 'gpa' as "column", 'four' as value, 'not a double' as reason from education
+          where borrower_id like '%3'
+        union all select null, null, '{broken ' || borrower_id, 'unreadable record' from education where borrower_id like '%9'
+        union all select 'typed rows', null, count(*)::varchar, null from education where borrower_id not like '%9'""",
+        "education",
+    ),
+)
+def _(spark, d):
+    """Planted faults in JSON lines, found again; the last row counts the typed rows."""
+    education = adapters.education(spark, d)
+    gpa = F.when(F.col("borrower_id").endswith("3"), F.lit("four")).otherwise(F.col("gpa").cast("string"))
+    whole = F.to_json(F.struct(*[gpa.alias(c) if c == "gpa" else F.col(c) for c in education.columns]))
+    line = F.when(F.col("borrower_id").endswith("9"), F.concat(F.lit("{broken "), "borrower_id")).otherwise(whole)
+    path = f"{scratch_path(spark, 'education')}.json"
+    education.select(line.alias("value")).write.text(path)
+    rows, rejects = files.read_checked(spark, path, schemas.EDUCATION, "borrower_id")
+    none = F.lit(None).cast("string")
+    count = rows.agg(F.lit("typed rows").alias("record"), none.alias("column"), F.count(F.lit(1)).cast("string").alias("value"), none.alias("reason"))
+    return rejects.unionByName(count)
+
+
+@register(
+    "i4_rejects",
+    with_ctes(
+        """select borrower_id as record, 'malformed' as kind, 'age' as field, 'old' as value from requests where borrower_id like '%3'
+        union all select borrower_id, 'malformed', 'loan_count', '1.5x' from requests where borrower_id like '%35'
+        union all select borrower_id, 'missing', 'annual_income', null from requests where annual_income is null
+        union all select borrower_id, 'outside', 'credit_score_at_origination', '990' from requests where borrower_id like '%8'""".replace(
+            "from requests", "from (select * from borrowers join loan_summary using (borrower_id))"
+        ),
+        "borrowers",
+        "loan_summary",
+    ),
+)
+def _(spark, d):
+    """Every fault of a file of core requests with planted ones: malformed, missing, out of range."""
+    requests = core_requests_of(spark, d)
+    id_ = F.col("borrower_id")
+    planted = {"age": ("3", "old"), "loan_count": ("35", "1.5x"), "credit_score_at_origination": ("8", "990")}
+    # Values in range otherwise, so that only the planted ones are outside.
+    bad = requests.select(
+        "borrower_id",
+        *[
+            F.when(id_.endswith(planted[c][0]), F.lit(planted[c][1])).otherwise(F.col(c).cast("string")).alias(c) if c in planted else F.col(c).cast("string").alias(c)
+            for c in schemas.CORE_FIELDS
+        ],
+    )
+    fields = StructType([schemas.REQUEST[c] for c in ["borrower_id", *schemas.CORE_FIELDS]])
+    path = files.write_csv(bad, f"{scratch_path(spark, 'requests')}.csv")
+    return request_faults(*files.read_checked(spark, path, fields, "borrower_id"))
+
+
 @register(
     "a4_conform",
     with_ctes(

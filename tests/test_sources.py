@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delinq import schemas
 from delinq.operators import outreach as out_ops
@@ -113,3 +114,52 @@ def test_outreach_run_writes_all_outputs(spark, domain, tmp_path):
     assert summary["total_borrowers"] == expected.count()
     pruned = spark.read.json(str(tmp_path / "run" / "summary")).filter("run_ts = '20250101_000000'")
     assert pruned.count() == 1
+
+
+def test_checked_csv_keeps_every_fault(spark, tmp_path):
+    path = str(tmp_path / "in.csv")
+    schema = T.StructType().add("id", "string").add("n", "integer").add("x", "double").add("absent", "integer")
+    with open(path, "w") as f:
+        f.write("x,id,n,other\n1.5,a,3,o\nNaN,b,,o\nbad,c,4.5,o\n2,d,7\n3,e,8,o,more\n")
+    rows, rejects = files.read_checked(spark, path, schema, "id")
+    assert sorted(map(tuple, rows.collect())) == [("a", 3, 1.5, None), ("b", None, None, None), ("c", None, None, None)]
+    assert sorted(map(str, map(tuple, rejects.collect()))) == sorted(map(str, [
+        ("c", "n", "4.5", "not a int"), ("c", "x", "bad", "not a double"),
+        (None, None, "2,d,7", "unreadable record"), (None, None, "3,e,8,o,more", "unreadable record"),
+    ]))
+    with pytest.raises(ValueError):
+        files.read_checked(spark, str(tmp_path / "in.txt"), schema, "id")
+
+
+def test_checked_json_keeps_every_fault(spark, tmp_path):
+    path = str(tmp_path / "in.json")
+    with open(path, "w") as f:
+        f.write('{"id": "a", "n": 3}\n{"id": "b", "n": "x", "more": [1]}\nnot json\n{"id": "c", "n": null}\n')
+    schema = T.StructType().add("id", "string").add("n", "integer")
+    rows, rejects = files.read_checked(spark, path, schema, "id")
+    assert sorted(map(tuple, rows.collect())) == [("a", 3), ("b", None), ("c", None)]
+    assert sorted(map(str, map(tuple, rejects.collect()))) == sorted(map(str, [("b", "n", "x", "not a int"), (None, None, "not json", "unreadable record")]))
+
+
+def test_a_failed_output_set_is_not_seen(spark, tmp_path, monkeypatch):
+    """A crash between two writes leaves the set before it whole and the one committed last."""
+    root, run = str(tmp_path / "out"), dt.datetime(2025, 1, 1)
+    frame = lambda n: spark.range(n).select(F.col("id").cast("string").alias("borrower_id"))
+    first = files.write_output_set(frame(3), frame(1), frame(1), root, run)
+    assert files.committed_paths(spark, root) == first
+
+    def fail(df, path):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_json", fail)
+        with pytest.raises(OSError):
+            files.write_output_set(frame(9), frame(1), frame(1), root, run)
+    assert files.committed_paths(spark, root) == first
+    assert spark.read.json(files.committed_paths(spark, root)["json"]).count() == 3
+    second = files.write_output_set(frame(5), frame(1), frame(1), root, run)
+    other = files.write_output_set(frame(6), frame(1), frame(1), root, dt.datetime(2024, 1, 1))
+    assert files.committed_paths(spark, root) == other and files.committed_paths(spark, root, "20250101_000000") == second
+    assert files.committed_sets(spark, root).count() == 2
+    with pytest.raises(ValueError, match="no committed run"):
+        files.committed_paths(spark, root, "20000101_000000")
