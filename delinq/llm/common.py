@@ -35,6 +35,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a table as one struct, so that own columns beside it never clash with given ones."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once per row, also where body uses it inside a lambda."""
     return F.transform(F.array(value), lambda v: body(v))[0]

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delinq.llm.common import LOWER_AZ, WORD, Memory, written
+from delinq.llm.common import LOWER_AZ, WORD, Memory, packed, written
 from delinq.llm.components import components, smallest_ids
 
 SHINGLE = 5
@@ -466,7 +466,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     of_class = rows.where("n > 0").groupBy("cls").agg(order)
     first = of_class.join(comp, "cls", "left").groupBy(F.coalesce("comp", "cls").alias("comp")).agg(F.min("first").alias("first"))
     kept = written(first.select(F.col("first._row").alias("key")), "kept")
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    given = docs.select(packed(docs).alias("given"), F.xxhash64("doc_id", "text").alias("key"), "text")
     wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     alone = given.where(wordless).select("given")
     texts = given.where(~wordless).join(kept, "key").dropDuplicates(["key"])  # a repeated row stays once

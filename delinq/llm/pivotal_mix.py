@@ -16,7 +16,8 @@ holds one document at a time. Levels are written to the shared folder.
 
 Defined results: null text has no words and is never taken; a null source is a source of its own, ordered
 last; without any words all targets are 0; repeated rows are rounded one by one; an empty table gives an empty
-table. Other columns pass through ``mix_documents``.
+table. Other columns pass through ``mix_documents``, whatever their names. Only the number of words of a text is used,
+whatever its length.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delinq.llm.common import word_count, written
+from delinq.llm.common import packed, word_count, written
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -178,9 +179,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         ),
         "copies",
     )
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "source", "text"))
+    rows = docs.select(packed(docs).alias("given"), F.xxhash64("doc_id", "source", "text").alias("_row"))
     single = keys.where("_times = 1").select("_row", F.col("_counts")[0]["copies"].alias("_n")).where("_n > 0")
-    out = rows.join(single, "_row").select(*docs.columns, "_n")
+    out = rows.join(single, "_row").select("given", "_n")
     repeated = keys.where("_times > 1").select("_row", "_counts")
     if not repeated.isEmpty():
         dealt = written(rows.join(repeated, "_row").withColumn("_part", F.spark_partition_id()), "repeated")
@@ -198,5 +199,5 @@ def mix_documents(docs: DataFrame) -> DataFrame:
             ),
             lambda at: at["n"],
         )
-        out = out.unionByName(numbered.withColumn("_n", found).where("_n > 0").select(*docs.columns, "_n"))
-    return out.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*docs.columns)
+        out = out.unionByName(numbered.withColumn("_n", found).where("_n > 0").select("given", "_n"))
+    return out.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select("given.*")

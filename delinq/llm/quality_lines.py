@@ -12,7 +12,8 @@ stands in every document is dealt out.
 
 Defined results: null text is empty (no words, fails the base rule); null source is a host of its own; lines
 without a word are never counted or removed; repeated rows get the same result each; an empty table gives an
-empty table. Extra columns pass through ``filter_documents`` untouched.
+empty table. Extra columns pass through ``filter_documents`` untouched, whatever their names. A text of any length is
+one row of line keys while it is read; its words are held as one array.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delinq.llm.common import BLANK, WORD, let, words_of, written
+from delinq.llm.common import BLANK, WORD, let, packed, words_of, written
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -198,25 +199,27 @@ def filter_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Kept documents without their frequent lines; n_chars follows the text. Columns as given."""
     removed = (
         frequent_lines(docs, limits)
-        .groupBy("_row_key")
-        .agg(F.collect_set("_line_key").alias("_removed"))  # bounded by the lines of one document
+        .groupBy(F.col("_row_key").alias("key"))
+        .agg(F.collect_set("_line_key").alias("gone"))  # bounded by the lines of one document
     )
-    columns = docs.columns
-    host, text = _host(F.col("source")), F.coalesce("text", F.lit(""))
-    good = docs.withColumn("_facts", _measures(text)).where(
-        ~_failed(F.col("_facts.n_words"), F.col("_facts.n_repeat_words"), limits)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        packed(docs).alias("given"),
+        _row_key(F.col("doc_id"), F.col("text")).alias("key"),
+        text.alias("old"),
+        _host(F.col("source")).alias("host"),
+        _measures(text).alias("facts"),
     )
+    good = rows.where(~_failed(F.col("facts.n_words"), F.col("facts.n_repeat_words"), limits))
     keep = F.filter(
-        F.split(text, "\n"),
-        lambda line: ~(line.rlike(WORD) & F.array_contains(F.col("_removed"), _line_key(host, line))),
+        F.split("old", "\n"),
+        lambda line: ~(line.rlike(WORD) & F.array_contains(F.col("gone"), _line_key(F.col("host"), line))),
     )
-    cleaned = (
-        good.withColumn("_row_key", _row_key(F.col("doc_id"), F.col("text")))
-        .join(removed, "_row_key", "left")
-        .withColumn("_text", F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(keep, "\n")))
+    cleaned = good.join(removed, "key", "left").withColumn(
+        "new", F.when(F.col("gone").isNull(), F.col("old")).otherwise(F.array_join(keep, "\n"))
     )
-    lost = F.col("_facts.n_words") - F.regexp_count("_text", F.lit(WORD))
-    out = cleaned.where(lost <= limits.max_lost * F.col("_facts.n_words")).withColumn("text", F.col("_text"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("_text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    lost = F.col("facts.n_words") - F.regexp_count("new", F.lit(WORD))
+    changed = F.col("given").withField("text", F.col("new"))
+    if "n_chars" in docs.columns:
+        changed = changed.withField("n_chars", F.length("new").cast(docs.schema["n_chars"].dataType))
+    return cleaned.where(lost <= limits.max_lost * F.col("facts.n_words")).select(changed.alias("given")).select("given.*")
