@@ -2,148 +2,14 @@
 
 from __future__ import annotations
 
-import math
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delinq import schemas
 from delinq.functions.numeric import uniform
+from delinq.models.neighbours import nearest_neighbours
 from delinq.operators.ranking import pick_exactly
-from delinq.session import materialise
-
-# The grouped functions travel with the job, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_FOUND = "id string, t double, slice int, part int, found array<struct<dist:double,other:string>>"
-
-
-def _nearest(queries: pd.DataFrame, others: pd.DataFrame, k: int) -> list[list[tuple[float, str]]]:
-    """The k nearest of ``others`` for each query, the query itself excluded; ties by id."""
-    if others.empty:
-        return [[] for _ in range(len(queries))]
-    others = others.sort_values("id")
-    b = np.stack(others["x"].to_numpy())
-    b_ids = others["id"].to_numpy()
-    out: list[list[tuple[float, str]]] = []
-    step = max(1, 2_000_000 // max(1, len(b)))
-    take = min(k + 1, len(b))
-    for start in range(0, len(queries), step):
-        part = queries.iloc[start : start + step]
-        a = np.stack(part["x"].to_numpy())
-        squares = (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * a @ b.T
-        near = np.argpartition(squares, take - 1, axis=1)[:, :take]
-        for row, own_id in enumerate(part["id"].to_numpy()):
-            columns = near[row]
-            dist = np.sqrt(((b[columns] - a[row]) ** 2).sum(1))
-            pairs = sorted((float(d), str(b_ids[j])) for d, j in zip(dist, columns) if b_ids[j] != own_id)
-            out.append(pairs[:k])
-    return out
-
-
-def _as_found(pairs: list[tuple[float, str]]) -> list[dict[str, object]]:
-    return [{"dist": d, "other": o} for d, o in pairs]
-
-
-def nearest_neighbours(
-    points: DataFrame, k: int = 5, block_rows: int = 20000, seed: int = 42
-) -> DataFrame:
-    """Exact k nearest neighbours of points (id, x array<double>): id, found (by distance).
-
-    Points are cut into blocks of bounded size along one random direction t. Every point finds
-    its k best inside its own block, which bounds how far the true neighbours can be. As
-    |t(a) - t(b)| never exceeds the distance of a and b, only blocks within that bound of t
-    can hold a nearer point, and only those are visited. A slice with many equal values is split
-    into several blocks, and the queries of a block into chunks, so no task gets an unbounded
-    group; a task returns k rows per query, never all pairs.
-
-    The pruning fades with the number of informative dimensions: the worst case visits all
-    blocks and is quadratic in the number of points.
-    """
-    size = F.size("x")
-    dim = points.agg(F.max(size)).first()[0]
-    if dim is None:
-        return points.select("id").withColumn("found", F.array().cast("array<struct<dist:double,other:string>>"))
-    direction = np.random.default_rng(seed).normal(size=dim)
-    direction /= np.linalg.norm(direction)
-    weights = F.array(*[F.lit(float(w)) for w in direction])
-    t = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    projected = materialise(points.select("id", "x", t.alias("t")), "points")
-    n = projected.count()
-    slices = math.ceil(n / block_rows)
-    bounds = sorted(set(projected.approxQuantile("t", [i / slices for i in range(1, slices)], 0.0005))) if slices > 1 else []
-    bounds_column = F.array(*[F.lit(b) for b in bounds]).cast("array<double>")
-    slice_of = lambda v: F.size(F.filter(bounds_column, lambda b: b < v))
-    sliced = projected.withColumn("slice", slice_of(F.col("t")))
-    rows_per_slice = {r["slice"]: r["count"] for r in sliced.groupBy("slice").count().collect()}
-    parts = [max(1, math.ceil(rows_per_slice.get(s, 0) / block_rows)) for s in range(len(bounds) + 1)]
-    parts_of = lambda s: F.element_at(F.array(*[F.lit(p) for p in parts]), s + 1)
-    blocks = sliced.withColumn(
-        "part", F.pmod(F.xxhash64("id"), parts_of(F.col("slice")).cast("long")).cast("int")
-    )
-
-    def own_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        found = _nearest(pdf, pdf, k)
-        return pdf[["id", "t", "slice", "part"]].assign(found=[_as_found(f) for f in found])
-
-    own = materialise(blocks.groupBy("slice", "part").applyInPandas(own_block, _FOUND), "own-blocks")
-    # A block with k rows or fewer gives no bound: such points visit everything.
-    reach = F.when(F.size("found") >= k, F.element_at(F.col("found"), -1)["dist"]).otherwise(F.lit(float("inf")))
-    # Rounding in t must not hide a neighbour.
-    slack = reach * (1 + 1e-9) + 1e-9
-    low, high = slice_of(F.col("t") - slack), slice_of(F.col("t") + slack)
-    # Nothing can be nearer than k neighbours at distance 0.
-    open_points = own.filter((F.size("found") < k) | (reach > 0))
-    visits = (
-        open_points.select("id", F.col("slice").alias("own_slice"), F.col("part").alias("own_part"), F.explode(F.sequence(low, high)).alias("slice"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts_of(F.col("slice")) - 1)))
-        .filter((F.col("slice") != F.col("own_slice")) | (F.col("part") != F.col("own_part")))
-        .select("id", "slice", "part")
-    )
-    load = {(r["slice"], r["part"]): r["count"] for r in visits.groupBy("slice", "part").count().collect()}
-    if not load:
-        return own.select("id", "found")
-    chunks = [
-        F.array(*[F.lit(max(1, math.ceil(load.get((s, p), 0) / block_rows))) for p in range(parts[s])])
-        for s in range(len(parts))
-    ]
-    chunks_of = F.element_at(F.element_at(F.array(*chunks), F.col("slice") + 1), F.col("part") + 1)
-    queries = (
-        visits.join(projected.select("id", "x"), "id")
-        .withColumn("chunk", F.pmod(F.xxhash64("id"), chunks_of.cast("long")).cast("int"))
-        .select("slice", "part", "chunk", "id", "x")
-    )
-    # Other names than on the query side: both come from the same points.
-    targets = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks_of - 1))).select(
-        "slice", "part", "chunk", F.col("id").alias("other_id"), F.col("x").alias("other_x")
-    )
-
-    def other_block(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        asked = asked.reset_index(drop=True)
-        block = block.rename(columns={"other_id": "id", "other_x": "x"})
-        found = _nearest(asked, block, k) if len(asked) else []
-        return pd.DataFrame({"id": asked["id"], "found": [_as_found(f) for f in found]})
-
-    block_key = ["slice", "part", "chunk"]
-    visited = queries.groupBy(*block_key).cogroup(targets.groupBy(*block_key)).applyInPandas(
-        other_block, "id string, found array<struct<dist:double,other:string>>"
-    )
-    pairs = own.select("id", F.explode_outer("found").alias("f")).unionByName(
-        visited.select("id", F.explode("found").alias("f"))
-    )
-    best = Window.partitionBy("id").orderBy(F.col("f.dist").asc_nulls_last(), "f.other")
-    return (
-        pairs.withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .groupBy("id")
-        .agg(F.array_sort(F.collect_list("f")).alias("found"))
-    )
 
 
 def oversample_minority(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from delinq import schemas
 from delinq.functions.numeric import np_round
 from delinq.models import racing, registry, scoring
+from delinq.models.neighbours import nearest_neighbours
 from delinq.models.oversample import oversample_minority
 from delinq.models.compiled import model_nodes, node_importance
 from delinq.models.second_order import SecondOrderBooster
@@ -126,6 +127,23 @@ def _(spark, d):
     return oversample_minority(train).groupBy("is_delinquent").agg(F.count(F.lit(1)).alias("samples"))
 
 
+@register(
+    "h2_neighbours",
+    """select vec_id, rank, other, round_even(dist * 1e6, 0) / 1e6 as dist from (
+      select a.vec_id, b.vec_id::varchar as other, list_distance(a.embedding::double[], b.embedding::double[]) as dist,
+        (row_number() over (partition by a.vec_id order by list_distance(a.embedding::double[], b.embedding::double[]), b.vec_id::varchar))::int as rank
+      from embeddings a join embeddings b on a.vec_id <> b.vec_id) where rank <= 5""",
+)
+def _(spark, d):
+    """Five nearest neighbours of every vector."""
+    vectors = adapters.table(spark, d, "embeddings")
+    points = vectors.select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("x"))
+    found = nearest_neighbours(points, 5, block_rows=100)
+    return found.select(F.col("id").cast("long").alias("vec_id"), F.posexplode("found").alias("rank", "f")).select(
+        "vec_id", (F.col("rank") + 1).alias("rank"), F.col("f.other").alias("other"), np_round(F.col("f.dist"), 6).alias("dist")
+    )
+
+
 def _fit_and_measure(spark: SparkSession, d: str, name: str, **options) -> DataFrame:
     train, test, features = _training_data(spark, d)
     fitted = train_model(train, name, **{"balance": "weights", **options}, **_LIGHT[name])

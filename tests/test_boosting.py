@@ -11,6 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from delinq.models.compiled import CompiledModel, compile_model, model_nodes, node_importance
+from delinq.models.neighbours import nearest_neighbours
 from delinq.models.second_order import SecondOrderBooster, quantile_edges
 from delinq.operators.metrics import roc_auc
 
@@ -141,3 +142,20 @@ def test_incomplete_node_table_is_refused(spark, rows):
     nodes = model_nodes(spark, RandomForestClassifier(labelCol=LABEL, numTrees=1, maxDepth=2).fit(rows))
     with pytest.raises(ValueError, match="lacks node 1"):
         CompiledModel.of(nodes.where("node <> 1"), "forest")
+
+
+def test_neighbour_cells_rule_out_most_pairs(spark):
+    """Clusters in 64 dimensions: exact neighbours from less than a tenth of all distances."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 64)) * 4
+    x = centres[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 64)) * 0.3
+    points = spark.createDataFrame([(f"P{i:05d}", v.tolist()) for i, v in enumerate(x)], "id string, x array<double>")
+    stats = {}
+    got = {r["id"]: [(f["other"], f["dist"]) for f in r["found"]] for r in nearest_neighbours(points, 5, 100, stats=stats).collect()}
+    assert stats["all"] == 3000**2 and stats["pairs"] < stats["all"] / 10
+    for i in range(0, 3000, 37):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        order = np.argsort(d)[:5]
+        assert [o for o, _ in got[f"P{i:05d}"]] == [f"P{j:05d}" for j in order]
+        assert [v for _, v in got[f"P{i:05d}"]] == pytest.approx(list(d[order]))
