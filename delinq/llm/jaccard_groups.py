@@ -45,9 +45,9 @@ _RANGE = 1024  # counters in a row
 KNOWN = 200_000
 #: Groups of longer lists are compared with leaders first.
 LARGE = 16
-#: Classes of a chunk, about, and leaders kept in it: as many as a mask has bits.
+#: Classes of a chunk, about, and leaders kept in it: a mask has 64 bits.
 CHUNK = 1024
-LEADERS = 64
+LEADERS = 32
 #: Leaders with so many members are compared again, in so many lists.
 FOLLOWERS = 4
 HOMES = 4
@@ -280,11 +280,11 @@ class _Leaders:
         self.sets.append(tokens)
         self.root.append(i)
         self.followers.append(1)
-        merged = np.union1d(self.tokens, tokens)
-        owners = np.zeros(len(merged), np.uint64)
-        owners[np.searchsorted(merged, self.tokens)] = self.owners
-        owners[np.searchsorted(merged, tokens)] |= np.uint64(1 << i)
-        self.tokens, self.owners = merged, owners
+        at, bit = np.searchsorted(self.tokens, tokens), np.uint64(1 << i)
+        known = (at < len(self.tokens)) & (np.append(self.tokens, np.uint64(0))[at] == tokens)
+        self.owners[at[known]] |= bit
+        self.tokens = np.insert(self.tokens, at[~known], tokens[~known])
+        self.owners = np.insert(self.owners, at[~known], bit)
 
     def meet(self, name: int, tokens: np.ndarray) -> list[tuple[int, int]]:
         """Links of a new member to the leaders, at most one for each set of leaders that aren't linked yet."""
