@@ -1,47 +1,53 @@
 """Exact order statistics without a global sort in one task.
 
 All functions cut the value range into slices first, so that every ordered window runs inside
-one slice; slice totals (a few hundred rows at most) carry the counts over.
+one slice; slice totals (a row a slice) carry the counts over.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from delinq.session import materialise
+
 SLICES = 256
+#: Rows of a slice at most, about; beyond ``SLICES`` such slices the values are dealt out by range.
+SLICE_ROWS = 1_000_000
 
 
-def _slice_bounds(df: DataFrame, value: Column, slices: int) -> Column:
-    """Scalar array of approximate quantiles of the rows; they only balance the slices.
+def _sliced(df: DataFrame, grouped: DataFrame, value: str, slice_rows: int) -> DataFrame:
+    """The grouped values with their ``_slice``; slices hold about ``slice_rows`` rows of ``df`` or fewer.
 
-    A slice then holds at most about 1/``slices`` of the rows beside one frequent value, and a
-    value is one row once the rows are grouped.
+    One pass over the rows counts them and takes approximate quantiles, which only balance the slices: a slice holds at
+    most about 1/``SLICES`` of the rows beside one frequent value, and a value is one row once the rows are grouped.
+    Where that is too much, Spark deals the groups into as many ranges as the rows need.
     """
-    steps = [i / slices for i in range(1, slices)]
-    bounds = df.agg(F.percentile_approx(value, steps, F.lit(10000)).alias("bounds")).scalar()
-    return F.array_distinct(bounds)
+    steps = [i / SLICES for i in range(1, SLICES)]
+    n, found = df.agg(F.count(value), F.percentile_approx(F.col(value), steps, F.lit(10000))).first()
+    if n <= SLICES * slice_rows:
+        bounds = F.array(*[F.lit(b) for b in sorted(set(found or []))]).cast(f"array<{df.schema[value].dataType.simpleString()}>")
+        # The coalesce makes the slice non-nullable: otherwise the join of the offsets would push a null test
+        # of the slice, and with it the bound search, down to the raw rows.
+        return grouped.withColumn("_slice", F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(value))), F.lit(0)))
+    ranges = grouped.repartitionByRange(math.ceil(n / slice_rows), value)
+    return materialise(ranges.withColumn("_slice", F.spark_partition_id()), "ranges")  # the numbers must stay
 
 
 def cumulative_counts(
-    df: DataFrame, value: str, counts: dict[str, Column], slices: int = SLICES
+    df: DataFrame, value: str, counts: dict[str, Column], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Per distinct value: the counts, and for each ``<name>_below`` = sum over smaller values.
 
-    ``counts`` maps output names to aggregate expressions that add up (``sum``, ``count``).
-    Slice totals and rows share one shuffle of the grouped values.
+    ``counts`` maps output names to aggregate expressions that add up (``sum``, ``count``). Sums run inside slices of
+    bounded size; a second, small scan over the slice totals gives the offsets.
     """
     names = list(counts)
     grouped = df.groupBy(value).agg(*[expr.alias(name) for name, expr in counts.items()])
-    # The coalesce makes the slice non-nullable: otherwise the join below would push a null test
-    # of the slice, and with it the bound search, down to the raw rows.
-    slice_of = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(value))), F.lit(0))
-    sliced = (
-        grouped.withColumn("_bounds", _slice_bounds(df, F.col(value), slices))
-        .withColumn("_slice", slice_of)
-        .drop("_bounds")
-    )
-    # At most ``slices`` rows: the ordered window over them and the broadcast are bounded.
+    sliced = _sliced(df, grouped, value, slice_rows)
+    # A row a slice: a few hundred, or one for a million rows.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")
@@ -50,7 +56,7 @@ def cumulative_counts(
     )
     inside = Window.partitionBy("_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     running = sliced.withColumns({f"_{n}_inside": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in names})
-    joined = running.join(F.broadcast(offsets), "_slice")
+    joined = running.join(offsets, "_slice")
     return joined.select(
         value,
         *names,

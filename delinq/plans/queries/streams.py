@@ -105,3 +105,49 @@ def _(spark, d):
         events, stream_metrics.overwrite_table(output), scratch_path(spark, "state"), output_mode="complete"
     ).awaitTermination()
     return _windows_as_text(spark.read.parquet(output))
+
+
+def _replay(spark, batches: list[DataFrame]) -> str:
+    """A folder with one file a batch, written one after the other."""
+    path = scratch_path(spark, "arriving")
+    for batch in batches:
+        batch.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@register(
+    "j2_late_events",
+    """with sent as (select event_id, user_id, ts, event_id % 4 as batch, false as again from events
+        union all select event_id, user_id, ts, event_id % 4 + 1, true from events where event_id % 50 = 0 and event_id % 4 < 3),
+      behind as (select *, greatest(0, coalesce(epoch_us(max(ts) over (partition by user_id order by batch
+          range between unbounded preceding and 1 preceding)) - epoch_us(ts), 0)) as delay_us from sent)
+    select event_id, user_id, case when again then 'repeated' else 'late' end as kind, delay_us
+    from behind where again or delay_us > 3600000000""",
+)
+def _(spark, d):
+    """Events in four batches, some sent again: what comes late or twice, by user."""
+    events = adapters.table(spark, d, "events")
+    batch = F.col("event_id") % 4
+    again = (F.col("event_id") % 50 == 0) & (batch < 3)
+    path = _replay(spark, [events.where(batch == k).unionByName(events.where(again & (batch == k - 1))) for k in range(4)])
+    output = scratch_path(spark, "odd")
+    arriving = read_stream(spark, path, events.schema, files=1)
+    stream_metrics.odd_events_stream(arriving, output, scratch_path(spark, "state"), keep="4000 days").awaitTermination()
+    return spark.read.parquet(output)
+
+
+@register(
+    "j2_append_windows",
+    f"""select * from ({_window_sql(_HOURS)})
+    where strptime(window_end, '%Y-%m-%d %H:%M:%S') <= (select max(ts) - interval 1 hour from events)""",
+)
+def _(spark, d):
+    """Windows in append mode, events in order of time: all but those the last watermark hasn't passed."""
+    events = adapters.table(spark, d, "events")
+    q1, q2, q3 = events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75])).first()[0]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    path = _replay(spark, [events.where((at > low) & (at <= high)) for low, high in ((-(1 << 62), q1), (q1, q2), (q2, q3), (q3, 1 << 62))])
+    output = scratch_path(spark, "windows")
+    arriving = read_stream(spark, path, events.schema, files=1)
+    stream_metrics.metrics_stream(arriving, stream_metrics.batch_folders(output), scratch_path(spark, "state")).awaitTermination()
+    return _windows_as_text(spark.read.parquet(output).drop("batch_id"))

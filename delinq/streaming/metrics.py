@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from delinq.functions.numeric import exact_avg
 
@@ -120,6 +122,55 @@ def metrics_stream(
     return writer.start()
 
 
+_ODD = "event_id bigint, user_id bigint, kind string, delay_us bigint"
+
+
+def late_and_repeated(events: DataFrame, allowed_minutes: int = 60, keep: str = "30 days") -> DataFrame:
+    """Stream of odd events: event_id, user_id, kind ("late", "repeated"), delay_us behind the user's newest event.
+
+    Each user's state is the newest event time of earlier batches and the ids seen within ``keep`` of it. An event is
+    repeated if its id was seen, and late if it is more than ``allowed_minutes`` older than the newest one; batches are
+    taken as a whole, so the order inside one doesn't matter. A timer frees the state of a user whose newest event the
+    watermark has left behind by ``keep``; events that old are dropped, as with any watermark.
+    """
+    keep_us = int(pd.Timedelta(keep).total_seconds() * 1e6)
+
+    def odd(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        newest, ids, times = state.get if state.exists else (None, [], [])
+        seen, top = dict(zip(ids, times)), newest
+        for frame in frames:
+            rows = []
+            for event_id, at in zip(frame["event_id"].tolist(), frame["at"].tolist()):
+                delay = 0 if newest is None else max(0, newest - at)
+                if event_id in seen:
+                    rows.append((event_id, key[0], "repeated", delay))
+                elif delay > allowed_minutes * 60_000_000:
+                    rows.append((event_id, key[0], "late", delay))
+                seen.setdefault(event_id, at)
+                top = at if top is None else max(top, at)
+            yield pd.DataFrame(rows, columns=["event_id", "user_id", "kind", "delay_us"])
+        held = [(i, t) for i, t in seen.items() if t >= top - keep_us]
+        state.update((top, [i for i, _ in held], [t for _, t in held]))
+        state.setTimeoutTimestamp(max(top + keep_us, state.getCurrentWatermarkMs() * 1000 + 1_000_000) // 1000)
+
+    timed = _event_time(events).withWatermark("ts", keep).select("ts", "event_id", "user_id", F.unix_micros("ts").alias("at"))
+    return timed.groupBy("user_id").applyInPandasWithState(
+        odd, _ODD, "newest bigint, ids array<bigint>, times array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def odd_events_stream(events: DataFrame, output: str, checkpoint: str, available_now: bool = True, **options) -> StreamingQuery:
+    """``late_and_repeated`` into a parquet sink, every row exactly once."""
+    writer = late_and_repeated(events, **options).writeStream.format("parquet").outputMode("append")
+    writer = writer.option("path", output).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def overwrite_table(path: str):
     """Sink for complete mode: every batch replaces the whole result."""
 

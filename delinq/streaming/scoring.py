@@ -17,10 +17,12 @@ from delinq.operators.preprocess import FeatureModel
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", glob: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", glob: str | None = None, files: int | None = None
 ) -> DataFrame:
-    """Files of a folder as a stream; ``glob`` picks file names."""
+    """Files of a folder as a stream, oldest first; ``glob`` picks file names, ``files`` bounds those of a batch."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)

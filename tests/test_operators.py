@@ -398,3 +398,15 @@ def test_request_bodies_of_all_shapes(spark):
     bodies = ['{"borrower_id":"A","age":30}', '[{"borrower_id":"B"},{"borrower_id":"C"}]', '{"data":[{"borrower_id":"D"}]}', "no json"]
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     assert [r["borrower_id"] for r in requests.parse_requests(df).collect()] == ["A", "B", "C", "D", None]
+
+
+def test_running_counts_by_ranges_equal_those_by_slices(spark):
+    from delinq.operators.ranking import cumulative_counts
+
+    df = spark.range(3000).select(((F.col("id") * 7919) % 1000 / 10).alias("v"))
+    counts = {"n": F.count(F.lit(1))}
+    by_slices, by_ranges = (
+        sorted(map(tuple, cumulative_counts(df, "v", counts, rows).collect())) for rows in (1_000_000, 10)
+    )
+    assert by_slices == by_ranges and by_ranges[-1][2] == 2997 and len(by_ranges) == 1000
+    assert cumulative_counts(df.where("v < 0"), "v", counts).collect() == []

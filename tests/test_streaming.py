@@ -101,3 +101,23 @@ def test_sessions_touching_at_the_gap_stay_apart(spark):
     df = spark.createDataFrame(rows, EVENT)
     got = sorted((r["session_start"].minute + 60 * r["session_start"].hour, r["requests"]) for r in stream_metrics.session_metrics(df, 30).collect())
     assert got == [(0, 2), (59, 2)]
+
+
+def test_late_and_repeated_events(spark, tmp_path):
+    """Three batches; lateness counts from earlier batches only, and a timer frees idle users."""
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    day = 24 * 60
+    batches = [
+        [event(1, 0), event(2, 200), event(3, 0, user=2), event(3, 0, user=2)],  # twice in one batch
+        [event(4, 100), event(5, 150), event(2, 200), event(6, 500)],  # 100 minutes behind, 50 behind, seen before
+        [event(7, 499), event(8, 439), event(9, 40 * day, user=3)],  # 61 minutes behind; the last one moves the watermark
+        [event(10, 40 * day, user=2)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(path)
+    arriving = read_stream(spark, path, spark.read.parquet(path).schema, files=1)
+    stream_metrics.odd_events_stream(arriving, out, state, keep="10 days").awaitTermination()
+    minute = 60_000_000
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(
+        [(3, 2, "repeated", 0), (4, 1, "late", 100 * minute), (2, 1, "repeated", 0), (8, 1, "late", 61 * minute)]
+    )
