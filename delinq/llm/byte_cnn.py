@@ -19,9 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delinq.llm.common import written
+
 UNDETERMINED = "und"
 PER_LANG = 250
 MAX_WINDOWS = 20_000
+#: Languages whose counts go into the plan; with more of them they are joined.
+PLANNED = 1000
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -123,18 +127,27 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, usable: Column) -> ByteNetwork | None:
-    """A network for the languages of the usable rows (``lang`` and text not null); None without any."""
+    """A network for the languages of the usable rows (``lang`` and text not null); None without any.
+
+    A document's hash times the documents of its language is about its rank there. Those of rank up to ``PER_LANG`` are
+    taken, the lowest ranks of all languages first, so a small language stays whole beside large ones. Windows are cut
+    before anything is shuffled.
+    """
     labelled = docs.where(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = labelled.select("lang", F.xxhash64("doc_id").alias("_h"), "text")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    h = F.xxhash64("doc_id")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
-    picked = (
-        rows.join(counts, "lang")
-        .where(F.pmod("_h", F.lit(1_000_003)) < F.lit(1_000_003.0) * PER_LANG / F.col("_n"))
-        .select("lang", "_h", F.substring("text", F.pmod(F.hash("_h"), room) + 1, F.lit(WINDOW)).alias("window"))
-        .orderBy("_h", "lang", "window")
-        .limit(MAX_WINDOWS)
-    )
+    window = F.substring("text", F.pmod(F.hash(h), room) + 1, F.lit(WINDOW))
+    share = F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53)  # in [0, 1)
+    rows = labelled.select("lang", h.alias("h"), share.alias("share"), window.alias("window"))
+    few = counts.limit(PLANNED + 1).collect()
+    if len(few) <= PLANNED:
+        sizes = F.create_map(*[F.lit(x) for r in few for x in (r.lang, r.n)]) if few else F.create_map().cast("map<string,bigint>")
+        rows = rows.withColumn("n", sizes[F.col("lang")])
+    else:
+        rows = rows.join(counts, "lang")
+    ranked = rows.withColumn("rank", F.col("share") * F.col("n")).where(F.col("rank") < PER_LANG)
+    picked = ranked.orderBy("rank", "h", "lang", "window").select("lang", "window").limit(MAX_WINDOWS)
     sample = picked.collect()  # at most MAX_WINDOWS windows of WINDOW characters
     if not sample:
         return None

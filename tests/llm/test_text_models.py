@@ -472,3 +472,36 @@ def test_pipeline_equals_brute_force(spark):
     for r in rows["pieces"]:
         text = by_id[r["doc_id"]]["text"]
         assert list(r["ids"]) == whole_search(pieces, " " + text) and r["round_trip"] and r["n_ids"] == len(r["ids"])
+
+
+def test_convolution_by_look_up_equals_plain_one():
+    """The look-up form of the filters against sums over bytes, embeddings and places."""
+    rng = np.random.default_rng(2)
+    net = byte_cnn.ByteNetwork(["a", "b", "c"])
+    windows = rng.integers(0, 256, (2, byte_cnn.WINDOW)).astype(np.uint8)
+    features = []
+    for k in byte_cnn.WIDTHS:
+        w, b = net.p[f"w{k}"].reshape(k, byte_cnn.EMBED, byte_cnn.FILTERS), net.p[f"b{k}"]
+        answers = np.array(
+            [[sum(net.p["embed"][row[at + j]] @ w[j] for j in range(k)) + b for at in range(byte_cnn.WINDOW - k + 1)] for row in windows]
+        )
+        assert np.allclose(net._pooled(windows, k), answers, atol=1e-4)
+        features.append(np.maximum(answers.max(axis=1), 0))
+    z = np.concatenate(features, axis=1) @ net.p["out"] + net.p["bias"]
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    assert np.allclose(net.probabilities(windows), e / e.sum(axis=1, keepdims=True), atol=1e-5)
+
+
+@pytest.mark.parametrize("planned", [1000, 1])
+def test_small_languages_are_learned(spark, monkeypatch, planned):
+    """Many documents of one language leave the few of another in the sample, at most PER_LANG or so of the first."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(byte_cnn, "PER_LANG", 20)
+    monkeypatch.setattr(byte_cnn, "MAX_WINDOWS", 30)
+    monkeypatch.setattr(byte_cnn, "PLANNED", planned)
+    seen = []
+    monkeypatch.setattr(byte_cnn.ByteNetwork, "fit", lambda self, windows, labels: seen.append([self.langs[i] for i in labels]))
+    rows = [(i, f"text {i} " * 60, "big") for i in range(2000)] + [(5000 + i, f"wort {i}", "small") for i in range(5)]
+    byte_cnn.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert seen[0].count("small") == 5 and 5 <= seen[0].count("big") <= 25
