@@ -159,3 +159,16 @@ def test_neighbour_cells_rule_out_most_pairs(spark):
         order = np.argsort(d)[:5]
         assert [o for o, _ in got[f"P{i:05d}"]] == [f"P{j:05d}" for j in order]
         assert [v for _, v in got[f"P{i:05d}"]] == pytest.approx(list(d[order]))
+
+
+def test_queries_travel_once_for_many_blocks(spark):
+    """Without clusters nearly all blocks are open; a query still goes to each region only once."""
+    x = np.random.default_rng(9).normal(size=(400, 16))
+    points = spark.createDataFrame([(f"P{i:03d}", v.tolist()) for i, v in enumerate(x)], "id string, x array<double>")
+    stats = {}
+    got = {r["id"]: [f["other"] for f in r["found"]] for r in nearest_neighbours(points, 5, 10, stats=stats).collect()}
+    assert stats["visits"] <= 400 < stats["pairs"]
+    for i in range(400):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        assert got[f"P{i:03d}"] == [f"P{j:03d}" for j in np.argsort(d)[:5]]
