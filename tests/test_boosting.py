@@ -138,6 +138,14 @@ def test_compiled_equals_transform(spark, rows, kind):
         assert [own.get(i, 0.0) for i in range(4)] == pytest.approx(model.featureImportances.toArray().tolist())
 
 
+def test_features_are_worked_out_once_a_row(spark, rows):
+    """A feature expression must not move into the steps from node to node."""
+    compiled = compile_model(spark, RandomForestClassifier(labelCol=LABEL, numTrees=3, maxDepth=3, seed=4).fit(rows))
+    wide = spark.range(3).select(F.array(*[F.col("id") * F.lit(7.53125 + i) for i in range(4)]).alias("x"))
+    text = wide.select(compiled.probability(F.col("x")).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.rindex("7.53125") < text.index("aggregate(")
+
+
 def test_incomplete_node_table_is_refused(spark, rows):
     nodes = model_nodes(spark, RandomForestClassifier(labelCol=LABEL, numTrees=1, maxDepth=2).fit(rows))
     with pytest.raises(ValueError, match="lacks node 1"):
