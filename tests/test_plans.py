@@ -11,7 +11,9 @@ import __spark_entry__ as entry
 from delinq.operators import outreach as out_ops
 from delinq.operators import payments as pay_ops
 from delinq.operators.master import lookup_one
+from delinq.plans.queries import models
 from delinq.session import materialise
+from delinq.sources import adapters
 
 
 def plan(df) -> str:
@@ -62,3 +64,24 @@ def test_no_cross_join_and_no_python(spark, small, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert "Python" not in text and "ArrowEval" not in text
+
+
+def _counted(monkeypatch, module, name):
+    calls, real = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *args, **kwargs: calls.append(name) or real(*args, **kwargs))
+    return calls
+
+
+@pytest.mark.parametrize("query", ["a11_summary_sink", "a12_output_runs"])
+def test_outreach_runs_derive_payments_once(spark, small, monkeypatch, query):
+    derived = _counted(monkeypatch, adapters, "payments")
+    assert entry.queries()[query](spark, small).count() > 0
+    assert len(derived) == 1
+
+
+def test_model_queries_share_payments_and_master(spark, small, monkeypatch):
+    models._masters.clear()
+    derived = _counted(monkeypatch, adapters, "payments")
+    payments, master = models._master(spark, small)
+    assert models._master(spark, small)[1] is master and len(derived) == 1
+    assert "Join" not in plan(payments) and "Join" not in plan(master)
