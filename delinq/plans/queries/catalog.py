@@ -13,7 +13,7 @@ from delinq.operators import payments as pay_ops
 from delinq.operators.requests import request_faults
 from delinq.plans.base import core_requests_of, outreach_of, register
 from delinq.plans.check_sql import with_ctes
-from delinq.session import scratch_path
+from delinq.session import materialise, scratch_path
 from delinq.sources import adapters, catalog, files
 
 
@@ -154,11 +154,13 @@ _WITH_TOTAL = f"""select * from ({_TABLE_COUNTS}) union all
   select 'TOTAL', cast(sum(row_count) as bigint) from ({_TABLE_COUNTS})"""
 
 
-def _frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    pay, loan = adapters.payments(spark, d), adapters.loans(spark, d)
+def _frames(spark: SparkSession, d: str, written: bool = False) -> dict[str, DataFrame]:
+    """The tables of the warehouse; ``written``: those that others are derived from are computed once and read back."""
+    once = materialise if written else lambda df, name: df
+    pay, loan = once(adapters.payments(spark, d), "payments"), adapters.loans(spark, d)
     own, school = adapters.borrowers(spark, d), adapters.education(spark, d)
-    features = pay_ops.delinquency_features(pay)
-    master = master_ops.with_factor_targets(master_ops.join_master(own, school, features, loan))
+    features = once(pay_ops.delinquency_features(pay), "features")
+    master = once(master_ops.with_factor_targets(master_ops.join_master(own, school, features, loan)), "master")
     return {
         "student_loan_borrowers": own,
         "student_loan_education": school,
@@ -172,7 +174,7 @@ def _frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 @register("a7_warehouse_load", with_ctes(_WITH_TOTAL, "borrowers", "education", "loans", "payments", "master"))
 def _(spark, d):
-    return catalog.load_all(spark, "delinq_warehouse", _frames(spark, d), location=scratch_path(spark, "warehouse"))
+    return catalog.load_all(spark, "delinq_warehouse", _frames(spark, d, written=True), location=scratch_path(spark, "warehouse"))
 
 
 @register("a8_table_summary", with_ctes(_WITH_TOTAL, "borrowers", "education", "loans", "payments", "master"))

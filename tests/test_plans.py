@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from delinq.operators import outreach as out_ops
 from delinq.operators import payments as pay_ops
 from delinq.operators.master import lookup_one
-from delinq.plans.queries import models
+from delinq.plans.queries import catalog, models
 from delinq.session import materialise
 from delinq.sources import adapters
 
@@ -85,3 +85,9 @@ def test_model_queries_share_payments_and_master(spark, small, monkeypatch):
     payments, master = models._master(spark, small)
     assert models._master(spark, small)[1] is master and len(derived) == 1
     assert "Join" not in plan(payments) and "Join" not in plan(master)
+
+
+def test_warehouse_tables_are_derived_once(spark, small):
+    frames = catalog._frames(spark, small, written=True)
+    for name in ("student_loan_payments", "student_loan_delinquency_features", "student_loan_master_dataset"):
+        assert "Join" not in plan(frames[name]) and "Aggregate" not in plan(frames[name])
