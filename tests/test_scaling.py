@@ -6,9 +6,10 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from delinq.models import neighbours, scoring
+from delinq.models import neighbours, scoring, second_order
 from delinq.operators import preprocess, sampling
 from delinq.sources import adapters
 
@@ -63,3 +64,30 @@ def test_payments_shuffle_only_what_is_asked_for(spark, tmp_path):
     plan = got.drop("payment_id")._jdf.queryExecution().optimizedPlan().toString().splitlines()
     join = next(i for i, line in enumerate(plan) if "Join" in line)
     assert "l_partkey" not in plan[join + 1] and "days_late" in plan[join + 1]
+
+
+def test_histograms_hold_only_the_bins_of_each_feature(monkeypatch):
+    """Sums by node, feature and bin against plain loops, with features of 2 and of 200 bins; no sum has room for more."""
+    rng = np.random.default_rng(6)
+    widths, n = [2, 200, 2, 1], 500
+    bins = np.stack([rng.integers(0, w, n) for w in widths], axis=1).astype(np.uint8)
+    y = rng.integers(0, 2, n).astype(float)
+    columns = [pa.array(np.arange(n)), pa.array(y), pa.array(np.ones(n)), pa.array([b.tobytes() for b in bins], pa.binary()), pa.array(np.zeros(n))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["key", "y", "w", "bins", "margin"])
+    tree = second_order.Tree()
+    tree.add(0.0, 0.0)
+    tree.feature[0], tree.cut[0] = 1, 80
+    tree.left[0], tree.right[0] = tree.add(0.0, 0.0), tree.add(0.0, 0.0)
+    longest = []
+    count = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, w=None, size=0: longest.append(size) or count(x, w, size))
+    run = second_order._histograms([], tree, [1, 2], [0, 1, 3], widths, 0.25, 0, 1.0, 42)
+    (found,) = run(iter([batch, batch]))
+    want: dict[tuple, list[int]] = {}
+    for own, label in zip(bins, y):
+        for f in (0, 1, 3):
+            cell = want.setdefault((1 if own[1] <= 80 else 2, f, int(own[f])), [0, 0])
+            cell[0] += 2 * round((0.5 - label) / 0.25)
+            cell[1] += 2
+    assert {(r["node"], r["feature"], r["bin"]): [r["g"], r["h"]] for r in found.to_pylist()} == want
+    assert sorted(set(longest)) == [2, 4, 400]
