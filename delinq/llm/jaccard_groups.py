@@ -10,14 +10,16 @@ the order only, so any error in them costs time and never a link. Only frequent
 lists are counted before they are joined, so none of them is gathered in one task.
 
 Families of near copies would make all pairs of a long list. So groups of long lists, and groups of several classes, are
-compared with leaders first: a class goes to the longest list of its group, such a cell is dealt into chunks, and a task
-reads a chunk once and links every member to the leaders it is similar to (at most ``LEADERS``, others are just not
+compared with leaders first, if enough of a group's prefix stands in long lists for near copies: a class goes to the
+longest list of its group, such a cell is dealt into chunks, and a task reads a chunk once and links every member to the leaders it is similar to (at most ``LEADERS``, others are just not
 compared). A chunk's main leader and those with ``FOLLOWERS`` members go on to the ``HOMES`` longest lists of their
 groups, where they meet the leaders of other chunks and cells in the same way. What is linked is one component. Then only pairs of different components are left: lists that lie within one component are settled, and in
-the others the members outside the list's main component meet the rest. These pairs of groups pass the filters: their
-sizes, and how many prefix shingles they have in common, for which there is an exact lower bound. The groups that are
-left are expanded, and the whole sets of their members are compared. Leaders only save comparisons; every pair that
-might be similar is linked by them or verified at the end.
+the others the members outside the list's main component meet the rest, if their sizes and places in the common order
+allow it. A pair meets where its common shingles begin, not at each of them: at a shingle before which both have the
+same one it has met already. The groups that are left are expanded and pass their sketches: a bit per slot says whether
+an odd number of the set's shingles falls there, so two sketches differ in at most as many bits as the sets differ in
+shingles, an exact bound. Then whole sets are compared. Leaders only save comparisons; every pair that might be similar
+is linked by them or verified at the end.
 
 Defined results: texts that are null or without words have an empty set and are alone; with fewer than five words
 the whole sequence is the only shingle; repeated rows and equal texts are one class; rows without doc_id link like
@@ -51,6 +53,9 @@ LEADERS = 32
 #: Leaders with so many members are compared again, in so many lists.
 FOLLOWERS = 4
 HOMES = 4
+#: Bits of a sketch, and of the second sketch of sets with as many shingles as the first has bits.
+SKETCH = 1024
+WIDE_SKETCH = 4096
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = Memory(KNOWN)
@@ -149,11 +154,18 @@ def _prefix_length(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
 
+def _sketch(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """A bit per slot: whether it holds an odd number of the tokens."""
+    counts = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
+
+
 def members(docs: DataFrame, frequent: bytes) -> DataFrame:
-    """_row, doc_id, n, cls (class of equal sets), grp (class of equal prefixes and sizes), prefix; n 0 is no set."""
+    """_row, doc_id, n, cls (class of equal sets), grp (class of equal prefixes and sizes), prefix, sketches; n 0 is no set."""
     schema = pa.schema(
-        [("_row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("grp", pa.int64()), ("prefix", pa.binary())]
-    )
+        [("_row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("grp", pa.int64()), ("prefix", pa.binary()),
+         ("sketch", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))]
+    )
 
     def run(batches):
         bits = np.frombuffer(frequent, np.uint8)
@@ -165,13 +177,16 @@ def members(docs: DataFrame, frequent: bytes) -> DataFrame:
                 n = len(tokens)
                 prefix = _ordered(tokens, bits)[: _prefix_length(n)].tobytes() if n else b""
                 cls, grp = (xxhash.xxh3_64_intdigest(d, seed=n) - (1 << 63) for d in (tokens.tobytes(), prefix))
-                out.append((row, doc_id, n, cls, grp, prefix))
+                wide = _sketch(tokens, WIDE_SKETCH) if n >= SKETCH else None
+                out.append((row, doc_id, n, cls, grp, prefix, _sketch(tokens, SKETCH), wide))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     rows = docs.select(
         F.xxhash64("doc_id", "text").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
-    return rows.mapInArrow(run, "_row long, doc_id long, n int, cls long, grp long, prefix binary")
+    return rows.mapInArrow(
+        run, "_row long, doc_id long, n int, cls long, grp long, prefix binary, sketch array<long>, wide array<long>"
+    )
 
 
 def _entries(found: DataFrame) -> DataFrame:
@@ -344,11 +359,11 @@ def _star_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _leader_links(docs: DataFrame, classes: DataFrame, lists: DataFrame, several: DataFrame) -> DataFrame:
     """a, b: links of classes to leaders of their cells."""
-    # The longest lists of a group: few numbers, kept sorted while they are combined.
+    # The longest lists of a group: few numbers, kept sorted while they are combined. Near copies share many listed
+    # shingles, so a group with fewer in long lists, as of a common passage, has no family to meet there.
     best = F.sort_array(F.collect_list(F.struct("k", "token")), asc=False)
-    longest = written(
-        lists.where(F.col("k") > LARGE).groupBy("grp").agg(F.slice(best, 1, HOMES)["token"].alias("homes")), "homes"
-    )
+    of_group = lists.where(F.col("k") > LARGE).groupBy("grp", "n").agg(F.slice(best, 1, HOMES)["token"].alias("homes"), F.count(F.lit(1)).alias("c"))
+    longest = written(of_group.where(F.col("c") > 2 * _spare(F.col("n"), F.col("n"))).select("grp", "homes"), "homes")
     marked = classes.join(longest, "grp", "left").join(several.withColumn("many", F.lit(True)), "grp", "left")
     homes = F.coalesce("homes", F.array(F.xxhash64("grp")))
     cells = written(marked.where("homes is not null or many").select("_row", "cls", homes.alias("homes"), homes[0].alias("home")), "cells")
@@ -371,7 +386,7 @@ def _leader_links(docs: DataFrame, classes: DataFrame, lists: DataFrame, several
 
 
 def _spare(n: Column, m: Column) -> Column:
-    """Prefix shingles that are looked at beyond the first that have to share one, for sizes n <= m.
+    """Listed prefix shingles that sets of sizes n <= m, similar enough, have in common at least, less one.
 
     With the overlap ``needed`` a set can lack n - needed of its shingles in the other. So of its first
     n - needed + 1 + s shingles at least s + 1 are shared, and of two such prefixes the one that ends first in the
@@ -385,15 +400,18 @@ def _needed(n: Column, m: Column) -> Column:
 
 
 def _open_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """xgrp, ygrp, n1, n2: a row for each shingle that two groups, not within one component, share at places that count.
+    """xgrp, ygrp: groups that share a shingle at places that count and aren't within one component, possibly repeated.
 
     groups: grp, low, high (its range of components). A list's main component is the one that most of its groups lie
-    in; of a pair one group at least is outside it. The smaller group of a pair has the shingle among the first 19n/112
-    + 1 of its order (n/7 and the spare ones), so lists of a passage that comes later in all its documents give no pairs.
-    Sizes are cut into bands, near sizes lie in the same or in neighbouring ones.
+    in; of a pair one group at least is outside it. Sets with the overlap ``needed`` share a shingle among the first
+    n - needed + 1 of both, n/7 + 1 at most of the smaller one, so lists of a passage that comes later in all its
+    documents give no pairs. The first shingle in common lies there, too, and the shingles listed before it differ: a
+    shingle after an equal one repeats a pair and is left out. Sizes are cut into bands, near sizes lie in the same or
+    in neighbouring ones.
     """
-    entries = lists.join(groups, "grp").withColumn("own", F.when(F.col("low") == F.col("high"), F.col("low")))
-    entries = written(entries.select("token", "grp", "n", "pos", "low", "high", "own"), "entries")
+    before = F.lag("token").over(Window.partitionBy("grp").orderBy("pos"))  # at most n/4 + 1 rows a group
+    entries = lists.join(groups, "grp").withColumns({"own": F.when(F.col("low") == F.col("high"), F.col("low")), "before": before})
+    entries = written(entries.select("token", "before", "grp", "n", "pos", "low", "high", "own"), "entries")
     parts = entries.groupBy("token", "own").agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
     mains = parts.groupBy("token").agg(
         F.max(F.when(F.col("own").isNotNull(), F.struct("c", "own"))).alias("main"), F.min("low").alias("l"), F.max("high").alias("h")
@@ -401,26 +419,32 @@ def _open_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
     open_lists = written(mains.where("l < h").select("token", F.col("main.own").alias("main")), "open")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int")
     outside = F.coalesce(F.col("own") != F.col("main"), F.lit(True))
-    still = entries.join(open_lists, "token").withColumns({"band": band, "outside": outside}).drop("own", "main")
+    still = entries.drop("low", "high").join(open_lists, "token").withColumns({"band": band, "outside": outside}).drop("main")
     still = written(still, "still")
-    early = still.where(112 * F.col("pos") <= 19 * F.col("n") + 112).withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    early = still.where(7 * F.col("pos") <= F.col("n")).withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
 
     def met(first: DataFrame, second: DataFrame) -> DataFrame:
-        x, y = (df.select("token", "band", *[F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "pos", "low", "high")]) for s, df in (("x", first), ("y", second)))
+        x, y = (df.select("token", "band", *[F.col(c).alias(f"{s}{c}") for c in ("grp", "n", "pos", "own", "before")]) for s, df in (("x", first), ("y", second)))
         n, m = F.col("xn"), F.col("yn")
-        reach = _spare(n, m) - _needed(n, m)
         return x.join(y, ["token", "band"]).where(
-            ((n < m) | ((n == m) & (F.col("xgrp") < F.col("ygrp")))) & _near_sizes(n, m) & ~_settled("x", "y")
-            & (F.col("xpos") <= n + reach) & (F.col("ypos") <= m + reach)
+            ((n < m) | ((n == m) & (F.col("xgrp") < F.col("ygrp")))) & _near_sizes(n, m) & F.coalesce(F.col("xown") != F.col("yown"), F.lit(True))
+            & (F.col("xpos") <= n - _needed(n, m)) & (F.col("ypos") <= m - _needed(n, m))
+            & F.coalesce(F.col("xbefore") != F.col("ybefore"), F.lit(True))
         )
 
     pairs = met(early.where("outside"), still).unionByName(met(early.where("not outside"), still.where("outside")))
-    return pairs.select("xgrp", "ygrp", F.col("xn").alias("n1"), F.col("yn").alias("n2"))
+    return pairs.select("xgrp", "ygrp")
+
 
+def _may_link(n: Column, m: Column, x: str, y: str) -> Column:
+    """Whether the sketches differ in no more bits than similar sets of these sizes can differ in shingles."""
 
-def _settled(x: str, y: str) -> Column:
-    """All classes of both groups are in one component."""
-    return F.least(f"{x}low", f"{y}low") == F.greatest(f"{x}high", f"{y}high")
+    def differing(kind: str) -> Column:
+        bits = F.zip_with(f"{x}{kind}", f"{y}{kind}", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        return F.aggregate(bits, F.lit(0), lambda total, c: total + c)
+
+    most = n + m - 2 * _needed(n, m)
+    return (differing("sketch") <= most) & F.coalesce(differing("wide") <= most, F.lit(True))
 
 
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -434,11 +458,17 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     comp = written(components(stars), "components")
     state = written(classes.join(comp, "cls", "left").select("grp", "cls", "_row", F.coalesce("comp", "cls").alias("comp")), "state")
     groups = written(state.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "groups")
-    near = _open_pairs(lists, groups).groupBy("xgrp", "ygrp", "n1", "n2").agg(F.count(F.lit(1)).alias("c"))
-    near = near.where(F.col("c") > _spare(F.col("n1"), F.col("n2"))).select("xgrp", "ygrp")
     inner = groups.join(several, "grp").where("low < high").select(F.col("grp").alias("xgrp"), F.col("grp").alias("ygrp"))
-    first, second = (state.select(F.col("grp").alias(f"{s}grp"), F.col("cls").alias(c), F.col("comp").alias(f"{s}comp")) for s, c in (("x", "a"), ("y", "b")))
-    pairs = near.unionByName(inner).join(first, "xgrp").join(second, "ygrp").where("xcomp <> ycomp")
+    near = written(_open_pairs(lists, groups).distinct().unionByName(inner), "near")
+    some = near.select(F.explode(F.array("xgrp", "ygrp")).alias("grp")).distinct()
+    some = written(state.join(some, "grp"), "some")
+    sketched = found.select("_row", "n", "sketch", "wide").join(some, "_row").dropDuplicates(["cls"])  # repeated rows share a key
+    sketched = written(sketched, "sketches")
+    first, second = (
+        sketched.select(F.col("cls").alias(c), *[F.col(name).alias(f"{s}{name}") for name in ("grp", "comp", "n", "sketch", "wide")])
+        for s, c in (("x", "a"), ("y", "b"))
+    )
+    pairs = near.join(first, "xgrp").join(second, "ygrp").where((F.col("xcomp") != F.col("ycomp")) & _may_link(F.col("xn"), F.col("yn"), "x", "y"))
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     needed = written(needed.join(state, "cls").select("_row", "cls"), "needed")

@@ -78,6 +78,55 @@ def test_components_equal_brute_force(spark, monkeypatch, large):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(texts)
 
 
+def test_common_passages_and_near_misses_are_not_compared(spark, monkeypatch):
+    """Also where no shingle stands out among many: passages make no cells, sketches rule near misses out."""
+    counts = {}
+
+    def counted(df, name, write=jaccard_groups.written):
+        out = write(df, name)
+        counts.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_groups, "written", counted)
+    monkeypatch.setattr(jaccard_groups, "frequent_slots", lambda docs: bytes(1 << jaccard_groups.SLOT_BITS - 3))
+    rng, texts = random.Random(5), {}
+    passage, base = [f"p{k}" for k in range(12)], [f"b{k}" for k in range(200)]
+    for k in range(40):
+        texts[k] = " ".join([f"u{k}x{i}" for i in range(200)] + passage)
+    for k in range(15):  # five edits each: about 0.6 of the shingles of two are common
+        texts[100 + k] = " ".join(edited(rng, base, 5))
+    texts[200] = texts[100] + " end"
+    out = jaccard_groups.cluster(spark.createDataFrame([(i, t, "x") for i, t in texts.items()], TEXTS)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(texts)
+    assert counts["cells"] == 0 and 1 <= counts["pairs"] <= 15  # of 120
+
+
+def test_open_pairs_meet_where_common_shingles_begin(spark):
+    rng, n, lists = random.Random(6), 280, []
+    for grp in range(25):
+        prefix = sorted(rng.sample(range(90), 71))
+        lists += [(token, grp, n, pos, 9) for pos, token in enumerate(prefix)]
+    lists = spark.createDataFrame(lists, "token long, grp long, n int, pos int, k long")
+    comp = {grp: grp if grp > 9 else 0 for grp in range(25)}
+    groups = spark.createDataFrame([(g, c, c) for g, c in comp.items()], "grp long, low long, high long")
+    met = [(r.xgrp, r.ygrp) for r in jaccard_groups._open_pairs(lists, groups).collect()]
+    early = {g: {r.token for r in lists.where(f"grp = {g} and pos <= {n // 7}").collect()} for g in range(25)}
+    assert set(met) == {(x, y) for x in early for y in early if x < y and comp[x] != comp[y] and early[x] & early[y]}
+    common = sum(len(early[x] & early[y]) for x, y in set(met))
+    assert len(set(met)) <= len(met) < 0.7 * common
+
+
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 300, 3000):
+        x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        y = np.concatenate([x[: n // 2], rng.integers(0, 1 << 63, n, dtype=np.uint64)])
+        apart = len(np.setxor1d(x, y))
+        for bits in (jaccard_groups.SKETCH, jaccard_groups.WIDE_SKETCH):
+            a, b = (jaccard_groups._sketch(t, bits) for t in (x, y))
+            assert len(a) == bits // 64 and sum(int(v).bit_count() for v in (a ^ b).view(np.uint64)) <= apart
+
+
 def test_one_of_each_keeps_one(spark):
     base = " ".join(f"w{k}" for k in range(60))
     rows = [(5, base, "a"), (4, base + " end", "b"), (7, base, "c"), (5, base, "a"), (8, "other text", "d"), (9, None, "e"), (None, "", "f")]
