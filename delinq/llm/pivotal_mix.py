@@ -181,7 +181,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     )
     rows = docs.select(packed(docs).alias("given"), F.xxhash64("doc_id", "source", "text").alias("_row"))
     single = keys.where("_times = 1").select("_row", F.col("_counts")[0]["copies"].alias("_n")).where("_n > 0")
-    out = rows.join(single, "_row").select("given", "_n")
+    # Texts are merged with their counts at any size: small counts would be broadcast, and then no longer.
+    out = rows.join(single.hint("merge"), "_row").select("given", "_n")
     repeated = keys.where("_times > 1").select("_row", "_counts")
     if not repeated.isEmpty():
         dealt = written(rows.join(repeated, "_row").withColumn("_part", F.spark_partition_id()), "repeated")

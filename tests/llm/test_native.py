@@ -149,6 +149,14 @@ def test_mix_targets_and_sums(spark):
     )
 
 
+def test_mix_merges_texts_at_any_size(spark):
+    """Small counts aren't broadcast, so a small run shows the disk that a large one needs."""
+    docs = spark.createDataFrame([(i, "w " * (i % 9 + 1), "en", f"s{i % 3}", 0, "k") for i in range(60)], DOCS)
+    mixed = pivotal_mix.mix_documents(docs)
+    assert "SortMergeJoin" in (plan := mixed._jdf.queryExecution().executedPlan().toString()) and "BroadcastHashJoin" not in plan
+    assert mixed.count() == sum(r.copies for r in pivotal_mix.mix(docs).collect())
+
+
 def test_mix_deals_out_repeated_rows(spark):
     """A third of all rows is one row: every copy is numbered, and no task takes them all."""
     rows = [(i, "w " * (i % 40 + 1), "en", f"s{i % 3}", 0, "k") for i in range(1200)]
