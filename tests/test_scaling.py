@@ -7,9 +7,10 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from delinq.models import neighbours, scoring, second_order
+from delinq.models import neighbours, oversample, scoring, second_order
 from delinq.operators import preprocess, sampling
 from delinq.sources import adapters
 
@@ -37,6 +38,53 @@ def test_bounds_hide_no_neighbour_far_from_the_origin():
         assert targets.near(x, ids, reach, 5) == true
 
 
+def _shuffled_rows(plan) -> int:
+    """Rows that all exchanges of a plan wrote, once it has run."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _shuffled_rows(plan.plan())
+    metric = plan.metrics().get("shuffleRecordsWritten")
+    children = plan.children()
+    return (metric.get().value() if metric.isDefined() else 0) + sum(_shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_neighbours_shuffle_and_write_each_point_once(spark, monkeypatch):
+    """Nothing rules out a block here, so every query meets every region; rows moved and written stay as many as points."""
+    n = 300
+    x = np.random.default_rng(12).normal(size=(n, 16))
+    points = spark.createDataFrame([(f"P{i:03d}", v.tolist()) for i, v in enumerate(x)], "id string, x array<double>")
+    monkeypatch.setattr(neighbours, "REGION_ROWS", 20)
+    written = []
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name, keep=neighbours.materialise: written.append(keep(df, name)) or written[-1])
+    stats = {}
+    found = neighbours.nearest_neighbours(points, 5, 20, stats=stats)
+    got = {r["id"]: [f["other"] for f in r["found"]] for r in found.collect()}
+    for i in range(n):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        assert got[f"P{i:03d}"] == [f"P{j:03d}" for j in np.argsort(d)[:5]]
+    assert stats["visits"] > 10 * n  # every other region, a few excepted
+    assert _shuffled_rows(found._jdf.queryExecution().executedPlan()) <= n
+    assert all(w.count() <= n for w in written)
+
+
+def test_only_rows_with_copies_look_for_neighbours(spark, monkeypatch):
+    """Three rows are missing, so three search among all; the new rows are those of a search by all."""
+    rng = np.random.default_rng(13)
+    rows = [(f"{c}{i}", c, array) for c, n in ((0, 103), (1, 100)) for i, array in enumerate(rng.normal(c, 1, size=(n, 3)).tolist())]
+    df = spark.createDataFrame(rows, "borrower_id string, is_delinquent int, features array<double>").withColumn("features", array_to_vector("features"))
+    made = lambda: sorted((r[0], tuple(r[2].toArray())) for r in oversample.oversample_minority(df, block_rows=20).collect() if "#" in r[0])
+    stats = {}
+    search = oversample.nearest_neighbours
+    monkeypatch.setattr(oversample, "nearest_neighbours", lambda *a, **options: search(*a, stats=stats, **options))
+    some = made()
+    assert len(some) == 3 and stats["all"] == 3 * 100
+    monkeypatch.setattr(oversample, "nearest_neighbours", lambda points, k, block_rows, seed, asking: search(points, k, block_rows, seed))
+    assert made() == some
+
+
 def test_parts_are_cut_before_their_features_are_worked_out(spark, domain):
     split = sampling.stratified_split(domain["master"])
     features = preprocess.fit_features(split, dt.date(2025, 1, 1))
