@@ -23,6 +23,7 @@ def save_models(spark: SparkSession, models: ModelSet, features: FeatureModel, r
             name: {"params": m.params, "cv_score": m.cv_score, "metrics": m.metrics}
             for name, m in models.models.items()
         },
+        "failed": models.failed,
     }
     spark.range(1).select(F.lit(json.dumps(meta)).alias("value")).write.mode("overwrite").text(f"{root}/metadata")
     features.save(spark, f"{root}/preprocessing")
@@ -34,5 +35,5 @@ def load_models(spark: SparkSession, root: str) -> tuple[ModelSet, FeatureModel]
         name: TrainedModel(name, PipelineModel.load(f"{root}/{name}").stages[0], **state)
         for name, state in meta["model_scores"].items()
     }
-    out = ModelSet(models, meta["feature_names"], meta["best_model_name"])
+    out = ModelSet(models, meta["feature_names"], meta["best_model_name"], meta.get("failed", {}))
     return out, FeatureModel.load(spark, f"{root}/preprocessing")

@@ -8,8 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from delinq import schemas
-from delinq.models import scoring
+from delinq.models import scoring, training
 from delinq.models.oversample import nearest_neighbours, oversample_minority
 from delinq.models.store import load_models, save_models
 from delinq.models.training import (
@@ -23,6 +24,7 @@ from delinq.models.training import (
     train_model,
 )
 from delinq.plans import jobs
+from delinq.plans.queries import models as model_queries
 from delinq.sources import catalog, files
 
 AS_OF = dt.datetime(2025, 1, 1)
@@ -141,6 +143,52 @@ def test_failing_model_is_skipped(spark, trained, domain):
         _ = out.best
 
 
+def _forest_fails(monkeypatch):
+    real = training.train_model
+
+    def fails(train, name, *args, **options):
+        if name == "random_forest":
+            raise ArithmeticError("no tree grew")
+        return real(train, name, *args, **options)
+
+    monkeypatch.setattr(training, "train_model", fails)
+
+
+@pytest.mark.parametrize("query", ["a13_model_store"])
+def test_queries_give_no_result_without_all_models(spark, small, trained, domain, monkeypatch, query):
+    """The training data is that of the fixture; a model that fails must not leave the query a smaller set to agree on."""
+    _, features = trained
+    rows = features.assemble(domain["master"])
+    monkeypatch.setattr(model_queries, "_training_data", lambda spark, d: (rows, rows, features))
+    monkeypatch.setattr(model_queries, "_trained", {})
+    monkeypatch.setattr(model_queries, "_scoring", {})
+    _forest_fails(monkeypatch)
+    with pytest.raises(RuntimeError, match="random_forest failed: no tree grew"):
+        __spark_entry__.queries()[query](spark, small)
+    assert model_queries._trained == {}
+
+
+def test_failure_in_training_or_evaluation_is_an_error(spark, trained, domain, monkeypatch):
+    _, features = trained
+    rows = features.assemble(domain["master"])
+    with pytest.raises(RuntimeError, match="logistic_regression failed: .*maxIter"):
+        train_all(rows, rows, features.feature_names, names=["logistic_regression"], params={"logistic_regression": {"maxIter": -1}}, balance="none")
+    monkeypatch.setattr(training, "evaluate", lambda model, test: 1 / 0)
+    with pytest.raises(RuntimeError, match="logistic_regression failed: division by zero"):
+        train_all(rows, rows, features.feature_names, names=["logistic_regression"], params=LIGHT, balance="none")
+
+
+def test_skipped_models_are_named_in_the_set_and_its_store(spark, trained, domain, monkeypatch, tmp_path):
+    _, features = trained
+    rows = features.assemble(domain["master"])
+    _forest_fails(monkeypatch)
+    with pytest.warns(UserWarning, match="random_forest skipped: no tree grew"):
+        out = train_all(rows, rows, features.feature_names, names=["random_forest", "logistic_regression"], params=LIGHT, skip_failing=True, balance="none")
+    assert list(out.models) == ["logistic_regression"] and out.failed == {"random_forest": "no tree grew"}
+    save_models(spark, out, features, str(tmp_path / "m"))
+    assert load_models(spark, str(tmp_path / "m"))[0].failed == out.failed
+
+
 def test_grid_search_with_oversampled_folds(spark, trained, domain):
     _, features = trained
     rows = features.assemble(domain["master"])
