@@ -154,7 +154,7 @@ def _forest_fails(monkeypatch):
     monkeypatch.setattr(training, "train_model", fails)
 
 
-@pytest.mark.parametrize("query", ["a13_model_store"])
+@pytest.mark.parametrize("query", ["a13_model_store", "j1_model_stream"])
 def test_queries_give_no_result_without_all_models(spark, small, trained, domain, monkeypatch, query):
     """The training data is that of the fixture; a model that fails must not leave the query a smaller set to agree on."""
     _, features = trained
